@@ -20,6 +20,7 @@ from shelfline.sources.schemas import DAILY_SALES, WEEKLY_SALES_INVENTORY, confo
 DAILY_KEY = "sold_date_sk"
 WEEKLY_KEY = "sold_wk_sk"
 WEEK = ["sold_wk_num", "sold_yr_num"]
+DAYS_IN_WEEK = 7
 
 Watermark = Literal["weekly", "daily"]
 Fanout = Literal["reference", "safe"]
@@ -214,13 +215,14 @@ def weekly_sales_inventory(
         money_double(F.col("profit_units") * copies, scale).alias("sum_profit_wk"),
         F.coalesce("stock", F.lit(0)).alias("inv_qty_wk"),
     ).filter("sum_qty_wk > 0")
-    avg_qty = exact_ratio(F.col("sum_qty_wk"), 7)
+    sold, stocked = F.col("sum_qty_wk"), F.col("inv_qty_wk")
     fresh = conform(
         measured.withColumns(
             {
-                "avg_qty_dy": avg_qty,
-                "wks_sply": exact_ratio(F.col("inv_qty_wk"), F.col("sum_qty_wk")),
-                "low_stock_flg_wk": (avg_qty > 0) & (avg_qty > F.col("inv_qty_wk")),
+                "avg_qty_dy": exact_ratio(sold, DAYS_IN_WEEK),
+                "wks_sply": exact_ratio(stocked, sold),
+                # The daily average is positive here; it exceeds the stock when this does.
+                "low_stock_flg_wk": sold > stocked * DAYS_IN_WEEK,
             }
         ),
         WEEKLY_SALES_INVENTORY,

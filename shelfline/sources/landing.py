@@ -56,17 +56,16 @@ def parse_lines(
         "quote": quote,
         "nullValue": "",
     }
-    split = F.from_csv("line", texts.simpleString()[len("struct<") : -1].replace(":", " "), options)
-    raw = lines.withColumn("_fields", split)
-    fields = [
-        (f, F.col(f"_fields.{f.name}"), _typed(F.col(f"_fields.{f.name}"), f.dataType))
-        for f in schema.fields
-    ]
+    ddl = ", ".join(f"`{f.name}` string" for f in texts.fields)
+    # Produced by a generator, the fields are split once per line; as a plain
+    # column the split would be repeated in every condition pushed below it.
+    raw = lines.select("*", F.inline(F.array(F.from_csv("line", ddl, options))))
+    fields = [(f, F.col(f.name), _typed(F.col(f.name), f.dataType)) for f in schema.fields]
     blank = F.length(F.trim("line")) == 0
     unreadable = reduce(or_, [text.isNotNull() & value.isNull() for _, text, value in fields])
     missing = reduce(or_, [text.isNull() for f, text, _ in fields if f.name in not_null], F.lit(False))
     reason = (
-        F.when(F.col(f"_fields.{_BAD}").isNotNull() | blank, "field count")
+        F.when(F.col(_BAD).isNotNull() | blank, "field count")
         .when(unreadable, "unreadable value")
         .when(missing, "required value missing")
     )

@@ -2,21 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.sources.sample_retail import SampleRetail
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the cluster's shared one; below /tmp only where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        return tempfile.mkdtemp(prefix="run-")
-    return f"{shared.rstrip('/')}/shelfline-{uuid.uuid4().hex}"
+from shelfline.sources.tables import shared_folder
 
 
 def inventory_lines(r: SampleRetail) -> DataFrame:

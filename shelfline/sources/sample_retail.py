@@ -15,6 +15,22 @@ from pyspark.sql import functions as F
 
 from shelfline.functions import day_of_week_num, julian_day, week_start
 
+# Supplied tables. Declared, so that no job has to look them up.
+SUPPLIED = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": """c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,
+        c_mktsegment string""",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": """p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,
+        p_retailprice double""",
+    "orders": """o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,
+        o_orderdate timestamp_ntz, o_orderpriority string""",
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,
+        l_quantity double, l_extendedprice double, l_discount double, l_tax double,
+        l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz""",
+}
+
 ITEM_OF_PART = "l_partkey div 100"
 WAREHOUSE_OF_SUPPLIER = "case when l_suppkey % 17 = 0 then null else l_suppkey % 6 end"
 
@@ -32,7 +48,8 @@ class SampleRetail:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        return self.spark.read.schema(SUPPLIED[name]).parquet(path)
 
     @cached_property
     def date_dim(self) -> DataFrame:
