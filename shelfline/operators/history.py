@@ -60,40 +60,36 @@ def scd2_merge(
     raise ValueError(f"unknown mode {mode!r}")
 
 
-def _prefixed(df: DataFrame, columns: Sequence[str], prefix: str) -> DataFrame:
-    return df.select([F.col(c).alias(prefix + c) for c in columns])
-
-
 def _opened(rows: DataFrame, columns: Sequence[str], stamp: Column) -> DataFrame:
     return rows.select(
         *columns, stamp.alias("start_date"), F.lit(None).cast("timestamp_ntz").alias("end_date")
     )
 
 
-def _same(columns: Sequence[str], prefix: str) -> Column:
-    return reduce(and_, [F.col(c).eqNullSafe(F.col(prefix + c)) for c in columns])
-
-
 def _merge_null_safe(
     snapshot: DataFrame, source: DataFrame, key: str, columns: Sequence[str], stamp: Column
 ) -> DataFrame:
+    # A struct never is null and equals another field by field, nulls included, so
+    # one plain equality compares whole rows and one shuffle serves both the
+    # removal of copies and the join.
+    packed = F.struct(*columns).alias("row")
     closed = snapshot.filter("end_date is not null")
-    current = snapshot.filter("end_date is null")
-
-    # Both lookups are distinct, so each open version keeps exactly one row and
-    # a heavily repeated source row shrinks before it is shuffled.
-    same = _prefixed(source, columns, "r_").distinct().withColumn("is_same", F.lit(True))
-    seen = _prefixed(source, [key], "k_").distinct().withColumn("is_seen", F.lit(True))
-    checked = current.join(same, _same(columns, "r_"), "left").join(
-        seen, F.col(key).eqNullSafe(F.col("k_" + key)), "left"
+    current = snapshot.filter("end_date is null").select(packed, "start_date")
+    incoming = source.select(packed)
+
+    # Both lookups are distinct: every open version keeps exactly one row, and a
+    # heavily repeated source row shrinks before it is shuffled.
+    same = incoming.distinct().withColumn("is_same", F.lit(True))
+    seen = source.select(F.struct(key).alias("seen_key")).distinct()
+    seen = seen.withColumn("is_seen", F.lit(True))
+    version_key = F.struct(F.col(f"row.{key}").alias(key))
+    checked = current.join(same, "row", "left").join(
+        seen, version_key == F.col("seen_key"), "left"
     )
     outdated = F.col("is_seen").isNotNull() & F.col("is_same").isNull()
-    kept = checked.select(
-        *columns, "start_date", F.when(outdated, stamp).alias("end_date")
-    )
+    kept = checked.select("row.*", "start_date", F.when(outdated, stamp).alias("end_date"))
 
-    known = _prefixed(current, columns, "s_").distinct()
-    added = source.join(known, _same(columns, "s_"), "left_anti")
+    added = incoming.join(current.select("row").distinct(), "row", "left_anti").select("row.*")
     return closed.unionByName(kept).unionByName(_opened(added, columns, stamp))
 
 
@@ -117,7 +113,7 @@ def _merge_reference(
 
     # Close every version, new ones included, that differs from a source row of its key.
     others = [c for c in columns if c != key]
-    incoming = _prefixed(source, columns, "r_")
+    incoming = source.select([F.col(c).alias("r_" + c) for c in columns])
     differs = (F.col(key) == F.col("r_" + key)) & reduce(
         or_, [compared(c) != compared(c, "r_") for c in others]
     )

@@ -1,0 +1,193 @@
+"""Stored tables and the whole pipeline."""
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from shelfline.operators import quality, refresh
+from shelfline.plans import facts, pipeline
+from shelfline.sources import sample_landing, tables
+from shelfline.sources.sample_retail import SampleRetail
+from shelfline.sources.tables import TableStore
+from tests.conftest import CATALOG, INVENTORY, SAMPLE, WEB, day_key, rows
+
+KEYED = "k long, v string"
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    return TableStore(spark, str(tmp_path / "store"))
+
+
+def keyed(spark, *data):
+    return spark.createDataFrame(list(data), KEYED)
+
+
+def test_replace_may_read_what_it_replaces(spark, store):
+    store.replace("raw/t", keyed(spark, (1, "a"), (2, "b")))
+    result = store.replace("raw/t", store.read("raw/t").withColumn("k", F.col("k") + 10))
+    assert rows(result) == [(11, "a"), (12, "b")]
+    assert rows(store.read("raw/t", version=1)) == [(1, "a"), (2, "b")]
+
+
+def test_old_versions_are_dropped(spark, store):
+    for n in range(4):
+        store.replace("raw/t", keyed(spark, (n, "a")), keep=2)
+    assert store.versions("raw/t") == [3, 4]
+    assert rows(store.read("raw/t")) == [(3, "a")]
+
+
+def test_failed_write_leaves_the_table_as_it_was(spark, store):
+    store.replace("raw/t", keyed(spark, (1, "a")))
+    broken = keyed(spark, (2, "b")).select(F.raise_error(F.lit("boom")).cast("long").alias("k"))
+    with pytest.raises(Exception, match="boom"):
+        store.replace("raw/t", broken)
+    assert rows(store.read("raw/t")) == [(1, "a")]
+    assert rows(store.replace("raw/t", keyed(spark, (3, "c")))) == [(3, "c")]
+
+
+def test_truncate_keeps_the_schema(spark, store):
+    store.replace("raw/t", keyed(spark, (1, "a")))
+    emptied = store.truncate("raw/t")
+    assert emptied.count() == 0 and emptied.columns == ["k", "v"]
+
+
+def test_missing_table(store):
+    assert not store.exists("raw/none")
+    with pytest.raises(FileNotFoundError):
+        store.read("raw/none")
+
+
+def test_refresh_touches_only_partitions_from_the_key_on(spark, store, tmp_path):
+    schema = keyed(spark).schema
+    assert store.read_partitioned("raw/p", schema).count() == 0
+    store.refresh_partitions("raw/p", keyed(spark, (1, "a"), (2, "b"), (3, "c")), "k", 0)
+    folder = tmp_path / "store" / "raw" / "p"
+    untouched = {p.name for p in (folder / "k=1").iterdir()}
+
+    current = store.read_partitioned("raw/p", schema)
+    # 2 changes, 3 loses all its rows, 4 is new.
+    state = current.filter("k < 2").unionByName(keyed(spark, (2, "B"), (4, "d")))
+    store.refresh_partitions("raw/p", state, "k", 2)
+    assert rows(store.read_partitioned("raw/p", schema)) == [(1, "a"), (2, "B"), (4, "d")]
+    assert {p.name for p in (folder / "k=1").iterdir()} == untouched
+    assert not (folder / "k=3").exists()
+
+
+def test_written_tables_go_to_the_folder_the_session_names(spark):
+    kept = tables.written(keyed(spark, (1, "a")))
+    assert rows(kept) == [(1, "a")]
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    assert all(shared in path for path in kept.inputFiles())
+
+
+def test_incremental_refresh_on_any_key(spark):
+    target = keyed(spark, (1, "a"), (5, "partial"), (None, "kept"))
+    fresh = keyed(spark, (1, "late"), (5, "whole"), (6, "new"), (None, "never"))
+    assert rows(refresh.incremental_refresh(target, fresh, "k")) == [
+        (1, "a"),
+        (5, "whole"),
+        (6, "new"),
+        (None, "kept"),
+    ]
+    assert rows(refresh.incremental_refresh(target.limit(0), fresh, "k"), "k") == [(1,), (5,), (6,)]
+
+
+def test_high_water_of_nothing_is_null_and_the_mark_is_zero(spark):
+    assert rows(refresh.high_water(keyed(spark), "k")) == [(None,)]
+    assert refresh.read_mark(keyed(spark), "k") == 0
+    assert refresh.read_mark(keyed(spark, (4, "a")), "k") == 4
+
+
+def test_quality_counts(spark):
+    df = keyed(spark, (1, "a"), (1, "a"), (2, None), (None, None))
+    assert rows(quality.null_counts(df, ["k", "v"])) == [("k", 1), ("v", 2)]
+    assert rows(quality.duplicate_key_counts(df, ["k"])) == [(1, 1)]
+    assert rows(quality.duplicate_key_counts(df.limit(0), ["k"])) == [(0, 0)]
+    assert rows(quality.distinct_rows(df)) == [(1, "a"), (2, None), (None, None)]
+    assert rows(quality.copy_dimension(df)) == rows(df)
+    assert quality.empty_like(df).schema == df.schema and quality.empty_like(df).count() == 0
+
+
+# The pipeline, on few days so that the daily fact has few partitions.
+
+SUN, MON, SAT = day_key("1999-12-26"), day_key("1999-12-27"), day_key("2000-01-01")
+SAMPLE_TABLES = """item warehouse promotion web_site customer customer_address
+    customer_demographics household_demographics income_band""".split()
+
+
+@pytest.fixture
+def raw(spark, calendar):
+    sample = SampleRetail(spark, SAMPLE)
+    found = {name: getattr(sample, name) for name in SAMPLE_TABLES}
+    full_web = sample.web_sales.limit(0)
+    return {**found, "date_dim": calendar, "full_web": full_web}
+
+
+def day_of_sales(spark, raw, *lines):
+    """Raw tables with the given (warehouse, item, day, quantity) lines in both channels."""
+    priced = [(*line, Decimal("2.00"), Decimal("0.50")) for line in lines]
+    web = spark.createDataFrame(priced, WEB)
+    missing = [f for f in raw["full_web"].schema if f.name not in web.columns]
+    web = web.select("*", *[F.lit(1).cast(f.dataType).alias(f.name) for f in missing])
+    return {**raw, "catalog_sales": spark.createDataFrame(priced, CATALOG), "web_sales": web}
+
+
+def test_pipeline_over_two_days_equals_one_full_load(spark, calendar, store, raw):
+    inventory = spark.createDataFrame([(SUN, 7, 3, 1), (MON, 7, 5, 1)], INVENTORY)
+    lines = [(1, 7, SUN, 2), (1, 7, MON, 1), (2, 8, MON, 4), (1, 7, SAT, 9)]
+    for day, seen in [("2000-01-01", lines[:2]), ("2000-01-02", lines)]:
+        tables_now = {**day_of_sales(spark, raw, *seen), "inventory": inventory}
+        done = pipeline.run_pipeline(spark, tables_now, store, pipeline.Options(as_of=day))
+
+    full = facts.daily_sales(tables_now["catalog_sales"], tables_now["web_sales"], calendar)
+    assert rows(done[pipeline.DAILY]) == rows(full)
+    assert rows(done[pipeline.WEEKLY]) == rows(
+        facts.weekly_sales_inventory(full, inventory, calendar)
+    )
+    # Customers did not change on the second day, so nothing was closed or added.
+    snapshot = done[pipeline.SNAPSHOT]
+    assert snapshot.count() == raw["customer"].count()
+    assert rows(snapshot.select("start_date").distinct()) == [(dt.datetime(2000, 1, 1),)]
+    assert done["analytics/customer_dim"].count() == snapshot.count()
+    assert rows(done["analytics/item_dim"].select("p_partkey")) == rows(
+        raw["item"].select("p_partkey")
+    )
+    assert done["analytics/seasonal_sales_monthly"].count() == 2
+    assert set(done) >= {
+        f"analytics/{t}"
+        for t in (
+            "date_dim",
+            "warehouse_dim",
+            "customer_lifetime_value",
+            "marketing_attribution",
+            "seasonal_sales_quarterly",
+            "shipping_time",
+        )
+    }
+
+
+def test_pipeline_loads_inventory_from_landing_files(spark, store):
+    sample = SampleRetail(spark, SAMPLE)
+    path = sample_landing.write_inventory_files(sample)
+    loaded = pipeline.load_inventory(spark, store, path)
+    rejected = store.read(pipeline.INVENTORY_REJECTS)
+    assert rejected.count() > 0
+    assert loaded.count() + rejected.count() == sample.inventory.count()
+
+
+def test_refresh_weekly_with_the_daily_watermark(spark, calendar, store):
+    def daily_of(*lines):
+        data = [(*line, Decimal("2.00"), Decimal("0.50")) for line in lines]
+        empty = spark.createDataFrame([], WEB)
+        return facts.daily_sales(spark.createDataFrame(data, CATALOG), empty, calendar)
+
+    none = spark.createDataFrame([], INVENTORY)
+    options = pipeline.Options(watermark="daily")
+    pipeline.refresh_weekly(store, daily_of((1, 7, MON, 3)), none, calendar, options)
+    later = daily_of((1, 7, MON, 3), (1, 7, SAT, 1), (1, 8, SAT, 2), (1, 9, MON, 5))
+    mart = pipeline.refresh_weekly(store, later, none, calendar, options)
+    # The new group joins the week's partition without disturbing the row already there.
+    assert rows(mart, "item_sk", "sold_wk_sk", "sum_qty_wk") == [(7, SUN, 3), (8, SUN, 2)]
