@@ -220,10 +220,10 @@ class SampleRetail:
             """case when c_custkey % 19 != 0
                then concat('login', cast(c_custkey as string)) end as c_login""",
             """case when c_custkey % 5 != 0
-               then cast(c_nationkey as bigint) end as c_current_cdemo_sk""",
+               then cast(c_nationkey * 2 % 27 as bigint) end as c_current_cdemo_sk""",
             "c_name as c_first_name",
             """case when c_custkey % 6 != 0
-               then cast(c_nationkey as bigint) end as c_current_hdemo_sk""",
+               then cast(c_nationkey + 1 as bigint) end as c_current_hdemo_sk""",
             "case when c_custkey % 29 != 0 then c_custkey end as c_current_addr_sk",
             "concat('Family', cast(c_nationkey as string)) as c_last_name",
             "concat('ID', cast(c_custkey as string)) as c_customer_id",
@@ -299,42 +299,35 @@ class SampleRetail:
 
     @cached_property
     def customer_demographics(self) -> DataFrame:
-        """Four regions are described; customers of the fifth find nothing."""
-        return (
-            self.table("nation")
-            .filter("n_regionkey < 4")
-            .selectExpr(
-                "cast(n_nationkey as bigint) as cd_demo_sk",
-                "cast(n_nationkey % 3 as bigint) as cd_dep_employed_count",
-                "cast(n_nationkey % 7 as bigint) as cd_dep_count",
-                "case when n_nationkey % 2 = 0 then 'Good' else 'Low Risk' end as cd_credit_rating",
-                "concat('Level', cast(n_regionkey as string)) as cd_education_status",
-                "cast(500 * (n_nationkey + 1) as bigint) as cd_purchase_estimate",
-                "case when n_nationkey % 3 = 0 then 'M' else 'S' end as cd_marital_status",
-                "cast(n_nationkey % 4 as bigint) as cd_dep_college_count",
-                "case when n_nationkey % 2 = 0 then 'F' else 'M' end as cd_gender",
-            )
+        """One row per nation; customers with code 26 find nothing."""
+        return self.table("nation").selectExpr(
+            "cast(n_nationkey as bigint) as cd_demo_sk",
+            "cast(n_nationkey % 3 as bigint) as cd_dep_employed_count",
+            "cast(n_nationkey % 7 as bigint) as cd_dep_count",
+            "case when n_nationkey % 2 = 0 then 'Good' else 'Low Risk' end as cd_credit_rating",
+            "concat('Level', cast(n_regionkey as string)) as cd_education_status",
+            "cast(500 * (n_nationkey + 1) as bigint) as cd_purchase_estimate",
+            "case when n_nationkey % 3 = 0 then 'M' else 'S' end as cd_marital_status",
+            "cast(n_nationkey % 4 as bigint) as cd_dep_college_count",
+            "case when n_nationkey % 2 = 0 then 'F' else 'M' end as cd_gender",
         )
 
     @cached_property
     def household_demographics(self) -> DataFrame:
+        """One row per nation; customers with code 25 find nothing."""
         return self.table("nation").selectExpr(
             "cast(n_nationkey as bigint) as hd_demo_sk",
             "concat('Buys', cast(n_nationkey % 6 as string)) as hd_buy_potential",
             "cast(n_nationkey % 9 as bigint) as hd_dep_count",
             "cast(n_nationkey % 5 as bigint) as hd_vehicle_count",
-            "cast(n_regionkey + 1 as bigint) as hd_income_band_sk",
+            "cast(n_regionkey + 2 as bigint) as hd_income_band_sk",
         )
 
     @cached_property
     def income_band(self) -> DataFrame:
-        """Bands of all regions but the last, so one household band dangles."""
-        return (
-            self.table("region")
-            .filter("r_regionkey < 4")
-            .selectExpr(
-                "cast(r_regionkey + 1 as bigint) as ib_income_band_sk",
-                "cast(r_regionkey * 10000 + 1 as bigint) as ib_lower_bound",
-                "cast((r_regionkey + 1) * 10000 as bigint) as ib_upper_bound",
-            )
+        """Bands 1 to 5; households of band 6 find none."""
+        return self.table("region").selectExpr(
+            "cast(r_regionkey + 1 as bigint) as ib_income_band_sk",
+            "cast(r_regionkey * 10000 + 1 as bigint) as ib_lower_bound",
+            "cast((r_regionkey + 1) * 10000 as bigint) as ib_upper_bound",
         )
