@@ -47,45 +47,61 @@ def load_inventory(spark: SparkSession, store: TableStore, path: str) -> DataFra
     return store.replace(RAW_INVENTORY, good)
 
 
+def read_daily(store: TableStore, from_key: int | None = None) -> DataFrame:
+    return store.read_partitioned(DAILY, DAILY_SALES, facts.DAILY_KEY, from_key)
+
+
+def read_weekly(store: TableStore, from_key: int | None = None) -> DataFrame:
+    return store.read_partitioned(WEEKLY, WEEKLY_SALES_INVENTORY, facts.WEEKLY_KEY, from_key)
+
+
 def refresh_daily(store: TableStore, raw: Mapping[str, DataFrame]) -> DataFrame:
-    """Rebuild the last loaded day of the daily fact and add the days after it."""
-    target = store.read_partitioned(DAILY, DAILY_SALES)
-    mark = read_mark(target, facts.DAILY_KEY)
-    state = facts.daily_sales(
-        raw["catalog_sales"], raw["web_sales"], raw["date_dim"], target, mark
+    """Rebuild the last loaded day of the daily fact and add the days after it.
+
+    The mark is the last partition. What is kept lies before it, so the stored
+    fact itself is neither read nor listed beyond its folder names.
+    """
+    mark = store.last_key(DAILY, facts.DAILY_KEY)
+    fresh = facts.daily_sales(
+        raw["catalog_sales"], raw["web_sales"], raw["date_dim"], mark=mark
     )
-    store.refresh_partitions(DAILY, state, facts.DAILY_KEY, mark, ("item_sk", "warehouse_sk"))
-    return store.read_partitioned(DAILY, DAILY_SALES)
+    store.refresh_partitions(DAILY, fresh, facts.DAILY_KEY, mark, ("item_sk", "warehouse_sk"))
+    return read_daily(store)
 
 
 def refresh_weekly(
     store: TableStore,
-    daily: DataFrame,
     inventory: DataFrame,
     date_dim: DataFrame,
     options: Options = Options(),
+    daily: DataFrame | None = None,
 ) -> DataFrame:
-    """Rebuild the last loaded week of the mart and add the weeks after it."""
-    target = store.read_partitioned(WEEKLY, WEEKLY_SALES_INVENTORY)
-    marked = (target, facts.WEEKLY_KEY)
-    if options.watermark == "daily":
-        marked = (daily, facts.DAILY_KEY)
-    mark = read_mark(*marked)
+    """Rebuild the last loaded week of the mart and add the weeks after it.
+
+    Reads only the daily rows and mart weeks that can take part.
+    """
+    if options.watermark == "weekly":
+        mark = store.last_key(WEEKLY, facts.WEEKLY_KEY)
+    elif daily is None:
+        mark = store.last_key(DAILY, facts.DAILY_KEY)
+    else:
+        mark = read_mark(daily, facts.DAILY_KEY)
     first_day = facts.first_day_to_read(date_dim, mark).first()["first_day"]
+    from_key = min(mark, first_day)
     state = facts.weekly_sales_inventory(
-        daily,
+        read_daily(store, first_day) if daily is None else daily,
         inventory,
         date_dim,
-        target,
+        read_weekly(store, from_key),
         options.watermark,
         options.fanout,
         mark,
         first_day,
     )
     store.refresh_partitions(
-        WEEKLY, state, facts.WEEKLY_KEY, min(mark, first_day), ("item_sk", "warehouse_sk")
+        WEEKLY, state, facts.WEEKLY_KEY, from_key, ("item_sk", "warehouse_sk")
     )
-    return store.read_partitioned(WEEKLY, WEEKLY_SALES_INVENTORY)
+    return read_weekly(store)
 
 
 def refresh_customers(
@@ -129,7 +145,7 @@ def run_pipeline(
         done[RAW_INVENTORY] = inventory
 
     done[DAILY] = refresh_daily(store, raw)
-    done[WEEKLY] = refresh_weekly(store, done[DAILY], inventory, date_dim, options)
+    done[WEEKLY] = refresh_weekly(store, inventory, date_dim, options)
     done[SNAPSHOT], done["analytics/customer_dim"] = refresh_customers(spark, store, raw, options)
 
     web = raw["web_sales"]

@@ -114,33 +114,55 @@ class TableStore:
 
     # Partitioned tables.
 
-    def read_partitioned(self, table: str, schema: T.StructType) -> DataFrame:
-        """A partitioned table under its declared schema; empty before the first write."""
-        if not self._children(table):
-            return self.spark.createDataFrame([], schema)
-        stored = self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
-        return stored.select(schema.fieldNames())
-
-    def _partition_files(self, table: str, key: str, from_key: int) -> dict[str, frozenset[str]]:
+    def _keys(self, table: str, key: str) -> dict[int, str]:
+        """Partition folders by key value, from their names alone."""
         prefix = f"{key}="
         found = {}
         for name in self._children(table):
             value = name.removeprefix(prefix)
-            if name.startswith(prefix) and value.lstrip("-").isdigit() and int(value) >= from_key:
-                found[name] = frozenset(self._children(table, name))
+            if name.startswith(prefix) and value.lstrip("-").isdigit():
+                found[int(value)] = name
         return found
 
+    def last_key(self, table: str, key: str) -> int:
+        """The greatest partition key, 0 when there is none. Opens no file."""
+        return max(self._keys(table, key), default=0)
+
+    def read_partitioned(
+        self, table: str, schema: T.StructType, key: str, from_key: int | None = None
+    ) -> DataFrame:
+        """A partitioned table under its declared schema; empty before the first write.
+
+        With ``from_key`` the folders of smaller keys are not even listed.
+        """
+        keys = self._keys(table, key)
+        root = f"{self.root}/{table}"
+        wanted = [root]
+        if from_key is not None:
+            wanted = [f"{root}/{name}" for value, name in keys.items() if value >= from_key]
+        if not keys or not wanted:
+            return self.spark.createDataFrame([], schema)
+        stored = self.spark.read.schema(schema).option("basePath", root).parquet(*wanted)
+        return stored.select(schema.fieldNames())
+
+    def _files_from(self, table: str, key: str, from_key: int) -> dict[str, frozenset[str]]:
+        return {
+            name: frozenset(self._children(table, name))
+            for value, name in self._keys(table, key).items()
+            if value >= from_key
+        }
+
     def refresh_partitions(
         self, table: str, state: DataFrame, key: str, from_key: int, sort_by: tuple[str, ...] = ()
     ) -> None:
         """Make the partitions with ``key >= from_key`` equal to those rows of ``state``.
 
-        ``state`` is the whole new table and may read the stored one; the filter
-        pushed into it leaves older partitions unread. Rows are gathered by key
-        before writing, with large keys split and small ones packed together, so
-        each partition gets a few well-sized files.
+        Rows of ``state`` below ``from_key`` are ignored, and it may read the table
+        it goes to. Rows are gathered by key before writing, with large keys split
+        and small ones packed together, so each partition gets a few well-sized
+        files.
         """
-        before = self._partition_files(table, key, from_key)
+        before = self._files_from(table, key, from_key)
         rows = state.filter(F.col(key) >= from_key).hint("rebalance", key)
         (
             rows.sortWithinPartitions(key, *sort_by)
@@ -150,7 +172,7 @@ class TableStore:
             .parquet(f"{self.root}/{table}")
         )
         # A dynamic overwrite leaves a partition alone when it gets no rows.
-        after = self._partition_files(table, key, from_key)
+        after = self._files_from(table, key, from_key)
         for name, files in before.items():
             if after.get(name) == files:
                 self._delete(table, name)

@@ -62,16 +62,21 @@ def test_missing_table(store):
 
 def test_refresh_touches_only_partitions_from_the_key_on(spark, store, tmp_path):
     schema = keyed(spark).schema
-    assert store.read_partitioned("raw/p", schema).count() == 0
+    assert store.read_partitioned("raw/p", schema, "k").count() == 0
+    assert store.last_key("raw/p", "k") == 0
     store.refresh_partitions("raw/p", keyed(spark, (1, "a"), (2, "b"), (3, "c")), "k", 0)
     folder = tmp_path / "store" / "raw" / "p"
     untouched = {p.name for p in (folder / "k=1").iterdir()}
 
-    current = store.read_partitioned("raw/p", schema)
+    assert store.last_key("raw/p", "k") == 3
+    assert rows(store.read_partitioned("raw/p", schema, "k", 3)) == [(3, "c")]
+    assert store.read_partitioned("raw/p", schema, "k", 4).count() == 0
+
+    current = store.read_partitioned("raw/p", schema, "k")
     # 2 changes, 3 loses all its rows, 4 is new.
     state = current.filter("k < 2").unionByName(keyed(spark, (2, "B"), (4, "d")))
     store.refresh_partitions("raw/p", state, "k", 2)
-    assert rows(store.read_partitioned("raw/p", schema)) == [(1, "a"), (2, "B"), (4, "d")]
+    assert rows(store.read_partitioned("raw/p", schema, "k")) == [(1, "a"), (2, "B"), (4, "d")]
     assert {p.name for p in (folder / "k=1").iterdir()} == untouched
     assert not (folder / "k=3").exists()
 
@@ -186,8 +191,8 @@ def test_refresh_weekly_with_the_daily_watermark(spark, calendar, store):
 
     none = spark.createDataFrame([], INVENTORY)
     options = pipeline.Options(watermark="daily")
-    pipeline.refresh_weekly(store, daily_of((1, 7, MON, 3)), none, calendar, options)
+    pipeline.refresh_weekly(store, none, calendar, options, daily_of((1, 7, MON, 3)))
     later = daily_of((1, 7, MON, 3), (1, 7, SAT, 1), (1, 8, SAT, 2), (1, 9, MON, 5))
-    mart = pipeline.refresh_weekly(store, later, none, calendar, options)
+    mart = pipeline.refresh_weekly(store, none, calendar, options, later)
     # The new group joins the week's partition without disturbing the row already there.
     assert rows(mart, "item_sk", "sold_wk_sk", "sum_qty_wk") == [(7, SUN, 3), (8, SUN, 2)]
