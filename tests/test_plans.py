@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
 from shelfline.operators.refresh import mark_of
-from shelfline.plans import facts, metrics
+from shelfline.plans import dimensions, facts, metrics
 from shelfline.sources.sample_retail import SampleRetail
 from shelfline.sources.tables import written
 from tests.conftest import SAMPLE
@@ -130,22 +130,90 @@ def test_large_calendar_is_not_broadcast(stored, conf):
     assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
 
 
-def test_hot_shipping_address_is_split(spark, stored, conf):
-    """A third of the shipments go to one address; its partition is divided."""
+@pytest.fixture
+def split_small_partitions(conf):
+    """Sort-merge joins only, and partitions of a few kilobytes already count as skewed."""
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8k")
     conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "8k")
     conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
     conf("spark.sql.shuffle.partitions", "16")
+
+
+def assert_split_and_equal(build, conf):
+    """``build()`` splits a hot partition and returns what it returns without splitting."""
+    df = build()
+    split = df.collect()
+    assert "skew=true" in plan_of(df)
+    conf("spark.sql.adaptive.skewJoin.enabled", "false")
+    key = lambda r: tuple(str(v) for v in r)
+    assert sorted(split, key=key) == sorted(build().collect(), key=key)
+
+
+def test_hot_shipping_address_is_split(stored, conf, split_small_partitions):
+    """A third of the shipments go to one address."""
     address = stored["customer_address"].agg(F.min("ca_address_sk")).first()[0]
     hot = F.when(F.col("ws_order_number") % 3 == 0, address).otherwise(F.col("ws_ship_addr_sk"))
     web = written(stored["web_sales"].withColumn("ws_ship_addr_sk", hot).repartition(8))
     tables = (stored["warehouse"], stored["customer_address"], stored["web_site"])
-    shipments = metrics.shipping_time(web, *tables)
-    split = shipments.collect()
-    assert "skew=true" in plan_of(shipments)
+    assert_split_and_equal(lambda: metrics.shipping_time(web, *tables), conf)
 
-    conf("spark.sql.adaptive.skewJoin.enabled", "false")
-    unsplit = metrics.shipping_time(web, *tables).collect()
-    key = lambda r: tuple(str(v) for v in r)
-    assert sorted(split, key=key) == sorted(unsplit, key=key)
+
+@pytest.fixture
+def hot_versions(spark):
+    """A third of all customer versions belong to one customer."""
+    sample = SampleRetail(spark, SAMPLE)
+    versions = sample.customer_snapshot.withColumn(
+        "copy", F.explode(F.sequence(F.lit(1), F.lit(20)))
+    )
+    one = F.expr("c_customer_sk * 20 + copy")
+    hot = F.when(F.col("copy") % 3 == 0, F.lit(42)).otherwise(one)
+    closed = F.when(F.col("copy") % 3 == 0, F.expr("timestamp_ntz '2000-06-01 00:00:00'"))
+    return written(
+        versions.withColumn("c_customer_sk", hot)
+        .withColumn("c_login", F.concat("c_login", F.col("copy").cast("string")))
+        .withColumn("end_date", closed)
+        .drop("copy")
+        .repartition(8)
+    )
+
+
+@pytest.mark.parametrize("missing", [False, True])
+def test_hot_customer_address_is_split(spark, stored, conf, split_small_partitions, missing, hot_versions):
+    """A third of the versions share one address, or have none."""
+    sample = SampleRetail(spark, SAMPLE)
+    address = stored["customer_address"].agg(F.min("ca_address_sk")).first()[0]
+    hot = F.lit(None).cast("bigint") if missing else F.lit(address)
+    versions = written(
+        hot_versions.withColumn(
+            "c_current_addr_sk",
+            F.when(F.col("c_customer_sk") == 42, hot).otherwise(F.col("c_current_addr_sk")),
+        )
+    )
+    lookups = (
+        stored["customer_address"],
+        sample.customer_demographics,
+        sample.household_demographics,
+        sample.income_band,
+    )
+    assert_split_and_equal(lambda: dimensions.customer_dim(versions, *lookups), conf)
+
+
+def test_customer_with_a_third_of_all_versions_is_split(
+    spark, conf, split_small_partitions, hot_versions
+):
+    customers = written(SampleRetail(spark, SAMPLE).customer)
+    assert_split_and_equal(
+        lambda: dimensions.customer_scd2(hot_versions, customers, "2002-01-01", "reference"), conf
+    )
+
+
+def test_closed_history_takes_no_part_in_the_null_safe_merge(spark, conf, hot_versions):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    customers = written(SampleRetail(spark, SAMPLE).customer)
+    merged = dimensions.customer_scd2(hot_versions, customers, "2002-01-01")
+    assert merged.filter("c_customer_sk = 42 and end_date = timestamp_ntz '2000-06-01'").count() == (
+        hot_versions.filter("c_customer_sk = 42").count()
+    )
+    # Open versions by row and by key, their rows, and the source's rows twice and keys.
+    assert shuffles(plan_of(merged)) == 6
