@@ -189,7 +189,7 @@ def _month() -> Column:
     return F.month("cal_dt").cast("bigint").alias("month")
 
 
-def _sales_per_day(web_sales: DataFrame, money: str, scale: int) -> DataFrame:
+def _units_per_day(web_sales: DataFrame, money: str, scale: int) -> DataFrame:
     return web_sales.groupBy("ws_sold_date_sk").agg(
         F.sum(units(web_sales, money, scale)).alias("day_units")
     )
@@ -198,7 +198,7 @@ def _sales_per_day(web_sales: DataFrame, money: str, scale: int) -> DataFrame:
 def seasonal_sales(web_sales: DataFrame, date_dim: DataFrame) -> DataFrame:
     """Net paid per calendar year and month."""
     scale = money_scale(web_sales, "ws_net_paid")
-    per_day = _sales_per_day(web_sales, "ws_net_paid", scale)
+    per_day = _units_per_day(web_sales, "ws_net_paid", scale)
     return (
         _on_sold_day(per_day, date_dim)
         .groupBy(_year(), _month())
@@ -207,13 +207,26 @@ def seasonal_sales(web_sales: DataFrame, date_dim: DataFrame) -> DataFrame:
     )
 
 
+def prices_by_day(web_sales: DataFrame) -> DataFrame:
+    """Unit sales prices summed per sold day: one small row for every day.
+
+    A stand-in for the sales table in ``sales_by_period``, which reads the same
+    two columns; store it once when several periods are wanted.
+    """
+    scale = money_scale(web_sales, "ws_sales_price")
+    total = money_decimal(F.col("day_units"), scale)
+    return _units_per_day(web_sales, "ws_sales_price", scale).select(
+        "ws_sold_date_sk", total.alias("ws_sales_price")
+    )
+
+
 def sales_by_period(web_sales: DataFrame, date_dim: DataFrame, period: Period) -> DataFrame:
     """Unit sales prices summed per 'YYYY-MM' month or 'YYYY Qn' quarter."""
     if period not in ("month", "quarter"):
         raise ValueError(f"unknown period {period!r}")
     label = month_label if period == "month" else quarter_label
     scale = money_scale(web_sales, "ws_sales_price")
-    per_day = _sales_per_day(web_sales, "ws_sales_price", scale)
+    per_day = _units_per_day(web_sales, "ws_sales_price", scale)
     return (
         _on_sold_day(per_day, date_dim)
         .groupBy(label(F.col("cal_dt")).alias(period))

@@ -38,6 +38,7 @@ class Options:
     watermark: facts.Watermark = "weekly"
     fanout: facts.Fanout = "reference"
     inventory_landing: str | None = None
+    register: bool = False
 
 
 def load_inventory(spark: SparkSession, store: TableStore, path: str) -> DataFrame:
@@ -135,6 +136,7 @@ def run_pipeline(
     ``raw`` holds the source tables by name; inventory comes from the landing
     files instead when ``options.inventory_landing`` is given. Each stored table
     is read back before the next step uses it, so no step recomputes another.
+    With ``options.register`` the tables can then be queried as ``layer.name``.
     """
     date_dim = facts.check_calendar(raw["date_dim"])
     done: dict[str, DataFrame] = {}
@@ -149,18 +151,23 @@ def run_pipeline(
     done[SNAPSHOT], done["analytics/customer_dim"] = refresh_customers(spark, store, raw, options)
 
     web = raw["web_sales"]
+    # Both period tables come from one pass over the sales.
+    by_day = store.replace("intermediate/web_prices_by_day", metrics.prices_by_day(web))
     rebuilt = {
         "date_dim": copy_dimension(date_dim),
         "item_dim": copy_dimension(raw["item"]),
         "warehouse_dim": copy_dimension(raw["warehouse"]),
         "customer_lifetime_value": metrics.customer_lifetime_value(raw["customer"], web),
         "marketing_attribution": metrics.marketing_attribution(raw["promotion"], web),
-        "seasonal_sales_monthly": metrics.sales_by_period(web, date_dim, "month"),
-        "seasonal_sales_quarterly": metrics.sales_by_period(web, date_dim, "quarter"),
+        "seasonal_sales_monthly": metrics.sales_by_period(by_day, date_dim, "month"),
+        "seasonal_sales_quarterly": metrics.sales_by_period(by_day, date_dim, "quarter"),
         "shipping_time": metrics.shipping_time(
             web, raw["warehouse"], raw["customer_address"], raw["web_site"]
         ),
     }
     for name, df in rebuilt.items():
         done[f"analytics/{name}"] = store.replace(f"analytics/{name}", df)
+    if options.register:
+        for table, df in done.items():
+            store.register(table, df)
     return done

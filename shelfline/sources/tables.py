@@ -112,6 +112,23 @@ class TableStore:
     def exists(self, table: str) -> bool:
         return bool(self.versions(table))
 
+    def register(self, table: str, df: DataFrame) -> None:
+        """Make ``df``, read from this store, queryable in SQL as ``layer.name``.
+
+        The catalog entry is a view on the stored files with the columns and types
+        of ``df``. Register again after ``replace`` to show the new version.
+        """
+        layer, name = table.split("/")
+        committed = self.versions(table)
+        folder = self._folder(table, committed[-1]) if committed else f"{self.root}/{table}"
+        columns = ", ".join(
+            f"cast(`{f.name}` as {f.dataType.simpleString()}) as `{f.name}`" for f in df.schema
+        )
+        self.spark.sql(f"create database if not exists `{layer}`")
+        self.spark.sql(
+            f"create or replace view `{layer}`.`{name}` as select {columns} from parquet.`{folder}`"
+        )
+
     # Partitioned tables.
 
     def _keys(self, table: str, key: str) -> dict[int, str]:

@@ -24,6 +24,7 @@ def spark(tmp_path_factory):
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__sql__sources__parallelPartitionDiscovery__parallelism="4",
+        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )
     session.sparkContext.setLogLevel("ERROR")
     if session.conf.get("spark.checkpoint.dir", None) is None:

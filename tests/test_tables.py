@@ -145,7 +145,8 @@ def test_pipeline_over_two_days_equals_one_full_load(spark, calendar, store, raw
     lines = [(1, 7, SUN, 2), (1, 7, MON, 1), (2, 8, MON, 4), (1, 7, SAT, 9)]
     for day, seen in [("2000-01-01", lines[:2]), ("2000-01-02", lines)]:
         tables_now = {**day_of_sales(spark, raw, *seen), "inventory": inventory}
-        done = pipeline.run_pipeline(spark, tables_now, store, pipeline.Options(as_of=day))
+        options = pipeline.Options(as_of=day, register=True)
+        done = pipeline.run_pipeline(spark, tables_now, store, options)
 
     full = facts.daily_sales(tables_now["catalog_sales"], tables_now["web_sales"], calendar)
     assert rows(done[pipeline.DAILY]) == rows(full)
@@ -161,6 +162,14 @@ def test_pipeline_over_two_days_equals_one_full_load(spark, calendar, store, raw
         raw["item"].select("p_partkey")
     )
     assert done["analytics/seasonal_sales_monthly"].count() == 2
+    assert rows(done["analytics/seasonal_sales_quarterly"]) == [
+        ("1999 Q4", Decimal("6.00")),
+        ("2000 Q1", Decimal("2.00")),
+    ]
+    # Registered tables answer SQL with the stored types.
+    for table in (pipeline.WEEKLY, "analytics/customer_dim"):
+        by_name = spark.table(table.replace("/", "."))
+        assert by_name.schema == done[table].schema and rows(by_name) == rows(done[table])
     assert set(done) >= {
         f"analytics/{t}"
         for t in (
