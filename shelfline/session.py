@@ -21,6 +21,8 @@ def build_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Parquet grows in memory; judge broadcast candidates by more than their file size.
+        .config("spark.sql.sources.fileCompressionFactor", "3.0")
     )
     if master is not None:
         builder = builder.master(master)
