@@ -23,6 +23,8 @@ def build_session(
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # Parquet grows in memory; judge broadcast candidates by more than their file size.
         .config("spark.sql.sources.fileCompressionFactor", "3.0")
+        # Do not record a Python call site for every column expression built.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master is not None:
         builder = builder.master(master)

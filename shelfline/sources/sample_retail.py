@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.functions import day_of_week_num, julian_day, week_start
+from shelfline.functions.labels import UNIX_EPOCH_JULIAN_DAY
 
 # Supplied tables. Declared, so that no job has to look them up.
 SUPPLIED = {
@@ -35,9 +35,17 @@ ITEM_OF_PART = "l_partkey div 100"
 WAREHOUSE_OF_SUPPLIER = "case when l_suppkey % 17 = 0 then null else l_suppkey % 6 end"
 
 
-def _money(expression: str) -> Column:
+def _money(expression: str) -> str:
     """Whole amounts: ``floor`` gives the same value in every engine."""
-    return F.floor(F.expr(expression)).cast("decimal(12,2)")
+    return f"cast(floor({expression}) as decimal(12,2))"
+
+
+def _julian(day: str) -> str:
+    return f"cast(unix_date(cast({day} as date)) + {UNIX_EPOCH_JULIAN_DAY} as bigint)"
+
+
+def _sunday(day: str) -> str:
+    return f"date_sub(cast({day} as date), dayofweek(cast({day} as date)) - 1)"
 
 
 class SampleRetail:
@@ -57,52 +65,45 @@ class SampleRetail:
 
         Week and year are those of the week's Sunday, so a week has one Sunday.
         """
-        days = (
-            self.table("orders")
-            .select(F.col("o_orderdate").cast("date").alias("d"))
-            .unionAll(self.table("lineitem").select(F.col("l_shipdate").cast("date").alias("d")))
-        )
-        span = days.agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
-        first, last = week_start(F.col("lo")), F.date_add(week_start(F.col("hi")), 6)
-        day, sunday = F.col("cal_dt"), week_start(F.col("cal_dt"))
-        return span.select(F.explode(F.sequence(first, last)).alias("cal_dt")).select(
-            julian_day(day).alias("d_date_sk"),
-            day,
-            day_of_week_num(day).alias("day_of_wk_num"),
-            F.year(sunday).cast("bigint").alias("yr_num"),
-            (F.floor((F.dayofyear(sunday) - 1) / 7) + 1).cast("bigint").alias("wk_num"),
+        ordered = self.table("orders").selectExpr("cast(o_orderdate as date) as d")
+        shipped = self.table("lineitem").selectExpr("cast(l_shipdate as date) as d")
+        span = ordered.unionAll(shipped).selectExpr("min(d) as lo", "max(d) as hi")
+        first, last = _sunday("lo"), f"date_add({_sunday('hi')}, 6)"
+        days = span.selectExpr(f"explode(sequence({first}, {last})) as cal_dt")
+        return days.selectExpr(
+            f"{_julian('cal_dt')} as d_date_sk",
+            "cal_dt",
+            "cast(dayofweek(cal_dt) - 1 as bigint) as day_of_wk_num",
+            f"cast(year({_sunday('cal_dt')}) as bigint) as yr_num",
+            f"cast((dayofyear({_sunday('cal_dt')}) - 1) div 7 + 1 as bigint) as wk_num",
         )
 
     @cached_property
     def _sales_line(self) -> DataFrame:
         orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         lines = self.table("lineitem").join(orders, F.expr("l_orderkey = o_orderkey"))
-        sold = julian_day(F.col("o_orderdate").cast("date"))
-        return lines.select(
+        return lines.selectExpr(
             "l_linestatus",
-            F.expr(WAREHOUSE_OF_SUPPLIER).alias("warehouse_sk"),
-            F.expr(ITEM_OF_PART).alias("item_sk"),
-            F.when(F.expr("l_orderkey % 50 != 0"), sold).alias("sold_date_sk"),
-            julian_day(F.col("l_shipdate").cast("date")).alias("ship_date_sk"),
-            F.expr("case when l_partkey % 97 != 0 then cast(l_quantity as bigint) end").alias(
-                "quantity"
-            ),
-            _money("l_extendedprice / l_quantity").alias("sales_price"),
-            _money("l_extendedprice * (0.4 - l_discount)").alias("net_profit"),
-            _money("l_extendedprice * (1 - l_discount)").alias("net_paid"),
-            F.when(F.expr("l_orderkey % 41 != 0"), _money("l_extendedprice * 0.5")).alias(
-                "wholesale_cost"
-            ),
-            F.expr("l_partkey % 27").alias("promo_sk"),
-            F.expr("l_orderkey % 6").alias("ship_mode_sk"),
-            F.col("l_suppkey").alias("web_site_sk"),
-            F.col("l_orderkey").alias("order_number"),
-            F.col("o_custkey").alias("customer_sk"),
+            f"{WAREHOUSE_OF_SUPPLIER} as warehouse_sk",
+            f"{ITEM_OF_PART} as item_sk",
+            f"case when l_orderkey % 50 != 0 then {_julian('o_orderdate')} end as sold_date_sk",
+            f"{_julian('l_shipdate')} as ship_date_sk",
+            "case when l_partkey % 97 != 0 then cast(l_quantity as bigint) end as quantity",
+            f"{_money('l_extendedprice / l_quantity')} as sales_price",
+            f"{_money('l_extendedprice * (0.4 - l_discount)')} as net_profit",
+            f"{_money('l_extendedprice * (1 - l_discount)')} as net_paid",
+            f"""case when l_orderkey % 41 != 0 then {_money("l_extendedprice * 0.5")} end
+                as wholesale_cost""",
+            "l_partkey % 27 as promo_sk",
+            "l_orderkey % 6 as ship_mode_sk",
+            "l_suppkey as web_site_sk",
+            "l_orderkey as order_number",
+            "o_custkey as customer_sk",
         )
 
     def _channel(self, line_status: str, prefix: str, names: dict[str, str]) -> DataFrame:
-        lines = self._sales_line.filter(F.col("l_linestatus") == line_status)
-        return lines.select([F.col(source).alias(prefix + name) for name, source in names.items()])
+        lines = self._sales_line.filter(f"l_linestatus = '{line_status}'")
+        return lines.selectExpr([f"{source} as {prefix}{name}" for name, source in names.items()])
 
     @cached_property
     def catalog_sales(self) -> DataFrame:
@@ -148,27 +149,26 @@ class SampleRetail:
         """Sunday stock per shipped item and warehouse; warehouse 0 counts on Wednesday too."""
         shipped = (
             self.table("lineitem")
-            .select(
-                F.expr(ITEM_OF_PART).alias("item"),
-                F.expr(WAREHOUSE_OF_SUPPLIER).alias("warehouse"),
-                julian_day(week_start(F.col("l_shipdate").cast("date"))).alias("sunday"),
-                F.col("l_quantity").cast("bigint").alias("quantity"),
+            .selectExpr(
+                f"{ITEM_OF_PART} as item",
+                f"{WAREHOUSE_OF_SUPPLIER} as warehouse",
+                f"{_julian(_sunday('l_shipdate'))} as sunday",
+                "cast(l_quantity as bigint) as quantity",
             )
             .filter("warehouse is not null")
             .groupBy("item", "warehouse", "sunday")
             .agg(F.sum("quantity").alias("shipped"))
         )
-        days = F.expr("case when warehouse = 0 then array(0, 3) else array(0) end")
-        counted = shipped.select("*", F.explode(days).alias("day"))
-        on_hand = F.expr(
-            """case when (shipped + item) % 11 != 0
-               then (shipped * 7 + item * 13 + warehouse * 29 + day * 17) % 60 end"""
+        counted = shipped.selectExpr(
+            "*", "explode(case when warehouse = 0 then array(0, 3) else array(0) end) as day"
         )
-        return counted.select(
-            (F.col("sunday") + F.col("day")).alias("inv_date_sk"),
-            F.col("item").alias("inv_item_sk"),
-            on_hand.alias("inv_quantity_on_hand"),
-            F.col("warehouse").alias("inv_warehouse_sk"),
+        return counted.selectExpr(
+            "sunday + day as inv_date_sk",
+            "item as inv_item_sk",
+            """case when (shipped + item) % 11 != 0
+               then (shipped * 7 + item * 13 + warehouse * 29 + day * 17) % 60 end
+               as inv_quantity_on_hand""",
+            "warehouse as inv_warehouse_sk",
         )
 
     @cached_property

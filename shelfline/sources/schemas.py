@@ -7,8 +7,7 @@ table boundary is ``DoubleType`` and ratios are ``decimal(38,6)``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 _KINDS = {
@@ -170,15 +169,15 @@ SHIPPING_TIME = T.StructType(
 )
 
 
-def _declared(field: T.StructField) -> Column:
+def _declared(field: T.StructField) -> str:
     if isinstance(field.dataType, T.VarcharType):
-        text = F.col(field.name).cast("string")
-        too_long = F.concat(
-            F.lit(f"{field.name} is longer than {field.dataType.length} characters: "), text
+        text, limit = f"cast(`{field.name}` as string)", field.dataType.length
+        problem = f"concat('{field.name} is longer than {limit} characters: ', {text})"
+        return (
+            f"case when length({text}) > {limit} then raise_error({problem})"
+            f" else {text} end as `{field.name}`"
         )
-        checked = F.when(F.length(text) > field.dataType.length, F.raise_error(too_long))
-        return checked.otherwise(text).alias(field.name)
-    return F.col(field.name).cast(field.dataType).alias(field.name)
+    return f"cast(`{field.name}` as {field.dataType.simpleString()}) as `{field.name}`"
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -186,4 +185,4 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
     An over-long text raises, as it would on insert into a ``varchar(n)`` column.
     """
-    return df.select([_declared(field) for field in schema.fields])
+    return df.selectExpr([_declared(field) for field in schema.fields])
