@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfline.operators.history import Mode
 from shelfline.operators.quality import copy_dimension
@@ -89,11 +90,15 @@ def refresh_weekly(
         mark = read_mark(daily, facts.DAILY_KEY)
     first_day = facts.first_day_to_read(date_dim, mark).first()["first_day"]
     from_key = min(mark, first_day)
+    target = read_weekly(store, from_key)
+    if options.watermark == "weekly":
+        # Later weeks exist only where an earlier run broke off; all are rebuilt.
+        target = target.filter(F.col(facts.WEEKLY_KEY) < mark)
     state = facts.weekly_sales_inventory(
         read_daily(store, first_day) if daily is None else daily,
         inventory,
         date_dim,
-        read_weekly(store, from_key),
+        target,
         options.watermark,
         options.fanout,
         mark,

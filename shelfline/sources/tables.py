@@ -7,7 +7,8 @@ so a state function yields the new rows and this module publishes them:
   once its job has committed, so readers see the old or the new table, never a
   mixture, and a failed write changes nothing.
 * ``refresh_partitions`` replaces only the partitions from a given key on. A
-  table of years costs no more to refresh than its last days.
+  table of years costs no more to refresh than its last days. A refresh that
+  broke off is noticed by the next one, which starts again from the same key.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _VERSION = "version-"
+_UNFINISHED = "_refreshing-"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -60,6 +62,10 @@ class TableStore:
             return []
         return [status.getPath().getName() for status in files.listStatus(path)]
 
+    def _create(self, *parts: str) -> None:
+        path = self._path(*parts)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(path, True).close()
+
     def _delete(self, *parts: str) -> None:
         path = self._path(*parts)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
@@ -142,8 +148,17 @@ class TableStore:
         return found
 
     def last_key(self, table: str, key: str) -> int:
-        """The greatest partition key, 0 when there is none. Opens no file."""
-        return max(self._keys(table, key), default=0)
+        """The greatest partition key, 0 when there is none. Opens no file.
+
+        After a refresh that did not finish it is the key that refresh began with:
+        partitions from there on may be missing.
+        """
+        broken_off = [
+            int(name.removeprefix(_UNFINISHED))
+            for name in self._children(table)
+            if name.startswith(_UNFINISHED)
+        ]
+        return min([max(self._keys(table, key), default=0), *broken_off])
 
     def read_partitioned(
         self, table: str, schema: T.StructType, key: str, from_key: int | None = None
@@ -179,6 +194,8 @@ class TableStore:
         and small ones packed together, so each partition gets a few well-sized
         files.
         """
+        started = f"{_UNFINISHED}{from_key}"
+        self._create(table, started)
         before = self._files_from(table, key, from_key)
         rows = state.filter(F.col(key) >= from_key).hint("rebalance", key)
         (
@@ -193,3 +210,7 @@ class TableStore:
         for name, files in before.items():
             if after.get(name) == files:
                 self._delete(table, name)
+        # Whatever an earlier refresh left undone began here or later.
+        for name in self._children(table):
+            if name.startswith(_UNFINISHED) and int(name.removeprefix(_UNFINISHED)) >= from_key:
+                self._delete(table, name)

@@ -81,6 +81,47 @@ def test_refresh_touches_only_partitions_from_the_key_on(spark, store, tmp_path)
     assert not (folder / "k=3").exists()
 
 
+def test_a_refresh_that_broke_off_is_repeated_from_its_start(spark, store):
+    store.refresh_partitions("raw/p", keyed(spark, (1, "a"), (2, "b"), (3, "c")), "k", 0)
+    broken = keyed(spark, (2, "B"), (4, "d")).withColumn(
+        "v", F.when(F.col("k") == 4, F.raise_error(F.lit("boom"))).otherwise(F.col("v"))
+    )
+    with pytest.raises(Exception, match="boom"):
+        store.refresh_partitions("raw/p", broken, "k", 2)
+    assert store.last_key("raw/p", "k") == 2
+    store.refresh_partitions("raw/p", keyed(spark, (2, "B"), (4, "d")), "k", 2)
+    assert store.last_key("raw/p", "k") == 4
+    assert rows(store.read_partitioned("raw/p", keyed(spark).schema, "k")) == [
+        (1, "a"),
+        (2, "B"),
+        (4, "d"),
+    ]
+
+
+def test_pipeline_heals_days_and_weeks_lost_by_a_broken_refresh(
+    spark, calendar, store, raw, tmp_path
+):
+    lines = [(1, 7, SUN + d, 1 + d) for d in range(0, 20, 3)]
+    now = day_of_sales(spark, raw, *lines)
+    inventory = spark.createDataFrame([(SUN, 7, 3, 1)], INVENTORY)
+    full = pipeline.refresh_daily(store, now)
+    full_rows = rows(full)
+    mart_rows = rows(pipeline.refresh_weekly(store, inventory, calendar))
+
+    # The last refresh stopped halfway: a middle partition is gone, later ones are there.
+    for table, key, lost in (
+        (pipeline.DAILY, facts.DAILY_KEY, SUN + 9),
+        (pipeline.WEEKLY, facts.WEEKLY_KEY, SUN + 7),
+    ):
+        store._delete(table, f"{key}={lost}")
+        store._create(table, f"_refreshing-{lost}")
+    assert rows(pipeline.read_daily(store)) != full_rows
+    assert rows(pipeline.read_weekly(store)) != mart_rows
+
+    assert rows(pipeline.refresh_daily(store, now)) == full_rows
+    assert rows(pipeline.refresh_weekly(store, inventory, calendar)) == mart_rows
+
+
 def test_written_tables_go_to_the_folder_the_session_names(spark):
     kept = tables.written(keyed(spark, (1, "a")))
     assert rows(kept) == [(1, "a")]
