@@ -20,6 +20,7 @@ from shelfline.sources.schemas import DAILY_SALES, WEEKLY_SALES_INVENTORY, confo
 DAILY_KEY = "sold_date_sk"
 WEEKLY_KEY = "sold_wk_sk"
 WEEK = ["sold_wk_num", "sold_yr_num"]
+MART_KEY = ["warehouse_sk", "item_sk", *WEEK]
 DAYS_IN_WEEK = 7
 
 Watermark = Literal["weekly", "daily"]
@@ -114,48 +115,35 @@ def first_day_to_read(date_dim: DataFrame, mark: Column | int) -> DataFrame:
     )
 
 
-def weekly_sales(
-    daily: DataFrame,
-    date_dim: DataFrame,
-    mark: Column | int | None = None,
-    first_day: Column | int | None = None,
-) -> DataFrame:
-    """Sales per (warehouse, item, week, year), each week keyed by its Sunday.
-
-    Groups whose first sale lies before ``mark`` are left out, as are weeks that
-    have no Sunday in ``date_dim``.
-    """
-    mark = 0 if mark is None else mark
-    if first_day is not None:
-        daily = daily.filter(F.col(DAILY_KEY) >= as_mark(first_day))
+def _sales_by_week(daily: DataFrame) -> DataFrame:
+    """Daily rows as addends of the mart."""
     scale = DOUBLE_MONEY_SCALE
-    per_week = (
-        daily.groupBy("warehouse_sk", "item_sk", *WEEK)
-        .agg(
-            F.min("sold_date_sk").alias("first_sold_sk"),
-            F.sum("daily_qty").alias("qty"),
-            F.sum(units(daily, "daily_sales_amt", scale)).alias("amt_units"),
-            F.sum(units(daily, "daily_net_profit", scale)).alias("profit_units"),
-        )
-        .filter(F.col("first_sold_sk") >= as_mark(mark))
+    return daily.select(
+        *MART_KEY,
+        F.col("sold_date_sk").alias("first_sold_sk"),
+        F.col("daily_qty").alias("qty"),
+        units(daily, "daily_sales_amt", scale).alias("amt_units"),
+        units(daily, "daily_net_profit", scale).alias("profit_units"),
+        F.lit(None).cast("bigint").alias("stock"),
     )
-    return per_week.join(_sundays(date_dim), WEEK).withColumnRenamed("sunday_sk", WEEKLY_KEY)
 
 
-def inventory_by_year_week(inventory: DataFrame, date_dim: DataFrame) -> DataFrame:
-    """Stock and number of stock rows per (warehouse, item, week, year)."""
+def _stock_by_week(inventory: DataFrame, date_dim: DataFrame) -> DataFrame:
+    """Stock rows as addends of the mart. A row without its full key belongs to no week."""
     calendar = date_dim.select(
         F.col("d_date_sk").alias("inv_date_sk"),
         F.col("wk_num").alias("sold_wk_num"),
         F.col("yr_num").alias("sold_yr_num"),
     )
+    nothing = F.lit(None).cast("bigint")
     return (
         inventory.join(calendar, "inv_date_sk")
         .withColumnsRenamed({"inv_warehouse_sk": "warehouse_sk", "inv_item_sk": "item_sk"})
-        .groupBy("warehouse_sk", "item_sk", *WEEK)
-        .agg(
-            F.sum(F.coalesce("inv_quantity_on_hand", F.lit(0))).alias("stock"),
-            F.count("*").alias("stock_rows"),
+        .dropna(subset=MART_KEY)
+        .select(
+            *MART_KEY,
+            *[nothing.alias(c) for c in ("first_sold_sk", "qty", "amt_units", "profit_units")],
+            F.coalesce("inv_quantity_on_hand", F.lit(0)).alias("stock"),
         )
     )
 
@@ -173,9 +161,16 @@ def weekly_sales_inventory(
     """Weekly sales joined to the week's stock, with supply ratio and low-stock flag.
 
     ``fanout='reference'`` counts a week's sales once per stock row of the week,
-    which is what joining the two tables row by row gives. Both sides are summed
-    to one row per key first and the sales are multiplied by the row count, so the
-    repeated rows never exist. ``fanout='safe'`` counts sales once.
+    which is what joining the two tables row by row gives; here the sales are
+    multiplied by the number of stock rows instead, and the repeated rows never
+    exist. ``fanout='safe'`` counts sales once.
+
+    Sales and stock meet on the very key both are summed by, so their left join is
+    one sum over their union: one shuffle, no sort, and no key can be hot. A sale
+    without a warehouse finds no stock, since stock rows have full keys.
+
+    Groups whose first sale lies before the mark are left out, as are weeks that
+    have no Sunday in ``date_dim``.
 
     With ``target`` the result is its whole new state. ``watermark`` says whose
     greatest key is the mark: that of the mart (``weekly``) or that of the daily
@@ -195,20 +190,28 @@ def weekly_sales_inventory(
     if fanout not in ("reference", "safe"):
         raise ValueError(f"unknown fanout {fanout!r}")
 
-    sales = weekly_sales(daily, date_dim, mark, first_day)
     if first_day is not None:
+        daily = daily.filter(F.col(DAILY_KEY) >= as_mark(first_day))
         inventory = inventory.filter(F.col("inv_date_sk") >= as_mark(first_day))
-    stock = inventory_by_year_week(inventory, date_dim)
-    joined = sales.join(stock, ["warehouse_sk", "item_sk", *WEEK], "left")
+    per_week = (
+        _sales_by_week(daily)
+        .unionByName(_stock_by_week(inventory, date_dim))
+        .groupBy(*MART_KEY)
+        .agg(
+            F.min("first_sold_sk").alias("first_sold_sk"),
+            *[F.sum(c).alias(c) for c in ("qty", "amt_units", "profit_units", "stock")],
+            F.count("stock").alias("stock_rows"),
+        )
+        .filter(F.col("first_sold_sk") >= as_mark(mark))
+    )
+    joined = per_week.join(_sundays(date_dim), WEEK)
 
-    copies = F.greatest(F.coalesce("stock_rows", F.lit(1)), F.lit(1))
-    if fanout == "safe":
-        copies = F.lit(1)
+    copies = F.lit(1) if fanout == "safe" else F.greatest(F.col("stock_rows"), F.lit(1))
     scale = DOUBLE_MONEY_SCALE
     measured = joined.select(
         "warehouse_sk",
         "item_sk",
-        WEEKLY_KEY,
+        F.col("sunday_sk").alias(WEEKLY_KEY),
         *WEEK,
         (F.col("qty") * copies).alias("sum_qty_wk"),
         money_double(F.col("amt_units") * copies, scale).alias("sum_amt_wk"),

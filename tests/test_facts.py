@@ -183,6 +183,17 @@ def test_null_warehouse_sells_but_never_finds_stock(spark, calendar):
     ]
 
 
+def test_stock_without_a_warehouse_or_without_sales_adds_nothing(spark, calendar):
+    shelves = [(SUN, 7, 50, None), (SUN, 8, 5, 1), (SUN, 7, None, 1)]
+    inventory = spark.createDataFrame(shelves, INVENTORY)
+    sold = daily(spark, calendar, [sale(None, 7, MON, 3), sale(1, 7, MON, 4)])
+    result = facts.weekly_sales_inventory(sold, inventory, calendar)
+    assert rows(result, "warehouse_sk", "item_sk", "sum_qty_wk", "inv_qty_wk") == [
+        (1, 7, 4, 0),
+        (None, 7, 3, 0),
+    ]
+
+
 @pytest.mark.parametrize("qty, shelf, flag", [(7, 1, False), (8, 1, True), (1, None, True)])
 def test_low_stock_flag_compares_daily_average_with_stock(spark, calendar, qty, shelf, flag):
     result = weekly(spark, calendar, [sale(1, 7, MON, qty)], [(SUN, 7, shelf, 1)])

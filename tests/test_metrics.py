@@ -5,7 +5,10 @@ from decimal import Decimal as D
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from shelfline.functions import exact_ratio
 from shelfline.plans import metrics
 from tests.conftest import CATALOG, INVENTORY, WEB, day_key, rows
 
@@ -242,3 +245,18 @@ def test_dates_far_from_1970_label_correctly(spark):
     )
     sales = web(spark, {"sold_date_sk": day_key("2009-11-30"), "sales_price": D("1.00")})
     assert rows(metrics.sales_by_period(sales, one, "quarter"), "quarter") == [("2009 Q4",)]
+
+
+@pytest.mark.parametrize(
+    "above, below",
+    [(20, 7), (1, 3), (2, 3), (5, 2_000_000), (0, 5), (5, 0), (-20, 7), (20, -7), (None, 3)]
+    + [(3, None), (4 * 10**12, 3), (4 * 10**12 + 1, 3), (9 * 10**18, 7), (1, 9 * 10**18)],
+)
+def test_exact_ratio_equals_decimal_division(spark, above, below):
+    df = spark.createDataFrame([(above, below)], "a long, b long")
+    whole = "cast({} as decimal(38,0))"
+    plain = F.expr(f"try_divide({whole.format('a')}, {whole.format('b')})")
+    found, expected = df.select(exact_ratio(F.col("a"), F.col("b")), plain).first()
+    assert found == expected
+    kind = df.select(exact_ratio(F.col("a"), F.col("b"))).schema[0].dataType
+    assert kind == T.DecimalType(38, 6)
