@@ -37,7 +37,8 @@ def units(df: DataFrame, name: str, scale: int) -> Column:
     """The money column as whole units of ``10**-scale``."""
     scaled = F.col(name) * F.lit(10**scale)
     if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
-        scaled = F.round(scaled)
+        # Within an ulp of a whole number, so ties do not arise; rint is one instruction.
+        scaled = F.rint(scaled)
     return scaled.cast("bigint")
 
 
