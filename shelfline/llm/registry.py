@@ -2,17 +2,35 @@
 
 from __future__ import annotations
 
-from shelfline.llm import quality_rules
-from shelfline.llm.scratch import read
+import re
+
+from shelfline.llm import minhash, mixing, quality_rules, secret_ledger
+from shelfline.llm.scratch import read, shared_folder
 
 
 def op3_quality_rules(spark, sf_dir):
     return quality_rules.verdicts(read(spark, sf_dir, "documents"))
 
 
+def op4_source_mix(spark, sf_dir):
+    return mixing.shares(read(spark, sf_dir, "documents"))
+
+
+def op5_secret_scan(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    return secret_ledger.report(docs, secret_ledger.update(docs, shared_folder(spark)))
+
+
+def op9_minhash_near_dedup(spark, sf_dir):
+    return minhash.groups(read(spark, sf_dir, "documents"), minhash.CONTRACT)
+
+
 def queries():
-    return {"op3_quality_rules": op3_quality_rules}
+    return {name: f for name, f in globals().items() if re.match(r"op\d+_", name)}
 
 
 def oracle_sql():
-    return {}
+    return {
+        "op4_source_mix": mixing.oracle(),
+        "op5_secret_scan": secret_ledger.oracle(),
+    }
