@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from shelfline.llm import minhash, mixing, quality_rules, secret_ledger
+from shelfline.llm import minhash, mixing, quality_rules, secret_ledger, sentencepiece, sharding
 from shelfline.llm.scratch import read, shared_folder
 
 
@@ -12,6 +12,10 @@ def op3_quality_rules(spark, sf_dir):
     return quality_rules.verdicts(read(spark, sf_dir, "documents"))
 
 
+def op2_sharding(spark, sf_dir):
+    return sharding.shards(read(spark, sf_dir, "documents"))
+
+
 def op4_source_mix(spark, sf_dir):
     return mixing.shares(read(spark, sf_dir, "documents"))
 
@@ -21,6 +25,10 @@ def op5_secret_scan(spark, sf_dir):
     return secret_ledger.report(docs, secret_ledger.update(docs, shared_folder(spark)))
 
 
+def op7_sentencepiece(spark, sf_dir):
+    return sentencepiece.encoded(read(spark, sf_dir, "documents"), ["doc_id"])
+
+
 def op9_minhash_near_dedup(spark, sf_dir):
     return minhash.groups(read(spark, sf_dir, "documents"), minhash.CONTRACT)
 
@@ -31,6 +39,7 @@ def queries():
 
 def oracle_sql():
     return {
+        "op2_sharding": sharding.oracle(),
         "op4_source_mix": mixing.oracle(),
         "op5_secret_scan": secret_ledger.oracle(),
     }
