@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from shelfline.llm import minhash, mixing, quality_rules, secret_ledger, sentencepiece, sharding
+from shelfline.llm import caps, minhash, mixing, quality_rules, secret_ledger, sentencepiece, sharding, warc
 from shelfline.llm.scratch import read, shared_folder
 
 
@@ -25,6 +25,10 @@ def op5_secret_scan(spark, sf_dir):
     return secret_ledger.report(docs, secret_ledger.update(docs, shared_folder(spark)))
 
 
+def op6_warc_segments(spark, sf_dir):
+    return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
 def op7_sentencepiece(spark, sf_dir):
     return sentencepiece.encoded(read(spark, sf_dir, "documents"), ["doc_id"])
 
@@ -33,6 +37,10 @@ def op9_minhash_near_dedup(spark, sf_dir):
     return minhash.groups(read(spark, sf_dir, "documents"), minhash.CONTRACT)
 
 
+def op10_cap_filters(spark, sf_dir):
+    return caps.groups(read(spark, sf_dir, "embeddings"))
+
+
 def queries():
     return {name: f for name, f in globals().items() if re.match(r"op\d+_", name)}
 
@@ -42,4 +50,5 @@ def oracle_sql():
         "op2_sharding": sharding.oracle(),
         "op4_source_mix": mixing.oracle(),
         "op5_secret_scan": secret_ledger.oracle(),
+        "op6_warc_segments": warc.oracle(),
     }
