@@ -23,7 +23,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -49,7 +48,6 @@ def code_words(n: int) -> int:
     return 1 << max(6, math.ceil(math.log2(max(n, 1)) / 2 + 1))
 
 
-@lru_cache(maxsize=8)
 def code(size: int, words: int, p: Params):
     """Rotation, the two blocks' code words, sketch directions and cap height for vectors of `size` components."""
     rng = np.random.default_rng([p.seed, size])
@@ -69,9 +67,9 @@ def code(size: int, words: int, p: Params):
     return rotation, blocks, directions, low
 
 
-def decode(vectors: np.ndarray, words: int, p: Params) -> tuple[list[np.ndarray], np.ndarray]:
-    """The numbers of all filters that each unit vector passes, and its sketch."""
-    rotation, blocks, directions, height = code(vectors.shape[1], words, p)
+def decode(vectors: np.ndarray, words: int, made: tuple) -> tuple[list[np.ndarray], np.ndarray]:
+    """The numbers of all filters that each unit vector passes, and its sketch; made: their `code`."""
+    rotation, blocks, directions, height = made
     x = vectors @ rotation
     half = x.shape[1] // 2
     first, second = x[:, :half] @ blocks[0].T, x[:, half:] @ blocks[1].T
@@ -89,16 +87,19 @@ def _coded(words: int, p: Params):
 
     @F.pandas_udf("filters array<bigint>, sketch bigint")
     def coded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        codes: dict[int, tuple] = {}
         for batch in batches:
             filters, sketch = [None] * len(batch), np.zeros(len(batch), np.int64)
             sizes = batch.map(len).to_numpy()
             for size in np.unique(sizes):
                 at = np.flatnonzero(sizes == size)
+                if size not in codes:
+                    codes[size] = code(int(size), words, p)
                 for part in np.array_split(at, math.ceil(len(at) * words / 1_000_000)):
                     x = np.stack(batch.iloc[part].to_list()).astype(np.float64)
                     x /= np.abs(x).max(axis=1, keepdims=True)
                     x /= np.linalg.norm(x, axis=1, keepdims=True)
-                    lists, bits = decode(x, words, p)
+                    lists, bits = decode(x, words, codes[size])
                     sketch[part] = bits
                     for k, numbers in zip(part, lists, strict=True):
                         filters[k] = numbers

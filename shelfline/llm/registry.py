@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from shelfline.llm import caps, minhash, mixing, quality_rules, secret_ledger, sentencepiece, sharding, warc
+from shelfline.llm import caps, language, minhash, mixing, quality_rules, secret_ledger, sentencepiece, sharding, warc
 from shelfline.llm.scratch import read, shared_folder
 
 
@@ -33,6 +33,10 @@ def op7_sentencepiece(spark, sf_dir):
     return sentencepiece.encoded(read(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op8_byte_cnn(spark, sf_dir):
+    return language.predictions(read(spark, sf_dir, "documents"))
+
+
 def op9_minhash_near_dedup(spark, sf_dir):
     return minhash.groups(read(spark, sf_dir, "documents"), minhash.CONTRACT)
 

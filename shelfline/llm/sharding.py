@@ -103,7 +103,7 @@ def oracle(limit: int = LIMIT, most: int = 40) -> str:
     return f"""
 with d as (
   select doc_id, coalesce(strlen(text), 0)::bigint as n_bytes,
-    list_reduce(list_transform(range(0, {most // 4}), i -> right(bin(('0x' || md5(doc_id::varchar)[i + 1])::int + 16), 4)), (a, b) -> a || b) as bits
+    list_reduce(list_transform(range(0, {most // 4}), lambda i: right(bin(('0x' || md5(doc_id::varchar)[i + 1])::int + 16), 4)), lambda a, b: a || b) as bits
   from documents
 ), p as (
   select doc_id, n_bytes, k as depth, bits[1:k] as shard from d, range(0, {most} + 1) t(k)

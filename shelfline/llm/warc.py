@@ -77,12 +77,6 @@ def _record(headers: dict[str, object], block: bytes) -> bytes:
     return (MARK + "".join(lines) + f"Content-Length: {len(block)}{LINE}{LINE}").encode() + block
 
 
-def _safe_cut(block: bytes, at: int) -> int:
-    """A segment's end near `at` that doesn't stand within a mark."""
-    mark = block.rfind(b"WARC", max(0, at - 10), at + 10)
-    return mark if 0 < mark < at else at
-
-
 def _records(segment: int):
     @F.pandas_udf("array<binary>")
     def records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
@@ -91,10 +85,7 @@ def _records(segment: int):
             for name, refers_to, url, sha, payload in batch.itertuples(index=False):
                 kind = "response" if refers_to is None else "revisit"
                 block = HTTP + (framed(payload) if kind == "response" else b"")
-                cuts = [0]
-                while cuts[-1] + segment < len(block):
-                    cuts.append(max(cuts[-1] + 1, _safe_cut(block, cuts[-1] + segment)))
-                parts = [block[a:b] for a, b in zip(cuts, [*cuts[1:], len(block)], strict=True)]
+                parts = [block[at : at + segment] for at in range(0, len(block), segment)]
                 first = {"WARC-Type": kind, "WARC-Record-ID": f"<{name}>", "WARC-Date": DATE, "WARC-Target-URI": url,
                          "WARC-Payload-Digest": f"sha1:{sha}", "Content-Type": "application/http; msgtype=response"}
                 if refers_to is not None:
@@ -234,10 +225,10 @@ def oracle(least: int = LEAST) -> str:
 with p as (
   select page_id, strlen(coalesce(html, ''))::bigint as n, sha1(coalesce(html, '')) as hex from pages
 ), d as (
-  select *, list_reduce(list_transform(range(0, 20), i -> right(bin(('0x' || hex[2 * i + 1:2 * i + 2])::int + 256), 8)), (a, b) -> a || b) as bits from p
+  select *, list_reduce(list_transform(range(0, 20), lambda i: right(bin(('0x' || hex[2 * i + 1:2 * i + 2])::int + 256), 8)), lambda a, b: a || b) as bits from p
 ), b as (
-  select *, list_reduce(list_transform(range(0, 32), i -> '{BASE32}'[1 +
-    list_sum(list_transform(range(0, 5), k -> bits[5 * i + k + 1]::int * (16 >> k::int)))::int]), (a, b) -> a || b) as digest,
+  select *, list_reduce(list_transform(range(0, 32), lambda i: '{BASE32}'[1 +
+    list_sum(list_transform(range(0, 5), lambda k: bits[5 * i + k + 1]::int * (16 >> k::int)))::int]), lambda a, b: a || b) as digest,
     min(page_id) over (partition by hex) as origin from d
 )
 select page_id, n as payload_bytes, digest as payload_digest,
