@@ -159,7 +159,7 @@ def judged(docs: DataFrame, keep: list[str], once: bool = True) -> DataFrame:
 
     once: store the measures between the two passes; else measure twice, which spares storing wide columns.
     """
-    rows = written(measured(docs, keep)) if once else measured(docs, keep)
+    rows = written(measured(docs, keep)) if once else measured(docs, keep).withColumn("_serial", F.monotonically_increasing_id())
     votes = measured(docs, []) if not once else rows
     patterns = written(votes.groupBy(F.col("_q.votes").alias("votes")).agg(F.count("*").alias("n")))
     start, table = estimate(patterns)
@@ -176,4 +176,5 @@ def verdicts(docs: DataFrame) -> DataFrame:
 
 def good_documents(docs: DataFrame) -> DataFrame:
     """The documents that are kept, with all their columns."""
-    return judged(docs, docs.columns, once=False).filter("kept").select("_row.*")
+    # The filter names the serial number so that it stays above the measures: pushed below, it would repeat them for every vote.
+    return judged(docs, docs.columns, once=False).filter("kept and _serial >= 0").select("_row.*")

@@ -65,14 +65,19 @@ def double_array(keys: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.nda
         codes = np.fromiter((c + 1 for c in node), np.int64)
         while check[free] != -1:
             free += 1
-        at = max(0, free - int(codes.min()))
+        # Of the free places from there on, the first that as the least child's leaves room for the others.
+        least, start, width = int(codes.min()), free, 64
         while True:
-            if at + 258 >= size:
+            while start + width + 258 >= size:
                 base, check, value = (np.concatenate([x, np.full(size, fill, np.int32)]) for x, fill in ((base, 0), (check, -1), (value, -1)))
                 size *= 2
-            if (check[at + codes] == -1).all():
+            places = np.flatnonzero(check[start : start + width] == -1) + start - least
+            places = places[places >= 0]
+            fits = (check[places[:, None] + codes] == -1).all(axis=1)
+            if fits.any():
+                at = int(places[fits.argmax()])
                 break
-            at += 1
+            start, width = start + width, min(2 * width, 1 << 14)
         base[state] = at
         check[at + codes] = state
         queue += [(at + c + 1, child) for c, child in node.items()]
