@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import re
 
-from shelfline.llm import caps, language, minhash, mixing, quality_rules, secret_ledger, sentencepiece, sharding, warc
+from shelfline.llm import caps, language, minhash, mixing, quality_rules, secret_ledger, sentencepiece, sharding, suffixes, warc
 from shelfline.llm.scratch import read, shared_folder
 
 
+def op1_suffix_dedup(spark, sf_dir):
+    return suffixes.removed(read(spark, sf_dir, "documents")).drop("kept")
+
+
 def op3_quality_rules(spark, sf_dir):
     return quality_rules.verdicts(read(spark, sf_dir, "documents"))
 
