@@ -126,7 +126,6 @@ def write(pages: DataFrame, path: str, least: int = LEAST, segment: int = SEGMEN
     lines.write.option("lineSep", RECORD_END).text(path)
 
 
-@F.pandas_udf("type string, id string, refers_to string, origin string, number int, total long, digest string, url string, whole boolean, block binary")
 def _parsed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out = []
@@ -143,7 +142,6 @@ def _parsed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield frame.astype({"number": "Int32", "total": "Int64"})
 
 
-@F.pandas_udf("payload binary, sha string")
 def _payload(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     """Of an HTTP message: its payload, with chunk framing taken off, and its digest; null where the framing is broken."""
     for batch in batches:
@@ -156,7 +154,6 @@ def _payload(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["payload", "sha"])
 
 
-@F.pandas_udf("binary")
 def _glued(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for batch in batches:
         yield pd.Series([b"".join(parts) for parts in batch], dtype=object)
@@ -169,7 +166,7 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     add up to the declared total.
     """
     raw = spark.read.schema("value string").option("lineSep", MARK).text(path).filter(F.octet_length("value") > 0)
-    parts = raw.select(_parsed(F.col("value").cast("binary")).alias("r")).select("r.*")
+    parts = raw.select(F.pandas_udf(_parsed, "type string, id string, refers_to string, origin string, number int, total long, digest string, url string, whole boolean, block binary")(F.col("value").cast("binary")).alias("r")).select("r.*")
     same = ["type", "id", "refers_to", "digest", "url"]
     single = parts.filter("number is null").select(*same, "block", F.col("whole").alias("complete"))
     segments = F.transform(F.sort_array("parts"), lambda p: p["block"])
@@ -181,7 +178,7 @@ def records(spark: SparkSession, path: str) -> DataFrame:
             F.max("total").alias("total"), F.bool_and("whole").alias("whole"),
             F.count("*").alias("n"), F.max("number").alias("last"), F.countDistinct("number").alias("numbers"),
         )
-        .withColumn("block", _glued(segments))
+        .withColumn("block", F.pandas_udf(_glued, "binary")(segments))
     )
     sound = F.col("whole") & (F.col("n") == F.col("last")) & (F.col("numbers") == F.col("last")) & (F.octet_length("block") == F.col("total"))
     return single.unionByName(joined.select(*same, "block", F.coalesce(sound, F.lit(False)).alias("complete")))
@@ -189,7 +186,7 @@ def records(spark: SparkSession, path: str) -> DataFrame:
 
 def payloads(found: DataFrame) -> DataFrame:
     """records() with the payload in place of the block, its measured digest, and `complete` only if that is the declared one."""
-    out = found.withColumn("p", _payload("block"))
+    out = found.withColumn("p", F.pandas_udf(_payload, "payload binary, sha string")("block"))
     sound = F.col("complete") & ((F.col("type") == "revisit") | F.col("p.sha").eqNullSafe(F.col("digest")))
     return out.select("type", "id", "refers_to", "digest", "url", F.col("p.payload").alias("payload"), F.col("p.sha").alias("sha"), sound.alias("complete"))
 
