@@ -7,8 +7,9 @@ import __spark_entry__ as registered
 from tests.conftest import SAMPLE
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
-QUERIES = registered.queries()
-EXPECTED = registered.oracle_sql()
+# The training-data queries have tests of their own.
+QUERIES = {name: q for name, q in registered.queries().items() if name in registered._BUILDERS}
+EXPECTED = {name: sql for name, sql in registered.oracle_sql().items() if name in QUERIES}
 TYPES = {
     "bigint": "BIGINT",
     "int": "INTEGER",
