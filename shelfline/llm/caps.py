@@ -1,15 +1,15 @@
 """Near-duplicate vectors by spherical-cap filters.
 
 Vectors are scaled to length one, rotated at random and cut into two blocks, each with a random code
-of unit directions. A filter is a pair of code words; a vector passes all filters whose two inner
+of unit directions, and this several times over. A filter is a pair of code words; a vector passes all filters whose two inner
 products add up to at least the cap's height. List decoding finds them without trying every pair: a
 code word takes part only if it reaches the height with the other block's best. Vectors that pass a
 filter in common meet; bit sketches drop pairs far below the threshold, the cosine in double
 precision decides the others.
 
 Code words grow with the square root of the vectors, so a filter holds a constant number of
-unrelated vectors; the height is set so that a random vector passes `filters` of them on average.
-A pair at 0.95 then shares about seven and is missed less than once in a hundred times.
+unrelated vectors; the height is set so that a random vector passes `filters` of them on average in
+each code. How many a vector passes differs widely between codes, which is why there are several.
 
 Vectors that are null, empty, zero, or hold null or non-finite components link with nothing, as do
 rows without an id (component null). Equal vectors are one node, with as many links as copies.
@@ -38,7 +38,8 @@ class Params:
     """most_bits: sketch bits (of 64) in which a pair may differ; at 0.95 it is 6.5, give or take 2.4."""
 
     cosine: float = 0.95
-    filters: float = 16.0
+    codes: int = 5
+    filters: float = 8.0
     most_bits: int = 20
     seed: int = 5
 
@@ -48,9 +49,9 @@ def code_words(n: int) -> int:
     return 1 << max(6, math.ceil(math.log2(max(n, 1)) / 2 + 1))
 
 
-def code(size: int, words: int, p: Params):
+def code(size: int, words: int, p: Params, number: int):
     """Rotation, the two blocks' code words, sketch directions and cap height for vectors of `size` components."""
-    rng = np.random.default_rng([p.seed, size])
+    rng = np.random.default_rng([p.seed, size, number])
     wide = max(16, size + size % 2)
     rotation = np.linalg.qr(rng.standard_normal((wide, wide)))[0][:size]
     blocks = rng.standard_normal((2, words, wide // 2))
@@ -67,19 +68,20 @@ def code(size: int, words: int, p: Params):
     return rotation, blocks, directions, low
 
 
-def decode(vectors: np.ndarray, words: int, made: tuple) -> tuple[list[np.ndarray], np.ndarray]:
-    """The numbers of all filters that each unit vector passes, and its sketch; made: their `code`."""
-    rotation, blocks, directions, height = made
-    x = vectors @ rotation
-    half = x.shape[1] // 2
-    first, second = x[:, :half] @ blocks[0].T, x[:, half:] @ blocks[1].T
-    best_first, best_second = first.max(axis=1), second.max(axis=1)
-    found = []
-    for f, s, bf, bs in zip(first, second, best_first, best_second, strict=True):
-        i, j = np.flatnonzero(f >= height - bs), np.flatnonzero(s >= height - bf)
-        at, to = np.nonzero(f[i][:, None] + s[j] >= height)
-        found.append(i[at].astype(np.int64) * words + j[to])
-    return found, np.packbits(x @ directions > 0, axis=1).view(np.int64).ravel()
+def decode(vectors: np.ndarray, words: int, codes: list[tuple]) -> tuple[list[np.ndarray], np.ndarray]:
+    """The numbers of all filters that each unit vector passes in its codes, and its sketch by the first one."""
+    found: list[list[np.ndarray]] = [[] for _ in vectors]
+    for number, (rotation, blocks, _, height) in enumerate(codes):
+        x = vectors @ rotation
+        half = x.shape[1] // 2
+        first, second = x[:, :half] @ blocks[0].T, x[:, half:] @ blocks[1].T
+        for k, (f, s) in enumerate(zip(first, second, strict=True)):
+            i, j = np.flatnonzero(f >= height - s.max()), np.flatnonzero(s >= height - f.max())
+            at, to = np.nonzero(f[i][:, None] + s[j] >= height)
+            found[k].append((number * words + i[at].astype(np.int64)) * words + j[to])
+    rotation, _, directions, _ = codes[0]
+    sketch = np.packbits(vectors @ rotation @ directions > 0, axis=1).view(np.int64).ravel()
+    return [np.concatenate(numbers) for numbers in found], sketch
 
 
 def _coded(words: int, p: Params):
@@ -87,14 +89,14 @@ def _coded(words: int, p: Params):
 
     @F.pandas_udf("filters array<bigint>, sketch bigint")
     def coded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        codes: dict[int, tuple] = {}
+        codes: dict[int, list[tuple]] = {}
         for batch in batches:
             filters, sketch = [None] * len(batch), np.zeros(len(batch), np.int64)
             sizes = batch.map(len).to_numpy()
             for size in np.unique(sizes):
                 at = np.flatnonzero(sizes == size)
                 if size not in codes:
-                    codes[size] = code(int(size), words, p)
+                    codes[size] = [code(int(size), words, p, k) for k in range(p.codes)]
                 for part in np.array_split(at, math.ceil(len(at) * words / 1_000_000)):
                     x = np.stack(batch.iloc[part].to_list()).astype(np.float64)
                     x /= np.abs(x).max(axis=1, keepdims=True)
