@@ -7,8 +7,10 @@ its component also with the others. Odd sketches (the samples folded into a pari
 XOR has a population count that tells the similarity) drop pairs that are far from the threshold;
 the others are decided on the full sets.
 
-A pair at the threshold shares no band once in four million times (0.85: 32 bands of 6), and the
-sketches drop it once in more than ten million.
+A pair at the threshold shares no band once in four million times (0.85: 32 bands of 6). Sketches hold
+more samples than the bands: at 512, a threshold lies over five deviations above the similarity at
+which pairs are dropped, so they lose about one in ten million, yet keep few of the many pairs that
+members of a large group form below it.
 
 Null and empty texts have empty sets, link with nothing and are kept. Rows that repeat an id are
 one document: one component, each row with its own set size. Rows without an id link with nothing:
@@ -33,20 +35,17 @@ from shelfline.llm.scratch import written
 
 @dataclass(frozen=True)
 class Params:
-    """percent: the least similarity, in hundredths. sketch_bits: a multiple of 64."""
+    """percent: the least similarity, in hundredths. samples: bands * rows at least; all go into the sketch. sketch_bits: a multiple of 64."""
 
     shingle: int = 5
     percent: int = 80
     bands: int = 40
     rows: int = 5
-    sketch_bits: int = 512
-    sketch_slack: float = 0.2
+    samples: int = 512
+    sketch_bits: int = 2048
+    sketch_slack: float = 0.1
     seed: int = 7
 
-    @property
-    def samples(self) -> int:
-        return self.bands * self.rows
-
     @property
     def most_bits(self) -> int:
         """Differing sketch bits expected at `sketch_slack` below the threshold; more drop a pair."""
@@ -97,7 +96,7 @@ def _signatures(p: Params):
                     continue
                 tagged = _mixed(_samples(np.asarray(hashes, np.int64), a, b).astype(np.uint64) | place)
                 bands = np.zeros(p.bands, np.uint64)
-                for column in tagged.reshape(p.bands, p.rows).T:
+                for column in tagged[: p.bands * p.rows].reshape(p.bands, p.rows).T:
                     bands = _mixed(bands * np.uint64(0xD6E8FEB86659FD93) + column)
                 odd = np.bincount((tagged % np.uint64(p.sketch_bits)).astype(np.int64), minlength=p.sketch_bits) & 1
                 out_bands.append(bands.view(np.int64))
