@@ -28,6 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfline.llm import blocks
 from shelfline.llm import text as tx
 from shelfline.llm.graph import components
 from shelfline.llm.scratch import written
@@ -144,6 +145,52 @@ def _linked(pairs: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
     )
 
 
+def _linked_in_blocks(apart: DataFrame, others: DataFrame, classes: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
+    """Links (a, b) that join all of `apart` (band, doc_id, label) and `others` of a band that are similar enough.
+
+    Each chunk of the one meets each of the other in one group: sketches tell which members have a
+    candidate of another label there, and only these bring their full sets.
+    """
+    keys, side = ["band", "i", "j"], F.col("side")
+    count = apart.groupBy("band").agg(F.count("*").alias("n_left")).join(others.groupBy("band").agg(F.count("*").alias("n_right")), "band")
+    count = count.select("band", blocks.chunks("n_left").alias("lefts"), blocks.chunks("n_right").alias("rights"))
+    both = apart.select("band", "doc_id", "label", F.lit(0).alias("side")).unionByName(others.select("band", "doc_id", "label", F.lit(1).alias("side")))
+    both = both.join(count, "band").withColumn("own", blocks.chunk("doc_id", F.when(side == 0, F.col("lefts")).otherwise(F.col("rights"))))
+    both = both.withColumn("with", F.explode(F.sequence(F.lit(0), F.when(side == 0, F.col("rights")).otherwise(F.col("lefts")) - 1)))
+    placed = both.select(
+        "band", F.when(side == 0, F.col("own")).otherwise(F.col("with")).alias("i"),
+        F.when(side == 0, F.col("with")).otherwise(F.col("own")).alias("j"), "side", "doc_id", "label")
+    most, percent = p.most_bits, p.percent
+
+    def candidates(group: pd.DataFrame) -> pd.DataFrame:
+        left, right = group[group["side"] == 0], group[group["side"] == 1]
+        if not len(left) or not len(right):
+            return group.iloc[:0][[*keys, "side", "doc_id"]]
+        # Unsigned: of a negative number, the bits of its absolute value would be counted.
+        x, y = (np.stack(s["sketch"].to_list()).view(np.uint64) for s in (left, right))
+        n, m = left["n"].to_numpy()[:, None], right["n"].to_numpy()
+        near = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+        near &= left["label"].to_numpy()[:, None] != right["label"].to_numpy()
+        near &= np.bitwise_count(x[:, None] ^ y).sum(axis=2, dtype=np.int64) <= most
+        return pd.concat([left[near.any(axis=1)], right[near.any(axis=0)]])[[*keys, "side", "doc_id"]]
+
+    def verified(group: pd.DataFrame) -> pd.DataFrame:
+        left, right = group[group["side"] == 0], group[group["side"] == 1]
+        n, m = left["shingles"].map(len).to_numpy()[:, None], right["shingles"].map(len).to_numpy()
+        shared = blocks.intersections(left["shingles"].to_list(), right["shingles"].to_list())
+        linked = np.zeros((len(group), len(group)), bool)
+        linked[: len(left), len(left) :] = 100 * shared >= percent * (n + m - shared)
+        at, to = blocks.forest(linked | linked.T)
+        ids = np.concatenate([left["doc_id"].to_numpy(), right["doc_id"].to_numpy()])
+        return pd.DataFrame({"a": np.minimum(ids[at], ids[to]), "b": np.maximum(ids[at], ids[to])})
+
+    schema = "band bigint, i int, j int, side int, doc_id bigint"
+    placed = placed.join(classes.select("doc_id", "n", "sketch"), "doc_id")
+    some = written(blocks.in_groups(placed, keys, candidates, schema))
+    sets = written(shingle_sets(docs.select("doc_id", "text").join(some.select("doc_id").distinct(), "doc_id", "left_semi"), p))
+    return written(blocks.in_groups(some.join(sets, "doc_id"), keys, verified, "a bigint, b bigint").distinct())
+
+
 def groups(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """Per row of docs: doc_id, n_shingles, component_id (smallest id reachable by links), kept."""
     rows = written(signed(docs, p))
@@ -174,15 +221,8 @@ def groups(docs: DataFrame, p: Params = Params()) -> DataFrame:
     apart = labelled.filter("label <> of_pivot")
     # Wherever one member is apart, all others of the bucket may still link with it.
     open_bands = apart.groupBy("band").agg(F.count("*").alias("open")).select("band")
-    sketches = classes.select("doc_id", "n", "sketch")
-    others = labelled.filter("doc_id <> pivot").join(open_bands, "band", "left_semi").join(sketches, "doc_id")
-    left = apart.join(sketches, "doc_id").select(
-        "band", F.col("doc_id").alias("a"), F.col("label").alias("label_a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
-    right = others.select(
-        "band", F.col("doc_id").alias("b"), F.col("label").alias("label_b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
-    rest = left.join(right, "band").filter((F.col("label_a") != F.col("label_b")) & _alike(p))
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = _linked(rest, docs, p)
+    others = labelled.filter("doc_id <> pivot").join(open_bands, "band", "left_semi")
+    more = _linked_in_blocks(apart, others, classes, docs, p)
 
     shared = named.groupBy("doc_id").agg(F.count("*").alias("rows")).filter("rows > 1")
     leaders = classes.select("print", F.col("doc_id").alias("leader"))
