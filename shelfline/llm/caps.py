@@ -4,8 +4,8 @@ Vectors are scaled to length one, rotated at random and cut into two blocks, eac
 of unit directions, and this several times over. A filter is a pair of code words; a vector passes all filters whose two inner
 products add up to at least the cap's height. List decoding finds them without trying every pair: a
 code word takes part only if it reaches the height with the other block's best. Vectors that pass a
-filter in common meet; bit sketches drop pairs far below the threshold, the cosine in double
-precision decides the others.
+filter in common meet in blocks of bounded size; bit sketches drop pairs far below the threshold, the
+cosine in double precision decides the others. Links are counted there, so no row stands for a pair.
 
 Code words grow with the square root of the vectors, so a filter holds a constant number of
 unrelated vectors; the height is set so that a random vector passes `filters` of them on average in
@@ -29,6 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfline.llm import blocks
 from shelfline.llm.graph import components
 from shelfline.llm.scratch import written
 
@@ -110,25 +111,62 @@ def _coded(words: int, p: Params):
     return coded
 
 
-def _sum(products: str) -> str:
-    return f"aggregate({products}, 0D, (s, x) -> s + x)"
+def _crowded(entries: DataFrame, keys: list[str]) -> DataFrame:
+    """entries (node, filter, size, ...) that share a filter with others, dealt to pairs of chunks (i <= j): columns i, j, own."""
+    count = entries.groupBy("filter", "size").agg(F.count("*").alias("n")).filter("n > 1").select("filter", "size", blocks.chunks("n").alias("g"))
+    placed = entries.join(count, ["filter", "size"]).withColumn("own", blocks.chunk("node", F.col("g")))
+    placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
+    return placed.select(*keys, F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own")
+
+
+def _met(group: pd.DataFrame) -> np.ndarray:
+    """Which pairs of the group are compared in it: across its two chunks, or within its only one."""
+    own = group["own"].to_numpy()
+    pairs = ~np.eye(len(own), dtype=bool)
+    return pairs if group["i"].iloc[0] == group["j"].iloc[0] else pairs & (own[:, None] != own)
 
 
 def links(classes: DataFrame, p: Params) -> DataFrame:
-    """(a, b), a < b, of classes (node, e: array<double>) that share a filter and whose cosine reaches the threshold."""
-    words = code_words(classes.count())
+    """Of classes (node, copies, e: array<double>) that share filters: rows (node, other, others).
+
+    others: how many vectors one of the node's groups links it with, each pair counted in the first
+    filter it shares. other, unless -1: links that join all that is linked in the group.
+    Sketches tell first who has a candidate in a filter, and only these bring their vectors there.
+    """
+    words, keys = code_words(classes.count()), ["filter", "size", "i", "j"]
     coded = classes.select("node", F.size("e").alias("size"), _coded(words, p)("e").alias("c"))
     entries = written(coded.select("node", "size", F.col("c.sketch").alias("sketch"), F.explode("c.filters").alias("filter")))
-    left = entries.select("filter", "size", F.col("node").alias("a"), F.col("sketch").alias("of_a"))
-    right = entries.select("filter", "size", F.col("node").alias("b"), F.col("sketch").alias("of_b"))
-    near = F.bit_count(F.col("of_a").bitwiseXOR(F.col("of_b"))) <= p.most_bits
-    pairs = written(left.join(right, ["filter", "size"]).filter((F.col("a") < F.col("b")) & near).select("a", "b").distinct())
-    side = classes.select("node", F.expr("transform(e, x -> x / array_max(transform(e, y -> abs(y))))").alias("e"))
-    both = pairs.join(side.select(F.col("node").alias("a"), F.col("e").alias("x")), "a")
-    both = both.join(side.select(F.col("node").alias("b"), F.col("e").alias("y")), "b")
-    norms = f"sqrt({_sum('transform(x, v -> v * v)')}) * sqrt({_sum('transform(y, v -> v * v)')})"
-    cosine = F.expr(f"{_sum('zip_with(x, y, (v, w) -> v * w)')} / ({norms})")
-    return written(both.filter(cosine >= p.cosine).select("a", "b"))
+    most_bits, threshold = p.most_bits, p.cosine
+
+    def candidates(group: pd.DataFrame) -> pd.DataFrame:
+        # Unsigned: of a negative number, the bits of its absolute value would be counted.
+        sketch = group["sketch"].to_numpy().view(np.uint64)
+        near = _met(group) & (np.bitwise_count(sketch[:, None] ^ sketch) <= most_bits)
+        return group.loc[near.any(axis=1), ["filter", "size", "node"]]
+
+    def compared(group: pd.DataFrame) -> pd.DataFrame:
+        x = np.stack(group["e"].to_list())
+        x = x / np.abs(x).max(axis=1, keepdims=True)
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        sketch, node = group["sketch"].to_numpy().view(np.uint64), group["node"].to_numpy()
+        linked = _met(group) & (x @ x.T >= threshold) & (np.bitwise_count(sketch[:, None] ^ sketch) <= most_bits)
+        linked &= linked.T
+        at, to = blocks.forest(linked)
+        before = [np.asarray(f, np.int64) for f in group["filters"]]
+        before = [f[f < k] for f, k in zip(before, group["filter"], strict=True)]
+        new = linked & (blocks.intersections(before, before) == 0)
+        others = new @ group["copies"].to_numpy()
+        some = np.flatnonzero(others)
+        none = np.full(len(some), -1)
+        return pd.DataFrame({"node": np.append(node[some], node[at]), "other": np.append(none, node[to]),
+                             "others": np.append(others[some], np.zeros(len(at), np.int64))})
+
+    near = blocks.in_groups(_crowded(entries, [*keys[:2], "node", "sketch"]), keys, candidates, "filter bigint, size int, node bigint")
+    near = written(near.distinct())
+    lists = near.groupBy("node").agg(F.sort_array(F.collect_list("filter")).alias("filters"))
+    full = lists.join(classes.select("node", "copies", "e"), "node").join(entries.select("node", "sketch").distinct(), "node")
+    dealt = _crowded(near, [*keys[:2], "node"]).join(full, "node")
+    return written(blocks.in_groups(dealt, keys, compared, "node bigint, other bigint, others bigint"))
 
 
 def groups(vectors: DataFrame, p: Params = Params(), vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -143,13 +181,10 @@ def groups(vectors: DataFrame, p: Params = Params(), vec_id: str = "vec_id", emb
     classes = rows.filter("print is not null").groupBy("print").agg(
         F.min("vec_id").alias("first"), F.count("*").alias("copies"), F.any_value("e").alias("e"))
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()))
-    found = links(classes.select("node", "e"), p)
-
-    sizes = classes.select(F.col("node").alias("to"), "copies")
-    ends = found.select(F.col("a").alias("node"), F.col("b").alias("to")).unionByName(
-        found.select(F.col("b").alias("node"), F.col("a").alias("to")))
-    degree = ends.join(sizes, "to").groupBy("node").agg(F.sum("copies").alias("others"))
-    of = components(found).withColumnRenamed("id", "node")
+    found = links(classes.select("node", "copies", "e"), p)
+    degree = found.groupBy("node").agg(F.sum("others").alias("others"))
+    joined = found.filter("other >= 0").select(F.col("node").alias("a"), F.col("other").alias("b"))
+    of = components(joined).withColumnRenamed("id", "node")
     known = classes.select("print", "node", "first", "copies").join(of, "node", "left").join(degree, "node", "left")
     known = written(known.withColumn("component", F.coalesce("component", "node")))
     least = known.groupBy("component").agg(F.min("first").alias("least"))
