@@ -138,12 +138,6 @@ def links(classes: DataFrame, p: Params) -> DataFrame:
     entries = written(coded.select("node", "size", F.col("c.sketch").alias("sketch"), F.explode("c.filters").alias("filter")))
     most_bits, threshold = p.most_bits, p.cosine
 
-    def candidates(group: pd.DataFrame) -> pd.DataFrame:
-        # Unsigned: of a negative number, the bits of its absolute value would be counted.
-        sketch = group["sketch"].to_numpy().view(np.uint64)
-        near = _met(group) & (np.bitwise_count(sketch[:, None] ^ sketch) <= most_bits)
-        return group.loc[near.any(axis=1), ["filter", "size", "node"]]
-
     def compared(group: pd.DataFrame) -> pd.DataFrame:
         x = np.stack(group["e"].to_list())
         x = x / np.abs(x).max(axis=1, keepdims=True)
@@ -161,8 +155,12 @@ def links(classes: DataFrame, p: Params) -> DataFrame:
         return pd.DataFrame({"node": np.append(node[some], node[at]), "other": np.append(none, node[to]),
                              "others": np.append(others[some], np.zeros(len(at), np.int64))})
 
-    near = blocks.in_groups(_crowded(entries, [*keys[:2], "node", "sketch"]), keys, candidates, "filter bigint, size int, node bigint")
-    near = written(near.distinct())
+    members = _crowded(entries, [*keys[:2], "node", "sketch"]).groupBy(keys).agg(F.collect_list(F.struct("node", "sketch", "own")).alias("m"))
+    some = (
+        "transform(filter(m, x -> exists(m, y -> x.node <> y.node and (i = j or x.own <> y.own)"
+        f" and bit_count(x.sketch ^ y.sketch) <= {most_bits})), x -> x.node)"
+    )
+    near = written(members.select("filter", "size", F.explode(F.expr(some)).alias("node")).distinct())
     lists = near.groupBy("node").agg(F.sort_array(F.collect_list("filter")).alias("filters"))
     full = lists.join(classes.select("node", "copies", "e"), "node").join(entries.select("node", "sketch").distinct(), "node")
     dealt = _crowded(near, [*keys[:2], "node"]).join(full, "node")
