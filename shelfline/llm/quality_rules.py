@@ -33,7 +33,7 @@ COMMON_WORDS = (
 
 @dataclass(frozen=True)
 class Rule:
-    """Votes good up to `good`, bad beyond `bad` (each a share), abstains between and for null."""
+    """Votes good up to `good`, bad beyond `bad` (each a share), abstains between and for null, which a share of nothing is."""
 
     name: str
     share: str
@@ -49,13 +49,13 @@ class Rule:
 
 RULES = (
     Rule("length", "n_words", 100, 50),
-    Rule("word_length", "word_chars / n_words", 10, 14),
-    Rule("symbols", "n_symbols / n_words", 0.02, 0.1),
-    Rule("duplicate_lines", "n_dup_lines / n_lines", 0.1, 0.3),
-    Rule("repeated_words", "n_repeat_words / n_words", 0.1, 0.3),
-    Rule("letters", "n_letters / word_chars", 0.85, 0.7),
-    Rule("capitals", "n_capitals / n_letters", 0.15, 0.4),
-    Rule("common_words", "n_common / n_words", 0.1, 0.04),
+    Rule("word_length", "try_divide(word_chars, n_words)", 10, 14),
+    Rule("symbols", "try_divide(n_symbols, n_words)", 0.02, 0.1),
+    Rule("duplicate_lines", "try_divide(n_dup_lines, n_lines)", 0.1, 0.3),
+    Rule("repeated_words", "try_divide(n_repeat_words, n_words)", 0.1, 0.3),
+    Rule("letters", "try_divide(n_letters, word_chars)", 0.85, 0.7),
+    Rule("capitals", "try_divide(n_capitals, n_letters)", 0.15, 0.4),
+    Rule("common_words", "try_divide(n_common, n_words)", 0.1, 0.04),
 )
 VOTES = (-1, 0, 1)
 #: Where expectation-maximisation starts, and what its estimates are drawn to: vote shares -1, 0, 1.
