@@ -240,6 +240,16 @@ def groups(docs: DataFrame, p: Params = Params()) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, p: Params = Params()) -> DataFrame:
-    """One document of each group, with all its columns: the smallest id. Rows without an id stay."""
-    gone = groups(docs, p).filter("not kept").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
+    """One row of each group, with all its columns: that of the smallest id, those without an id last.
+
+    Every row counts for itself, by a number of its own: texts link, whatever ids repeat or lack.
+    Rows with empty sets stay.
+    """
+    rows = written(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.monotonically_increasing_id().alias("_serial")))
+    found = groups(rows.select(F.col("_serial").alias("doc_id"), F.col("_row.text").alias("text")), p)
+    found = found.select(F.col("doc_id").alias("_serial"), "component_id")
+    members = written(rows.select("_serial", F.col("_row.doc_id").alias("doc_id")).join(found, "_serial"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_serial")
+    first = members.groupBy("component_id").agg(F.min(place).alias("first"), F.count("*").alias("rows")).filter("rows > 1")
+    gone = members.join(first, "component_id").filter("_serial <> first._serial").select("_serial")
+    return rows.join(gone, "_serial", "left_anti").select("_row.*")
