@@ -9,8 +9,10 @@ at the border if that brings the sum closer).
 The order never is made as a whole: sums of key ranges give the range where the budget ends, twice,
 and only the documents of that small range are sorted. What remains is one cut for each source.
 
-Null and empty texts have size 0 and add nothing. Keys come from a hash of doc_id, so rows with the
-same id (or none) are taken or left together, and reruns agree. A null source is a source. An empty
+Null and empty texts have size 0 and add nothing. Keys come from a hash of doc_id and the letters'
+share, so rows with the same id (or none) can have equal keys: those go by size, and of rows equal
+in key, id and size, which are counted and not sorted, as many are taken as the budget takes, in
+the order of the input. A null source is a source. An empty
 table gives an empty mix. Other columns are carried, never read.
 """
 
@@ -37,13 +39,14 @@ def _key(text: Column, doc_id: Column) -> Column:
 
 
 def _measured(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """The columns `keep` as `_row`; source, size and sampling key."""
+    """The columns `keep` as `_row`; source, size, sampling key and a number of the row, which holds once they are stored."""
     return docs.select(
         F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"),
         F.col("doc_id").alias("_id"),
         F.col("source").alias("_source"),
         F.size(tx.words(F.col("text"))).cast("long").alias("size"),
         _key(F.col("text"), F.col("doc_id")).alias("_key"),
+        F.monotonically_increasing_id().alias("_serial"),
     )
 
 
@@ -73,15 +76,45 @@ def _range(n: int) -> Column:
     return F.floor((1 - F.exp(-F.col("_key"))) * n)
 
 
+def _part(serial: str) -> Column:
+    """The input partition of a row's number."""
+    return F.shiftright(serial, 33)
+
+
+def _last(rows: DataFrame, open_: DataFrame) -> DataFrame:
+    """(_of, cut): per source the last row that the budget takes, of the rows in its range. Equal rows count as one with a number."""
+    same = F.col("_source").eqNullSafe(F.col("_of"))
+    equal = rows.groupBy("_source", "_key", "_id", "size").agg(F.count("*").alias("n"))
+    order = W.partitionBy("_source").orderBy("_key", "_id", "size")
+    before = F.sum(F.col("n") * F.col("size")).over(order) - F.col("n") * F.col("size")
+    # The k-th of equal rows is taken if its middle is within the budget.
+    most = F.floor((2 * (F.col("budget") - before) + F.col("size")) / (2 * F.col("size")))
+    ends = (
+        equal.join(open_.select(F.col("_source").alias("_of"), "budget"), same)
+        .withColumn("take", F.least(F.col("n"), most)).filter("take > 0")
+        .groupBy("_of").agg(F.max(F.struct("_key", "_id", "size", "take")).alias("end"))
+    )
+    # The number of the last row: by counts of input partitions, then within one of them.
+    border = rows.join(ends, same & (F.col("_key") == F.col("end._key")) & F.col("_id").eqNullSafe(F.col("end._id")) & (F.col("size") == F.col("end.size")))
+    border = written(border.select("_of", "_serial", _part("_serial").alias("part"), "end"))
+    parts = border.groupBy("_of", "part").agg(F.count("*").alias("n"), F.any_value("end.take").alias("take"))
+    parts = parts.withColumn("upto", F.sum("n").over(W.partitionBy("_of").orderBy("part")))
+    parts = parts.filter((F.col("upto") >= F.col("take")) & (F.col("upto") - F.col("n") < F.col("take")))
+    parts = parts.select(F.col("_of").alias("of"), F.col("part").alias("of_part"), (F.col("take") - F.col("upto") + F.col("n")).alias("number"))
+    there = border.join(parts, F.col("_of").eqNullSafe(F.col("of")) & (F.col("part") == F.col("of_part")))
+    there = there.withColumn("i", F.row_number().over(W.partitionBy("_of").orderBy("_serial"))).filter("i = number")
+    return there.select("_of", F.struct("end._key", "end._id", "end.size", "_serial").alias("cut"))
+
+
 def cuts(sizes: DataFrame) -> DataFrame:
-    """Per source: target, whole epochs, the key range where the fractional epoch ends, its last key (and id) there."""
+    """Per source: target, whole epochs, the key range where the fractional epoch ends, its last key (id, size and number) there."""
     goal = targets(sizes)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     goal = written(
         goal.withColumn("epochs", whole).withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size"))
     )
     rows = sizes.filter("size > 0").select(
-        "_id", "_source", "size", "_key", _range(RANGES).alias("coarse"), _range(RANGES * RANGES).alias("fine"))
+        "_id", "_source", "size", "_key", "_serial", _range(RANGES).alias("coarse"), _range(RANGES * RANGES).alias("fine"))
     open_, same = goal.select("_source", "budget").filter("budget > 0"), F.col("_source").eqNullSafe(F.col("_of"))
     for level in ("coarse", "fine"):
         df = rows.join(open_.withColumnRenamed("_source", "_of"), same).groupBy("_source", level, "budget").agg(F.sum("size").alias("n"))
@@ -93,12 +126,7 @@ def cuts(sizes: DataFrame) -> DataFrame:
         )
         there = open_.select(F.col("_source").alias("_of"), F.col(level).alias("_level"))
         rows = rows.join(there, same & (F.col(level) == F.col("_level"))).drop("_of", "_level")
-    order = W.partitionBy("_source").orderBy("_key", "_id").rowsBetween(W.unboundedPreceding, 0)
-    last = (
-        rows.join(open_.select(F.col("_source").alias("_of"), "budget"), same)
-        .withColumn("upto", F.sum("size").over(order)).filter("2 * upto - size <= 2 * budget")
-        .groupBy(F.col("_source").alias("_of")).agg(F.max(F.struct("_key", "_id")).alias("cut"))
-    )
+    last = _last(rows, open_)
     ends = open_.select(F.col("_source").alias("_of"), F.col("fine").alias("end"))
     goal = goal.join(ends, same, "left").drop("_of").join(last, same, "left")
     return written(goal.select("_source", "source_size", "target", "epochs", "end", "cut"))
@@ -106,11 +134,9 @@ def cuts(sizes: DataFrame) -> DataFrame:
 
 def mixed(docs: DataFrame, keep: list[str]) -> DataFrame:
     """The columns `keep` as `_row`, with size, source_size, target and copies (how often the mix takes the document)."""
-    sizes = written(_measured(docs, []).drop("_row"))
-    cut = cuts(sizes)
-    rows = _measured(docs, keep) if keep != ["doc_id"] else sizes.withColumn("_row", F.struct(F.col("_id").alias("doc_id")))
-    cut = cut.withColumnRenamed("_source", "_of")
-    taken = (_range(RANGES * RANGES) < F.col("end")) | (F.struct("_key", "_id") <= F.col("cut"))
+    rows = written(_measured(docs, keep))
+    cut = cuts(rows.drop("_row")).withColumnRenamed("_source", "_of")
+    taken = (_range(RANGES * RANGES) < F.col("end")) | (F.struct("_key", "_id", "size", "_serial") <= F.col("cut"))
     part = F.coalesce(taken, F.lit(False)).cast("long")
     copies = F.when(F.col("size") > 0, F.col("epochs") + part).otherwise(0)
     return rows.join(cut, F.col("_source").eqNullSafe(F.col("_of")), "left").select(
