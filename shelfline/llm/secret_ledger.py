@@ -49,12 +49,17 @@ RULES = (
     Rule("assign", ASSIGN_HEAD, "[A-Za-z0-9+/_.=-]+", 6, ASSIGN_HEAD + "[A-Za-z0-9+/_.=-]{6}"),
     Rule("access", "", "AKIA[A-Z0-9]+", 20, "AKIA[A-Z0-9]{16}"),
     Rule("hex", "", "[0-9a-f]+", 24, "[0-9a-f]{24}"),
-    Rule("jwt", "", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 40, r"eyJ[A-Za-z0-9_-]+\.eyJ"),
+    Rule("jwt", "", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 40, r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]"),
     Rule("key_block", "", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 27, "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
 )
 BASE = 3
-VERSION = "2"
+VERSION = "3"
 REDACTED = "[REDACTED]"
+# What follows a private key's BEGIN, up to the next: all through END, or without it header and base64 lines.
+BEGIN, KEY_END = "-----BEGIN ", r"\A[\s\S]*?-----END [A-Z ]*PRIVATE KEY-----"
+BREAK = r"[ \t]*+(?:\r|\\r)?+(?:\n|\\n)?+[ \t]*+"
+KEY_LINE = r"(?:[A-Za-z0-9+/]{32,}+=*+|[A-Za-z0-9+/]++=*+(?=[ \t]*+(?:[\r\n]|\\[rn]|\z)))"
+KEY_LINES = rf"\A(?:(?:\s|\\[rn])*+(?:Proc-Type|DEK-Info):[^\n]*+)*+(?:(?:\s|\\[rn])*+{KEY_LINE}(?:{BREAK}{KEY_LINE})*+)?"
 
 
 def _spans(rule: Rule, rank: int, text: Column) -> Column:
@@ -141,15 +146,23 @@ def report(docs: DataFrame, ledger: DataFrame) -> DataFrame:
     return rows.select("doc_id", *counts, F.sha2(named(base), 256).alias("base_sha256"), named(F.col("findings")).alias("spans"))
 
 
+def _secret_end(text: Column, span: Column) -> Column:
+    """Where the secret of a span ends: a key block's span is its BEGIN only, its secret what follows."""
+    rest = F.substring_index(F.substring(text, span["end"] + 1, F.length(text)), BEGIN, 1)
+    whole = F.regexp_extract(rest, KEY_END, 0)
+    body = F.when(whole != "", whole).otherwise(F.regexp_extract(rest, KEY_LINES, 0))
+    return F.when(span["kind"] == "key_block", span["end"] + F.length(body)).otherwise(span["end"])
+
+
 def redacted(docs: DataFrame, ledger: DataFrame) -> DataFrame:
-    """docs with every finding in `text` replaced and `n_chars`, where there is one, counted anew."""
+    """docs with every finding in `text` replaced (private keys through their END) and `n_chars`, where there is one, counted anew."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), blob(F.col("text")).alias("blob"))
     text = F.col("_row.text")
 
     def step(done: Column, span: Column) -> Column:
         before = F.substring(text, done["at"] + 1, span["start"] - done["at"])
         out = F.when(span["start"] >= done["at"], F.concat(done["out"], before, F.lit(REDACTED))).otherwise(done["out"])
-        return F.struct(F.greatest(done["at"], span["end"]).alias("at"), out.alias("out"))
+        return F.struct(F.greatest(done["at"], _secret_end(text, span)).alias("at"), out.alias("out"))
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     cut = F.aggregate("findings", start, step, lambda d: F.concat(d["out"], F.substring(text, d["at"] + 1, F.length(text))))
