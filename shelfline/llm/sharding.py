@@ -32,9 +32,11 @@ def _bits(doc_id: Column, text: Column) -> Column:
     return F.concat(*halves, F.lpad(F.bin(F.xxhash64(text)), 64, "0"))
 
 
-def measured(docs: DataFrame) -> DataFrame:
+def measured(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """The columns `keep` as `_row`, the text's size, and the bits."""
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
-    return docs.select("doc_id", size.alias("n_bytes"), _bits(F.col("doc_id"), F.col("text")).alias("bits"))
+    return docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), size.alias("n_bytes"), _bits(F.col("doc_id"), F.col("text")).alias("bits"))
 
 
 def directory(rows: DataFrame, limit: int) -> DataFrame:
@@ -64,9 +66,9 @@ def directory(rows: DataFrame, limit: int) -> DataFrame:
         at = upto
 
 
-def shards(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """Per row of docs: doc_id, n_bytes, shard (its bits, and the page if it overflows), depth, shard_bytes, shard_docs."""
-    rows = written(measured(docs).withColumn("part", F.spark_partition_id()))
+def dealt(docs: DataFrame, keep: list[str], limit: int) -> DataFrame:
+    """Per row of docs: the columns `keep` as `_row`, n_bytes, shard (its bits, and the page if it overflows), depth, shard_bytes, shard_docs."""
+    rows = written(measured(docs, keep).withColumn("part", F.spark_partition_id()))
     found = directory(rows, limit)
     # Pages of buckets that no bit can split: a row's number among its equals, counted within and then over input parts.
     full = found.filter((F.length("prefix") == BITS) & (F.col("shard_bytes") > limit) & (F.col("shard_docs") > 1))
@@ -78,7 +80,7 @@ def shards(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     paged = same.join(before, ["bits", "part"]).withColumn("page", F.floor(number / rows_a_page))
     pages = paged.withColumn("shard", F.concat("bits", F.lit("+"), F.col("page").cast("string")))
     page_sums = pages.groupBy("shard").agg(F.sum("n_bytes").alias("shard_bytes"), F.count("*").alias("shard_docs"))
-    names = ["doc_id", "n_bytes", "shard", "depth", "shard_bytes", "shard_docs"]
+    names = ["_row", "n_bytes", "shard", "depth", "shard_bytes", "shard_docs"]
     over = pages.withColumn("depth", F.lit(BITS)).join(page_sums, "shard").select(names)
 
     # A prefix is found by trying the depths that occur, at most BITS + 1 however many shards there are.
@@ -89,13 +91,14 @@ def shards(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     return tried.join(found, "prefix").withColumnRenamed("prefix", "shard").select(names).unionByName(over)
 
 
+def shards(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """Per row of docs: doc_id, n_bytes, shard, depth, shard_bytes, shard_docs."""
+    return dealt(docs, ["doc_id"], limit).select("_row.doc_id", "n_bytes", "shard", "depth", "shard_bytes", "shard_docs")
+
+
 def write(docs: DataFrame, path: str, limit: int = LIMIT) -> None:
-    """docs as Parquet, one folder for each shard. Repeated ids go where their texts' bits say."""
-    found = written(shards(docs, limit).select(F.col("doc_id").alias("_id"), "n_bytes", "shard").distinct())
-    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
-    same = F.col("_id").eqNullSafe(docs["doc_id"]) & (F.col("n_bytes") == size)
-    first = found.groupBy("_id", "n_bytes").agg(F.min("shard").alias("shard"))
-    docs.join(first, same, "left").drop("_id", "n_bytes").repartition("shard").write.partitionBy("shard").parquet(path)
+    """docs as Parquet, one folder for each shard: every row in the one that it was dealt to, page included."""
+    dealt(docs, docs.columns, limit).select("_row.*", "shard").repartition("shard").write.partitionBy("shard").parquet(path)
 
 
 def oracle(limit: int = LIMIT, most: int = 40) -> str:
