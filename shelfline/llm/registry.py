@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from shelfline.llm import caps, language, minhash, mixing, quality_rules, secret_ledger, sentencepiece, sharding, suffixes, warc
+from shelfline.llm import caps, codebooks, language, minhash, mixing, quality_rules, secret_ledger, sentencepiece, sharding, suffixes, warc
 from shelfline.llm.scratch import read, shared_folder
 
 
@@ -49,6 +49,10 @@ def op10_cap_filters(spark, sf_dir):
     return caps.groups(read(spark, sf_dir, "embeddings"))
 
 
+def op11_bounded_codes(spark, sf_dir):
+    return codebooks.codes(read(spark, sf_dir, "embeddings")).drop("label")
+
+
 def queries():
     return {name: f for name, f in globals().items() if re.match(r"op\d+_", name)}
 
@@ -59,4 +63,5 @@ def oracle_sql():
         "op4_source_mix": mixing.oracle(),
         "op5_secret_scan": secret_ledger.oracle(),
         "op6_warc_segments": warc.oracle(),
+        "op11_bounded_codes": codebooks.oracle(),
     }
