@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from shelfline.llm import caps, codebooks, language, minhash, mixing, quality_rules, secret_ledger, sentencepiece, sharding, suffixes, warc
+from shelfline.llm import caps, codebooks, debruijn, language, minhash, mixing, quality_rules, secret_ledger, sentencepiece, sharding, suffixes, warc
 from shelfline.llm.scratch import read, shared_folder
 
 
@@ -53,6 +53,10 @@ def op11_bounded_codes(spark, sf_dir):
     return codebooks.codes(read(spark, sf_dir, "embeddings")).drop("label")
 
 
+def op13_debruijn_dedup(spark, sf_dir):
+    return debruijn.removed(read(spark, sf_dir, "documents")).drop("kept")
+
+
 def queries():
     return {name: f for name, f in globals().items() if re.match(r"op\d+_", name)}
 
@@ -64,4 +68,5 @@ def oracle_sql():
         "op5_secret_scan": secret_ledger.oracle(),
         "op6_warc_segments": warc.oracle(),
         "op11_bounded_codes": codebooks.oracle(),
+        "op13_debruijn_dedup": debruijn.oracle(),
     }
