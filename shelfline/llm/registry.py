@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from shelfline.llm import caps, codebooks, debruijn, language, minhash, mixing, quality_rules, secret_ledger, sentencepiece, sharding, suffixes, warc
+from shelfline.llm import caps, codebooks, debruijn, language, minhash, mixing, phrases, quality_rules, secret_ledger, sentencepiece, sharding, suffixes, warc
 from shelfline.llm.scratch import read, shared_folder
 
 
@@ -53,6 +53,10 @@ def op11_bounded_codes(spark, sf_dir):
     return codebooks.codes(read(spark, sf_dir, "embeddings")).drop("label")
 
 
+def op12_son_phrases(spark, sf_dir):
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
 def op13_debruijn_dedup(spark, sf_dir):
     return debruijn.removed(read(spark, sf_dir, "documents")).drop("kept")
 
@@ -68,5 +72,6 @@ def oracle_sql():
         "op5_secret_scan": secret_ledger.oracle(),
         "op6_warc_segments": warc.oracle(),
         "op11_bounded_codes": codebooks.oracle(),
+        "op12_son_phrases": phrases.oracle(),
         "op13_debruijn_dedup": debruijn.oracle(),
     }
