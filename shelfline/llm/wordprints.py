@@ -35,15 +35,15 @@ def flags(values: bytes) -> np.ndarray:
     return out
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, row behind, bytes, edges): rows of about BYTES of text, whose bytes lie between their edges. No nulls."""
+def slices(batch: pa.RecordBatch, column: str = "text", size: int = BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, row behind, bytes, edges): rows of about `size` bytes of text, whose bytes lie between their edges. No nulls."""
     texts = batch[column]
     _, offsets, data = texts.buffers()
     offsets = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64) if len(texts) else np.zeros(1, np.int64)
     data = np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)
     low = 0
     while low < len(texts):
-        high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + BYTES, "right")) - 1)
+        high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + size, "right")) - 1)
         yield low, high, data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
         low = high
 
