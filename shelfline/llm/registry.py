@@ -7,6 +7,9 @@ import re
 from shelfline.llm import caps, codebooks, debruijn, language, minhash, mixing, phrases, quality_rules, secret_ledger, sentencepiece, sharding, suffixes, warc
 from shelfline.llm.scratch import read, shared_folder
 
+#: Bytes of a WARC record's block in the registered query: long pages go on in continuation records.
+SEGMENT = 16 << 10
+
 
 def op1_suffix_dedup(spark, sf_dir):
     return suffixes.removed(read(spark, sf_dir, "documents")).drop("kept")
@@ -30,7 +33,7 @@ def op5_secret_scan(spark, sf_dir):
 
 
 def op6_warc_segments(spark, sf_dir):
-    return warc.round_trip(read(spark, sf_dir, "pages"))
+    return warc.round_trip(read(spark, sf_dir, "pages"), segment=SEGMENT)
 
 
 def op7_sentencepiece(spark, sf_dir):

@@ -1,8 +1,8 @@
 """WARC archives: pages written as records, long ones in segments, and put together again.
 
 A record is an HTTP response whose payload is framed in chunks. Chunks end where the payload would
-show the record mark, so the mark stands in an archive at the start of records only, files can be
-read in splits, and no task holds more than a record. A message longer than `segment` goes on in
+show the record mark, so the mark stands in an archive at the start of records only, and no task holds
+more than a record. Files are compressed whole and hold a bounded number of records. A message longer than `segment` goes on in
 continuation records that name the first one; reading groups these by that name, orders them by
 segment number, verifies the total length, and takes the chunk framing off.
 
@@ -25,12 +25,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm.scratch import shared_folder, written
+from shelfline.llm.scratch import remove, shared_folder, shuffles_freed, written
 
 # Fixed values of the formats: record mark, line ends, base-32 digits.
 MARK, LINE, RECORD_END = "WARC/1.1\r\n", "\r\n", "\r\n\r\n"
 HEX32, BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 SEGMENT, CHUNK, LEAST = 1 << 20, 1 << 16, 0
+#: Records of a compressed file at most.
+RECORDS = 10_000
 DATE = "2000-01-01T00:00:00Z"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 
@@ -123,7 +125,10 @@ def write(pages: DataFrame, path: str, least: int = LEAST, segment: int = SEGMEN
     url = F.regexp_replace("url", r"[\x00-\x20\x7f]", "%20")
     made = _records(segment)(own.alias("name"), F.when(again, name("origin")).alias("refers_to"), url.alias("url"), F.col("sha"), F.col("payload"))
     lines = full.select(F.explode(made).alias("record")).select(F.col("record").cast("string").alias("value"))
-    lines.write.option("lineSep", RECORD_END).text(path)
+    # A compressed file is read by one task, so none holds more than so many records.
+    with shuffles_freed(pages.sparkSession):
+        lines.write.option("lineSep", RECORD_END).option("compression", "gzip").option("maxRecordsPerFile", RECORDS).text(path)
+    remove(thin)
 
 
 def _parsed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -209,10 +214,10 @@ def pages_read(spark: SparkSession, path: str) -> DataFrame:
         F.when(again, F.col("digest")).otherwise(F.col("sha")).alias("payload_digest"), "record_type", "refers_to", "complete")
 
 
-def round_trip(pages: DataFrame) -> DataFrame:
+def round_trip(pages: DataFrame, segment: int = SEGMENT) -> DataFrame:
     """Write archives of all pages into a new shared folder and read them back."""
     path = shared_folder(pages.sparkSession)
-    write(pages, path)
+    write(pages, path, segment=segment)
     return pages_read(pages.sparkSession, path)
 
 

@@ -1,4 +1,4 @@
-from shelfline.llm import warc
+from shelfline.llm import registry, warc
 
 SCHEMA = "page_id long, url string, html string, sha string, n int"
 
@@ -34,3 +34,29 @@ def test_no_pages(spark, tmp_path):
     path = str(tmp_path / "archive")
     warc.write(spark.createDataFrame([], SCHEMA), path)
     assert warc.pages_read(spark, path).count() == 0
+
+
+def test_the_query_writes_continuation_records(spark, tmp_path, monkeypatch):
+    written = []
+    monkeypatch.setattr(warc, "shared_folder", lambda _: written.append(str(tmp_path / "archive")) or written[-1])
+    pages = spark.createDataFrame([(1, "u", "long " * 20_000, "", 0), (2, "u", "short", "", 0)], "page_id long, url string, html string, sha string, n int")
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    found = {r["page_id"]: r for r in registry.op6_warc_segments(spark, str(tmp_path)).collect()}
+    assert found[1]["payload_bytes"] == 100_000 and found[1]["complete"]
+    kinds = [r[0].split("\r\n")[0] for r in spark.read.option("lineSep", warc.MARK).text(written[0]).filter("value <> ''").collect()]
+    assert kinds.count("WARC-Type: continuation") == 6
+
+
+def test_broken_framing_is_told():
+    whole = warc.framed(b"x" * 100, 30)
+    assert warc.unframed(whole) == b"x" * 100
+    for broken in (whole[:-5], whole[:40], b"zz\r\nabc", b"", whole.replace(b"1e\r\n", b"1f\r\n", 1)):
+        assert warc.unframed(broken) is None
+
+
+def test_a_long_payload(spark, tmp_path):
+    html = "".join(f"<p>{i}</p>" for i in range(300_000))
+    path = str(tmp_path / "archive")
+    warc.write(spark.createDataFrame([(1, "u", html, "", 0)], SCHEMA), path, segment=100_000)
+    read = warc.payloads(warc.records(spark, path)).collect()
+    assert [bytes(r["payload"]).decode() == html and r["complete"] for r in read] == [True]
