@@ -28,20 +28,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfline.llm.places import no_of, numbered, start_of
 from shelfline.llm.scratch import remove, written
 from shelfline.llm.suffixes import anchors
 from shelfline.llm.wordprints import SPACES, flags, hashes, runs, slices, spans
 
 WINDOW, GRAM = 20, 6
-DOC, PRINT = ["doc_id", "h"], ["fp1", "fp2"]
+PRINT = ["fp1", "fp2"]
+#: Bits of a place for the word in its text: a text has fewer than 2^27 words, and there are fewer than 2^36 documents.
+BITS = 27
 _BETWEEN = flags(SPACES)
 
 
-def _rows(docs: DataFrame) -> DataFrame:
-    text = F.coalesce("text", F.lit(""))
-    return docs.select("doc_id", F.xxhash64(text).alias("h"), text.alias("text"))
-
-
 def _words(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Two hashes of each word, its text's number, and the number of each text's first word."""
     starts, ends, of = spans(data, edges, _BETWEEN)
@@ -71,30 +69,31 @@ def edges_of(data: np.ndarray, edges: np.ndarray, window: int, gram: int) -> tup
     return text, grams[anchor[first]].view(np.int64), *prints, first - base[text], last - first + 1
 
 
+def _places(no: np.ndarray, start: np.ndarray) -> pa.Array:
+    if len(start) and int(start.max()) >> BITS:
+        raise ValueError(f"a text has more than {1 << BITS} words")
+    return pa.array((no << BITS) + start, pa.int64())
+
+
 def super_windows(rows: DataFrame, window: int, gram: int) -> DataFrame:
-    """(doc_id, h, gram, fp1, fp2, start, n) of all runs of windows with one minimizer."""
+    """(gram, fp1, fp2, place, n) of all runs of windows with one minimizer."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, data, edges in slices(batch):
+            no = batch["no"].to_numpy()
+            for low, _, data, edges in slices(batch):
                 text, key, fp1, fp2, start, n = edges_of(data, edges, window, gram)
                 if len(text):
-                    own = batch.slice(low, high - low).select(DOC).take(pa.array(text))
-                    numbers = [pa.array(x, kind) for x, kind in ((key, pa.int64()), (fp1, pa.int64()), (fp2, pa.int64()), (start, pa.int32()), (n, pa.int32()))]
-                    yield pa.RecordBatch.from_arrays([*own.columns, *numbers], [*DOC, "gram", *PRINT, "start", "n"])
-
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, h bigint, gram bigint, fp1 bigint, fp2 bigint, start int, n int")
+                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp1), pa.array(fp2), _places(no[low + text], start), pa.array(n, pa.int32())], ["gram", *PRINT, "place", "n"])
 
-
-def _same_doc(a: str = "doc_id", b: str = "of", ah: str = "h", bh: str = "of_h"):
-    return F.col(a).eqNullSafe(F.col(b)) & (F.col(ah) == F.col(bh))
+    return rows.select("no", "text").mapInArrow(run, "gram bigint, fp1 bigint, fp2 bigint, place bigint, n int")
 
 
 def _single_windows(rows: DataFrame, parts: DataFrame, window: int) -> DataFrame:
-    """(doc_id, h, fp1, fp2, start) of each window of the given runs."""
-    lists = parts.groupBy(*DOC).agg(F.collect_list(F.struct("start", "n")).alias("p"))
-    lists = lists.select(F.col("doc_id").alias("of"), F.col("h").alias("of_h"), F.col("p.start").alias("starts"), F.col("p.n").alias("ns"))
-    both = rows.join(lists, _same_doc()).select(*DOC, "text", "starts", "ns")
+    """(fp1, fp2, place) of each window of the given runs."""
+    lists = parts.groupBy(no_of("place", BITS).alias("of")).agg(F.collect_list(F.struct(start_of("place", BITS).alias("start"), "n")).alias("p"))
+    lists = lists.select("of", F.col("p.start").alias("starts"), F.col("p.n").alias("ns"))
+    both = rows.join(lists, F.col("no") == F.col("of")).select("no", "text", "starts", "ns")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -106,61 +105,64 @@ def _single_windows(rows: DataFrame, parts: DataFrame, window: int) -> DataFrame
                 text = np.repeat(np.repeat(np.arange(len(counts)), counts), ns)
                 start = np.repeat(starts, ns) + np.arange(ns.sum()) - np.repeat(np.cumsum(ns) - ns, ns)
                 at = start + base[text]
-                numbers = [pa.array(x, kind) for x, kind in ((runs(one, window)[at].view(np.int64), pa.int64()), (runs(two, window)[at].view(np.int64), pa.int64()), (start, pa.int32()))]
-                yield pa.RecordBatch.from_arrays([*own.select(DOC).take(pa.array(text)).columns, *numbers], [*DOC, *PRINT, "start"])
+                prints = [pa.array(runs(words, window)[at].view(np.int64)) for words in (one, two)]
+                yield pa.RecordBatch.from_arrays([*prints, _places(own["no"].to_numpy()[text], start)], [*PRINT, "place"])
 
-    return both.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, h bigint, fp1 bigint, fp2 bigint, start int")
+    return both.mapInArrow(run, "fp1 bigint, fp2 bigint, place bigint")
 
 
 def _counted(found: DataFrame, *more) -> DataFrame:
     """One row per fingerprint: its first place and how often it occurs."""
-    return found.groupBy(*PRINT).agg(F.min(F.struct(*DOC, "start")).alias("first"), F.count("*").alias("times"), *more)
+    return found.groupBy(*PRINT).agg(F.min("place").alias("first"), F.count("*").alias("times"), *more)
 
 
 def repeated_edges(rows: DataFrame, window: int, gram: int) -> DataFrame:
-    """(doc_id, h, start, n, first, times): all occurrences of edges that occur more than once. `first` names the edge."""
+    """(place, n, first, times): all occurrences of edges that occur more than once. `first` is the first place and names the edge."""
     shared = written(super_windows(rows, window, gram).groupBy("gram").agg(F.count("*").alias("times")).filter("times > 1").select("gram"))
     found = written(super_windows(rows, window, gram).join(shared, "gram", "left_semi"))
+    remove(shared)
     contents = written(_counted(found, F.any_value("gram").alias("gram")))
     # Grams whose runs of windows are not all equal.
-    unlike = contents.groupBy("gram").agg(F.count("*").alias("contents")).filter("contents > 1").select("gram")
-    unlike = written(unlike)
-    names = [*DOC, "start", "n", "first", "times"]
+    unlike = written(contents.groupBy("gram").agg(F.count("*").alias("contents")).filter("contents > 1").select("gram"))
+    names = ["place", "n", "first", "times"]
     alike = contents.join(unlike, "gram", "left_anti").filter("times > 1").select(*PRINT, "first", "times")
-    whole = found.join(alike, PRINT).select(*names)
+    whole = written(found.join(alike, PRINT).select(*names))
     single = written(_single_windows(rows, found.join(unlike, "gram", "left_semi"), window))
+    for step in (found, contents, unlike):
+        remove(step)
     more = _counted(single).filter("times > 1")
     out = written(whole.unionByName(single.join(more, PRINT).withColumn("n", F.lit(1)).select(*names)))
-    for step in (shared, found, contents, unlike, single):
-        remove(step)
+    remove(whole)
+    remove(single)
     return out
 
 
 def paths(edges: DataFrame) -> DataFrame:
-    """(first, windows): the nonbranching paths of the edges, each named by where its head occurs first."""
-    after = edges.select(F.col("doc_id").alias("of"), F.col("h").alias("of_h"), F.col("start").alias("at"), F.col("first").alias("next"), F.col("times").alias("next_times"))
-    beside = edges.join(after, _same_doc() & (F.col("start") + F.col("n") == F.col("at")))
-    pairs = beside.groupBy("first", "n", "times", "next", "next_times").agg(F.count("*").alias("together"))
+    """(head, windows): the nonbranching paths of the edges, each named by the place where its head occurs first."""
+    after = edges.select(F.col("place").alias("end"), F.col("first").alias("next"), F.col("times").alias("next_times"))
+    beside = edges.withColumn("end", F.col("place") + F.col("n")).join(after, "end")
+    pairs = beside.groupBy("first", "next").agg(F.count("*").alias("together"), F.any_value("n").alias("n"), F.any_value("times").alias("times"), F.any_value("next_times").alias("next_times"))
     # All occurrences of both are side by side, and so are the first ones.
-    unbranched = F.col("together").eqNullSafe(F.col("times")) & (F.col("together") == F.col("next_times"))
-    verified = F.col("first.doc_id").eqNullSafe(F.col("next.doc_id")) & (F.col("first.h") == F.col("next.h")) & (F.col("first.start") + F.col("n") == F.col("next.start"))
-    continued = pairs.filter(unbranched & verified).select(F.col("next.doc_id").alias("of"), F.col("next.h").alias("of_h"), F.col("next.start").alias("at"))
-    own = edges.filter(F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.h") == F.col("h")) & (F.col("first.start") == F.col("start"))).select(*DOC, "start", "n")
-    own = own.join(continued, _same_doc() & (F.col("start") == F.col("at")), "left")
-    number = F.sum(F.col("at").isNull().cast("int")).over(Window.partitionBy(*DOC).orderBy("start"))
-    joined = own.select(*DOC, "start", "n", number.alias("path")).groupBy(*DOC, "path").agg(F.min("start").alias("start"), F.sum("n").cast("int").alias("windows"))
-    return joined.select(F.struct(*DOC, "start").alias("head"), "windows")
-
-
-def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """(doc_id, h, start, stop): runs of words covered by windows that start earlier; h is the text's hash."""
+    unbranched = (F.col("together") == F.col("times")) & (F.col("together") == F.col("next_times"))
+    verified = F.col("first") + F.col("n") == F.col("next")
+    continued = pairs.filter(unbranched & verified).select(F.col("next").alias("place"), F.lit(True).alias("continued"))
+    own = edges.filter("place = first").select("place", "n").distinct().join(continued, "place", "left")
+    number = F.sum(F.col("continued").isNull().cast("int")).over(Window.partitionBy("no").orderBy("place"))
+    joined = own.withColumn("no", no_of("place", BITS)).select("no", "place", "n", number.alias("path"))
+    return joined.groupBy("no", "path").agg(F.min("place").alias("head"), F.sum("n").cast("int").alias("windows")).select("head", "windows")
+
+
+def repeats(rows: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """(no, start, stop): runs of words of the numbered rows that are covered by windows that start earlier."""
     if not 0 < gram <= window or window < 2:
         raise ValueError("a window has two words or more, and a gram not more than a window")
-    edges = repeated_edges(_rows(docs), window, gram)
-    found = edges.join(paths(edges), F.col("first.doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("first.h") == F.col("head.h")) & (F.col("first.start") == F.col("head.start")))
-    elsewhere = ~(F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("h") == F.col("head.h")) & (F.col("start") == F.col("head.start")))
-    out = written(found.filter(elsewhere).select(*DOC, "start", (F.col("start") + F.col("windows") + window - 1).alias("stop")))
+    edges = repeated_edges(rows, window, gram)
+    heads = written(paths(edges))
+    elsewhere = edges.filter("place <> first").join(heads, F.col("first") == F.col("head"))
+    start = start_of("place", BITS)
+    out = written(elsewhere.select(no_of("place", BITS).alias("no"), start.cast("int").alias("start"), (start + F.col("windows") + window - 1).cast("int").alias("stop")))
     remove(edges)
+    remove(heads)
     return out
 
 
@@ -184,10 +186,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def removed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """Per row: doc_id, n_words, n_removed, kept_sha256 and kept, the words that stay joined by spaces."""
-    rows, found = _rows(docs), repeats(docs, window, gram)
-    lists = found.groupBy(*DOC).agg(F.collect_list(F.struct("start", "stop")).alias("r"))
-    lists = lists.select(F.col("doc_id").alias("of"), F.col("h").alias("of_h"), F.col("r.start").alias("starts"), F.col("r.stop").alias("stops"))
-    both = rows.join(lists, _same_doc(), "left").select("doc_id", "text", "starts", "stops")
+    rows = numbered(docs, BITS)
+    lists = repeats(rows, window, gram).groupBy(F.col("no").alias("of")).agg(F.collect_list(F.struct("start", "stop")).alias("r"))
+    lists = lists.select("of", F.col("r.start").alias("starts"), F.col("r.stop").alias("stops"))
+    both = rows.join(lists, F.col("no") == F.col("of"), "left").select("doc_id", "text", "starts", "stops")
     return both.mapInArrow(_cut, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_words bigint, n_removed bigint, kept_sha256 string, kept string")
 
 

@@ -41,12 +41,26 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _table(folder: str) -> str:
+    return folder.replace("-", "_")
+
+
+def bucketed(df: DataFrame, buckets: int, keys: list[str]) -> DataFrame:
+    """The rows of `df`, computed once, bucketed and sorted by `keys`: such tables of equal buckets meet without a shuffle."""
+    spark, path = df.sparkSession, shared_folder(df.sparkSession)
+    name = _table(path.rsplit("/", 1)[1])
+    with shuffles_freed(spark):
+        df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def remove(df: DataFrame) -> None:
     """Delete the files of a `written` table that nothing needs any more."""
     spark = df.sparkSession
     for file in df.inputFiles()[:1]:
         folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        spark.sql(f"drop table if exists `{_table(folder.getName())}`")
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -2,16 +2,19 @@
 
 A suffix array here is sparse and sorted by fingerprints, as only equality counts. Of each string of
 `length` bytes the leftmost gram with the least hash is its anchor, so equal strings have equal
-anchors at equal places, and one suffix in about 35 is indexed: the block of all strings in a row
-with one anchor. Documents come in batches in the order of their ids. A batch gets its array; it is
-merged against each level for blocks that are known, the new blocks form a level, and levels of
-equal size merge before the next batch comes. A block that is not the first of its content is
-covered as a whole. Blocks that share an anchor's gram but are not equal may share some strings:
-these blocks alone are taken apart into strings, each decided by its first occurrence.
+anchors at equal places, and one suffix in about 40 is indexed: the block of all strings in a row
+with one anchor. Documents come in batches in the order of their ids. A batch gets its array, which
+meets each level for blocks that are known; the new blocks form a level, and levels of equal size
+merge at once. All arrays are bucketed and sorted by the same fingerprints, so that a batch meets
+the levels, and levels merge, bucket by bucket without a shuffle. What a batch finds is final: only
+earlier documents are in the levels. A block that is not the first of its content is covered as a
+whole. Blocks that share an anchor's gram but are not equal may share some strings: these blocks
+alone are taken apart into strings, each decided by its first occurrence.
 
 So every byte is removed that a string of `length` bytes covers which also starts earlier: in a
-document with a smaller id, or before in the same. Fingerprints have 128 bits. Matches never cross
-documents. Null texts are empty; texts shorter than `length` lose nothing. Rows without an id come
+document with a smaller id, or before in the same. Fingerprints have 128 bits: 64 of the gram and 64
+of the block, or two of 64 of a string. Matches never cross documents. Null texts are empty; texts
+shorter than `length` lose nothing; a text of any length is taken whole. Rows without an id come
 first in order. Rows that repeat id and text are one document; with equal ids and different texts
 the smaller text hash comes first. An empty table gives an empty result. Only doc_id and text are
 read. Every group that is collected is a part of one document.
@@ -25,13 +28,17 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.scratch import written
+from shelfline.llm.scratch import bucketed, remove, written
+from shelfline.llm.wordprints import slices
 
-LENGTH, GRAM, BATCHES = 100, 32, 2
-KEY, PRINT = ["doc_id", "h"], ["fp1", "fp2"]
+LENGTH, GRAM, BATCHES = 100, 16, 4
+#: Bytes of text behind a bucket of a family: its arrays have about half as many.
+BUCKET = 64 << 20
+KEY, PRINT, ENTRY = ["doc_id", "h"], ["fp1", "fp2"], ["gram", "fp"]
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -62,33 +69,34 @@ def string_hashes(data: np.ndarray, length: int, seed: int) -> np.ndarray:
 
 
 def anchors(grams: np.ndarray, width: int) -> np.ndarray:
-    """The leftmost place of the least value in each window of `width` values."""
-    place, span = np.arange(len(grams)), 1
-
-    def joined(apart: int) -> np.ndarray:
-        left, right = place[: len(place) - apart], place[apart:]
-        return np.where(grams[left] <= grams[right], left, right)
-
+    """The leftmost place of the least value (by its upper 32 bits) in each window of `width` values."""
+    least, span = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64), 1
     while span * 2 <= width:
-        place, span = joined(span), span * 2
-    return joined(width - span) if width > span else place
+        least, span = np.minimum(least[: len(least) - span], least[span:]), span * 2
+    rest = width - span
+    least = np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
+    return (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
-def blocks(text: str, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Of each block: its gram's hash, two fingerprints, the start of its first string, and how many strings it has."""
-    data = np.frombuffer(text.encode(errors="replace"), np.uint8)
+def blocks(data: np.ndarray, edges: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Of each block of the texts between the edges: its text's number, its gram's hash, its fingerprint, the start of its first string, and how many strings it has."""
     if len(data) < length:
-        none = np.empty(0, np.int64)
-        return none, none, none, none, none
+        return tuple(np.empty(0, np.int64) for _ in range(5))
     grams = string_hashes(data, gram, 1)
     anchor = anchors(grams, length - gram + 1)
-    first = np.flatnonzero(np.diff(anchor, prepend=-1))
-    last = np.append(first[1:], len(anchor)) - 1
-    prints = []
-    for seed in (2, 3):
-        w = string_hashes(data, length, seed)
-        prints.append(_mixed(_mixed(w[first] + (last - first).astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93) + w[last]).view(np.int64))
-    return grams[anchor[first]].view(np.int64), *prints, first.astype(np.int64), last - first + 1
+    # Strings that cross into another text are none.
+    whole = np.ones(len(anchor) + 1, bool)
+    whole[-1] = False
+    for edge in edges[1:-1]:
+        whole[max(edge - length + 1, 0) : edge] = False
+    fresh = np.append(True, (anchor[1:] != anchor[:-1]) | ~whole[:-2]) & whole[:-1]
+    first = np.flatnonzero(fresh)
+    ends = np.flatnonzero(~whole)
+    last = np.minimum(np.append(first[1:], len(anchor)), ends[np.searchsorted(ends, first)]) - 1
+    w = string_hashes(data, length, 2)
+    fp = _mixed(_mixed(w[first] + (last - first).astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93) + w[last])
+    text = np.searchsorted(edges, first, "right") - 1
+    return text, grams[anchor[first]].view(np.int64), fp.view(np.int64), first - edges[text], last - first + 1
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -97,34 +105,37 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def entries(rows: DataFrame, length: int, gram: int) -> DataFrame:
-    """(doc_id, h, gram, fp1, fp2, start, n) of all blocks."""
+    """(doc_id, h, gram, fp, start, n) of all blocks."""
     if length > 2 * gram + 100 or gram > length:
         raise ValueError("a block's first and last string must cover it")
 
-    @F.pandas_udf("gram array<bigint>, fp1 array<bigint>, fp2 array<bigint>, start array<bigint>, n array<bigint>")
-    def found(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            yield pd.DataFrame([blocks(t, length, gram) for t in texts], columns=["gram", "fp1", "fp2", "start", "n"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high, data, edges in slices(batch):
+                text, *found = blocks(data, edges, length, gram)
+                if len(text):
+                    own = batch.slice(low, high - low).select(KEY).take(pa.array(text))
+                    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+                    yield pa.RecordBatch.from_arrays([*own.columns, *[pa.array(x, kind) for x, kind in zip(found, kinds, strict=True)]], [*KEY, *ENTRY, "start", "n"])
 
-    names = ["gram", "fp1", "fp2", "start", "n"]
-    out = rows.select(*KEY, found("text").alias("b"))
-    out = out.select(*KEY, F.explode(F.arrays_zip(*[F.col(f"b.{c}").alias(c) for c in names])).alias("e"))
-    return out.select(*KEY, "e.gram", "e.fp1", "e.fp2", F.col("e.start").cast("int").alias("start"), F.col("e.n").cast("int").alias("n"))
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, h bigint, gram bigint, fp bigint, start int, n int")
 
 
-def _firsts(found: DataFrame) -> DataFrame:
-    """One row per content: its first occurrence. Combined before the shuffle, so hot passages don't gather."""
-    place = F.min(F.struct(*KEY, "start")).alias("first")
-    return found.groupBy(*PRINT).agg(place, F.any_value("gram").alias("gram"), F.any_value("n").alias("n"))
+def _firsts(found: DataFrame, by: list[str], *more: Column) -> DataFrame:
+    """One row per content: its first occurrence and their number. Combined before the shuffle, so hot passages don't gather."""
+    return found.groupBy(*by).agg(F.min(F.struct(*KEY, "start")).alias("first"), F.count("*").alias("times"), *more)
 
 
 @dataclass
 class Family:
-    """Levels as (batches, suffix array); all contents are distinct over all levels."""
+    """levels: (batches, suffix array) of falling sizes; all contents are distinct over all levels. covered: (doc_id, h, start, stop)."""
 
     length: int = LENGTH
     gram: int = GRAM
+    buckets: int = 8
     levels: list[tuple[int, DataFrame]] = field(default_factory=list)
+    covered: list[DataFrame] = field(default_factory=list)
+    merges: int = 0
 
     def all(self) -> DataFrame:
         out = self.levels[0][1]
@@ -132,22 +143,31 @@ class Family:
             out = out.unionByName(level)
         return out
 
+    def _stored(self, array: DataFrame) -> DataFrame:
+        return bucketed(array, self.buckets, ENTRY)
+
     def add(self, rows: DataFrame) -> None:
-        """Index a batch that comes after all that are indexed."""
+        """Index a batch that comes after all that are indexed, and keep what it repeats."""
+        own = entries(rows, self.length, self.gram)
+        array = self._stored(_firsts(own, ENTRY, F.any_value("n").alias("n")))
+        marked = array.withColumn("known", F.lit(False))
+        for _, level in self.levels:
+            marked = marked.join(level.select(*ENTRY, F.lit(True).alias("here")), ENTRY, "left").withColumn("known", F.col("known") | F.coalesce("here", F.lit(False))).drop("here")
+        marked = self._stored(marked)
+        remove(array)
+        again = marked.filter("known or times > 1").select(*ENTRY, "first", "known")
+        of = F.col("first")
+        is_first = ~F.col("known") & F.col("doc_id").eqNullSafe(of["doc_id"]) & (F.col("h") == of["h"]) & (F.col("start") == of["start"])
+        later = own.join(again, ENTRY).filter(~is_first)
+        self.covered.append(written(later.select(*KEY, "start", (F.col("start") + F.col("n") - 1 + self.length).alias("stop"))))
+        self.levels.append((1, self._stored(marked.filter("not known").select(*ENTRY, "first", "n"))))
+        remove(marked)
         while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
             (n, a), (m, b) = self.levels.pop(), self.levels.pop()
-            self.levels.append((n + m, written(a.unionByName(b).sortWithinPartitions("gram", *PRINT))))
-        new = _firsts(entries(rows, self.length, self.gram))
-        for _, level in self.levels:
-            new = new.join(level.select(*PRINT), PRINT, "left_anti")
-        self.levels.append((1, written(new.sortWithinPartitions("gram", *PRINT))))
-
-
-def _later(found: DataFrame, firsts: DataFrame) -> DataFrame:
-    """Those of `found` that are not the first of their content."""
-    of = F.col("first")
-    same = F.col("doc_id").eqNullSafe(of["doc_id"]) & (F.col("h") == of["h"]) & (F.col("start") == of["start"])
-    return found.join(firsts.select(*PRINT, "first"), PRINT).filter(~same).drop("first")
+            self.levels.append((n + m, self._stored(a.unionByName(b))))
+            self.merges += 1
+            remove(a)
+            remove(b)
 
 
 def _strings(rows: DataFrame, parts: DataFrame, length: int) -> DataFrame:
@@ -173,26 +193,36 @@ def _strings(rows: DataFrame, parts: DataFrame, length: int) -> DataFrame:
 
 def repeats(rows: DataFrame, family: Family) -> DataFrame:
     """(doc_id, h, start, stop): byte ranges of the indexed rows that strings of earlier starts cover."""
+    out = family.covered[0]
+    for more in family.covered[1:]:
+        out = out.unionByName(more)
     known = family.all()
-    whole = _later(entries(rows, family.length, family.gram), known)
     shared = known.groupBy("gram").agg(F.count("*").alias("blocks")).filter("blocks > 1").select("gram")
     apart = known.join(shared, "gram", "left_semi").select("first.*", "n")
     strings = written(_strings(rows, apart, family.length))
-    first = strings.groupBy(*PRINT).agg(F.min(F.struct(*KEY, "start")).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    single = _later(strings, first).withColumn("n", F.lit(1))
-    both = whole.select(*KEY, "start", "n").unionByName(single.select(*KEY, "start", "n"))
-    return both.select(*KEY, "start", (F.col("start") + F.col("n") - 1 + family.length).alias("stop"))
+    first = _firsts(strings, PRINT).filter("times > 1").select(*PRINT, "first")
+    of = F.col("first")
+    same = F.col("doc_id").eqNullSafe(of["doc_id"]) & (F.col("h") == of["h"]) & (F.col("start") == of["start"])
+    single = strings.join(first, PRINT).filter(~same)
+    single = written(single.select(*KEY, "start", (F.col("start") + family.length).alias("stop")))
+    remove(strings)
+    return out.unionByName(single)
 
 
 def indexed(rows: DataFrame, batches: int = BATCHES, length: int = LENGTH, gram: int = GRAM) -> Family:
     """A family of all rows, added in batches by id."""
-    family = Family(length, gram)
     shares = [k / batches for k in range(1, batches)]
-    marks = rows.select(F.percentile_approx("doc_id", shares, 1000)).first()[0] if shares else []
-    marks = sorted(set(marks or []))
-    at: Column = sum([(F.col("doc_id") > m).cast("int") for m in marks], F.lit(0))
+    size, marks = rows.select(F.sum(F.octet_length("text")), F.percentile_approx("doc_id", shares or [0.5], 1000)).first()
+    family = Family(length, gram, max(8, -(-(size or 0) // BUCKET)))
+    marks = sorted(set(marks or [])) if shares else []
+    # Rows without an id come first.
     for k in range(len(marks) + 1):
-        family.add(rows.filter(F.coalesce(at, F.lit(0)) == k))
+        own = F.lit(True)
+        if k:
+            own &= F.col("doc_id") > marks[k - 1]
+        if k < len(marks):
+            own &= F.col("doc_id") <= marks[k]
+        family.add(rows.filter(own if k else F.coalesce(own, F.lit(True)) if marks else own))
     return family
 
 

@@ -4,6 +4,7 @@ import random
 import pytest
 
 from shelfline.llm import debruijn
+from shelfline.llm.places import numbered
 
 SCHEMA = "doc_id long, text string, h string, start int, n int, fp1 string"
 
@@ -57,8 +58,8 @@ def test_paths_are_whole_and_branch_nowhere(spark):
     docs = [(i, f"{prose(30)} {passage} {prose(30)}") for i in range(6)]
     docs += [(9, f"{prose(30)} {' '.join(passage.split()[100:])}")]
     df = spark.createDataFrame([(i, t, "x", 1, 2, "y") for i, t in docs], SCHEMA)
-    edges = debruijn.repeated_edges(debruijn._rows(df), 20, 6)
-    found = sorted((r["head"]["doc_id"], r["head"]["start"], r["windows"]) for r in debruijn.paths(edges).collect())
+    edges = debruijn.repeated_edges(numbered(df, debruijn.BITS), 20, 6)
+    found = sorted((*divmod(r["head"], 1 << debruijn.BITS), r["windows"]) for r in debruijn.paths(edges).collect())
     # One text enters the passage at its 100th word, so it is two paths there.
     assert found == [(0, 30, 100), (0, 130, 381)]
 
@@ -67,12 +68,18 @@ def test_a_hot_passage_makes_no_pairs(spark):
     passage = " ".join(map(str, range(30)))
     docs = [(i, f"w{i} {passage} v{i}") for i in range(3000)]
     df = spark.createDataFrame([(i, t, "x", 1, 2, "y") for i, t in docs], SCHEMA)
-    edges = debruijn.repeated_edges(debruijn._rows(df), 20, 6)
+    edges = debruijn.repeated_edges(numbered(df, debruijn.BITS), 20, 6)
     assert edges.agg({"n": "sum"}).first()[0] == 3000 * 11
     got = {r["doc_id"]: r["n_removed"] for r in debruijn.removed(df).collect()}
     assert got == {i: 30 if i else 0 for i in range(3000)}
 
 
+def test_ids_that_are_no_numbers(spark):
+    text = " ".join(map(str, range(50)))
+    df = spark.createDataFrame([("b", text), ("a", "x " + text), ("c", text)], "doc_id string, text string")
+    assert {r["doc_id"]: r["n_removed"] for r in debruijn.removed(df).collect()} == {"a": 0, "b": 50, "c": 50}
+
+
 def test_empty_table(spark):
     assert run(spark, []).count() == 0
 

@@ -36,7 +36,7 @@ def corpus():
     return docs
 
 
-@pytest.mark.parametrize("batches", [1, 5])
+@pytest.mark.parametrize("batches", [1, 4, 5])
 def test_equals_brute_force(spark, batches):
     docs = corpus()
     df = spark.createDataFrame([(i, t, "x", 1) for i, t in docs], SCHEMA)
@@ -53,3 +53,23 @@ def test_rows_that_repeat_an_id_and_text_are_one_document(spark):
     df = spark.createDataFrame([(1, text, "", 0), (1, text, "", 0), (2, text, "", 0)], SCHEMA)
     got = sorted((r["doc_id"], r["n_removed"]) for r in suffixes.removed(df).collect())
     assert got == [(1, 0), (1, 0), (2, len(text))]
+
+
+def test_the_query_merges_levels_without_shuffles(spark):
+    docs = [(i, t, "x", 1) for i, t in corpus()]
+    family = suffixes.indexed(suffixes._rows(spark.createDataFrame(docs, SCHEMA)))
+    assert suffixes.BATCHES == 4 and family.merges == 3 and [n for n, _ in family.levels] == [4]
+    level = family.levels[0][1]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        met = level.join(level.select(*suffixes.ENTRY, "n"), suffixes.ENTRY)
+        assert "Exchange" not in met._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_long_text(spark):
+    text = " ".join(str(i * 7919 % 1000003) for i in range(300_000))
+    df = spark.createDataFrame([(1, text, "", 0), (2, "x" + text, "", 0)], SCHEMA)
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"]) for r in suffixes.removed(df).collect()}
+    assert got == {1: (len(text), 0), 2: (len(text) + 1, len(text))}
