@@ -8,8 +8,9 @@ that, so the reports bound a phrase's occurrences from above, and their union is
 phrases may be candidates, all occurrences of what passes are counted, and phrases below `support` go.
 
 The filter is what driver and tasks share, `FILTER_BITS` long at every size; more candidates than fit well make it pass more,
-never less. With many shards the local support comes down to 1, where the first pass is the exact count itself and more
-phrases travel; raise `BLOCK` (a task's memory is about ten times that) or `support` with the corpus.
+never less. There are SHARDS tasks as long as a task's texts fit into a block, and more beyond that. With many shards the local support
+comes down to 1, where the first pass is the exact count itself and more phrases travel; raise `BLOCK` (a task's memory is
+about eight times that) or `support` with the corpus.
 
 Words are runs without blanks, in pieces that end at punctuation or line ends; A-Z are lower-cased. Phrases don't cross
 pieces. All is per language; null is `und`. Null texts are empty; a language without phrases has no rows; texts longer than
@@ -23,16 +24,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.llm.scratch import remove, written
 from shelfline.llm.text import ascii_lower
-from shelfline.llm.wordprints import flags, hashes, mixed, spans
+from shelfline.llm.wordprints import BYTES, flags, hashes, mixed, slices, spans
 
 LONGEST, SUPPORT, TOP = 5, 100, 2000
-#: Bytes of text in a shard; scans that make smaller ones are put together to SHARDS tasks.
-BLOCK, SHARDS = 24 << 20, 32
+#: Bytes of text in a shard of one language at most, and how many tasks there are where none would outgrow that. Few shards
+#: have a high local support, so there are SHARDS at any size that they can hold.
+BLOCK, SHARDS = 64 << 20, 24
+#: Parts that a shard's phrases of one length are sorted in.
+PARTS = 8
 #: Bits of the filter and places of a phrase in it.
 FILTER_BITS, PLACES = 1 << 26, 3
 # What ends a piece, and what parts words.
@@ -40,30 +45,46 @@ ENDS, BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
 
 
 class Block:
-    """The words of a shard as they follow each other, and the text that holds them one blank apart."""
-
-    def __init__(self, texts: list[bytes]):
-        data = np.frombuffer(b"\n".join(texts), np.uint8)
-        starts, ends, _ = spans(data, np.zeros(1, np.int64), flags(ENDS + BLANKS))
-        pieces = np.concatenate([[0], np.cumsum(flags(ENDS)[data], dtype=np.int32)])[starts]
+    """The words of a shard as they follow each other, and the text that holds them one blank apart. It is filled slice by slice."""
+
+    def __init__(self):
+        self.size, self.words = 0, 0
+        self._hash, self._lengths, self._left, self._text = [], [], [], []
+
+    def add(self, data: np.ndarray, edges: np.ndarray) -> None:
+        """Texts whose bytes lie between their edges."""
+        starts, ends, of = spans(data, edges, flags(ENDS + BLANKS))
+        self.size += len(data)
+        self.words += len(starts)
+        if not len(starts):
+            return
+        # A piece goes on as long as no end of one and no other text comes between.
+        breaks = np.concatenate([[0], np.cumsum(flags(ENDS)[data], dtype=np.int32)])[starts] + of
+        last = np.searchsorted(breaks, breaks, "right")
+        self._left.append(np.minimum(last - np.arange(len(breaks)), 127).astype(np.int8))
+        self._hash.append(hashes(data, starts, ends, 5))
         lengths = ends - starts
-        self.hash = hashes(data, starts, ends, 5)
-        self.end = np.cumsum(lengths + 1) - 1
-        self.start = self.end - lengths
-        # Bytes of words and the blank behind each.
-        held = ~flags(ENDS + BLANKS)[data]
-        text = np.full(int(self.end[-1]) + 1 if len(starts) else 0, 0x20, np.uint8)
+        self._lengths.append(lengths.astype(np.int32))
+        after = np.cumsum(lengths + 1) - 1
+        text = np.full(int(after[-1]) + 1, 0x20, np.uint8)
         inside = np.ones(len(text), bool)
-        inside[self.end] = False
-        text[inside] = data[held]
-        self.text = text
-        # How many words follow in the piece.
-        last = np.searchsorted(pieces, pieces, "right")
-        self.left = np.minimum(last - np.arange(len(pieces)), 127).astype(np.int8)
+        inside[after] = False
+        text[inside] = data[~flags(ENDS + BLANKS)[data]]
+        self._text.append(text)
+
+    def full(self) -> Block:
+        """Itself, ready to be mined."""
+        if self.words:
+            self.hash, self.left, self.text = (np.concatenate(x) for x in (self._hash, self._left, self._text))
+            lengths = np.concatenate(self._lengths)
+            self.end = np.cumsum(lengths + 1, dtype=np.int64 if len(self.text) >> 31 else np.int32) - 1
+            self.start = self.end - lengths
+        self._hash = self._lengths = self._left = self._text = []
+        return self
 
     def phrases(self, at: np.ndarray, size: int) -> pa.Array:
         """The texts of the phrases of `size` words at the given words."""
-        low, high = self.start[at], self.end[at + size - 1]
+        low, high = self.start[at].astype(np.int64), self.end[at + size - 1]
         lengths = high - low
         offsets = np.concatenate([[0], np.cumsum(lengths)])
         place = np.repeat(low - offsets[:-1], lengths) + np.arange(offsets[-1])
@@ -72,43 +93,51 @@ class Block:
     def levels(self, passes, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """(words, hash, first place, occurrences) of the phrases that `passes(hash, occurrences)` lets through.
 
-        A phrase is looked at where both phrases of one word less passed that make it up.
+        A phrase is looked at where both phrases of one word less passed that make it up. Places are sorted by hash in
+        PARTS parts, one after the other, to hold less at a time.
         """
-        at, key, good = np.arange(len(self.hash)), self.hash, None
+        if not self.words:
+            return
+        good, key = np.ones(self.words + 1, bool), self.hash.copy()
+        good[-1] = False
         for size in range(1, longest + 1):
             if size > 1:
-                good = np.zeros(len(self.hash), bool)
-                good[at] = True
-                at = at[(self.left[at] >= size) & np.append(good, False)[at + 1]]
-                key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + self.hash[np.minimum(np.arange(len(key)) + size - 1, len(key) - 1)])
-            if not len(at):
-                return
-            order = np.argsort(key[at], kind="stable")
-            sorted_ = key[at][order]
-            first = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))
-            times = np.diff(np.append(first, len(at)))
-            ok = passes(sorted_[first], times)
-            if not ok.any():
+                good[:-1] &= good[1:] & (self.left >= size)
+                for low in range(0, self.words - size + 1, BYTES):
+                    own = slice(low, min(low + BYTES, self.words - size + 1))
+                    key[own] = mixed(key[own] * np.uint64(0x9E3779B97F4A7C15) + self.hash[own.start + size - 1 : own.stop + size - 1])
+            at = np.flatnonzero(good[:-1]).astype(np.int32)
+            good[:] = False
+            part = (key[at] >> np.uint64(60)).astype(np.uint8) % PARTS
+            for p in range(PARTS):
+                own = at[part == p]
+                if not len(own):
+                    continue
+                keys = key[own]
+                order = np.argsort(keys, kind="stable")
+                keys, own = keys[order], own[order]
+                first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+                times = np.diff(np.append(first, len(own)))
+                ok = passes(keys[first], times)
+                good[own[np.repeat(ok, times)]] = True
+                if ok.any():
+                    yield size, keys[first[ok]], own[first[ok]].astype(np.int64), times[ok]
+            if not good.any():
                 return
-            yield size, sorted_[first][ok], at[order[first[ok]]], times[ok]
-            # Places in rising order again, so that what is read next to each other lies next to each other.
-            at = np.sort(at[order[np.repeat(ok, times)]])
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[tuple[str, list[bytes], int]]:
-    """(lang, texts, bytes): a task's texts by language, in blocks."""
-    held: dict[str, list[bytes]] = {}
-    sizes: dict[str, int] = {}
+def _blocks(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[tuple[str, Block]]:
+    """A task's texts by language, in blocks of about `block` bytes."""
+    held: dict[str, Block] = {}
     for batch in batches:
-        for lang, text in zip(batch["lang"].to_pylist(), batch["text"].cast(pa.binary()), strict=True):
-            data = text.as_py()
-            if held.get(lang) and sizes[lang] + len(data) > block:
-                yield lang, held.pop(lang), sizes.pop(lang)
-            held.setdefault(lang, []).append(data)
-            sizes[lang] = sizes.get(lang, 0) + len(data)
+        for lang in pc.unique(batch["lang"]).to_pylist():
+            for _, _, data, edges in slices(batch.filter(pc.equal(batch["lang"], lang))):
+                if lang in held and held[lang].size and held[lang].size + len(data) > block:
+                    yield lang, held.pop(lang).full()
+                held.setdefault(lang, Block()).add(data, edges)
     while held:
-        lang, texts = held.popitem()
-        yield lang, texts, sizes[lang]
+        lang, found = held.popitem()
+        yield lang, found.full()
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -132,11 +161,10 @@ def _mined(rows: DataFrame, totals: dict[str, int], support: int, longest: int,
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, texts, size in _blocks(batches, block):
-            least = max(1, -(-support * size // totals[lang])) if totals[lang] else 1
-            found = Block(texts)
+        for lang, found in _blocks(batches, block):
+            least = max(1, -(-support * found.size // totals[lang])) if totals[lang] else 1
             yield pa.RecordBatch.from_pydict(
-                {"lang": pa.array([lang]), "phrase": pa.array([None], pa.string()), "times": pa.array([len(found.hash)], pa.int64()), "key": pa.array([0], pa.int64()), "below": pa.array([least - 1], pa.int64())}
+                {"lang": pa.array([lang]), "phrase": pa.array([None], pa.string()), "times": pa.array([found.words], pa.int64()), "key": pa.array([0], pa.int64()), "below": pa.array([least - 1], pa.int64())}
             )
             yield from _report(found, lang, lambda key, times, least=least: times >= least, longest, True, [least - 1])
 
@@ -176,8 +204,8 @@ def _counted(rows: DataFrame, filter_, size: int, longest: int, block: int) -> D
                 ok &= (held[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
             return ok
 
-        for lang, texts, _ in _blocks(batches, block):
-            yield from _report(Block(texts), lang, passes, longest, False, [])
+        for lang, found in _blocks(batches, block):
+            yield from _report(found, lang, passes, longest, False, [])
 
     return rows.mapInArrow(run, "lang string, phrase string, times bigint")
 
@@ -187,8 +215,9 @@ def frequent(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, bl
     spark, rows = docs.sparkSession, _rows(docs)
     # One row a language.
     of_lang = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n")).collect()}
-    if 0 < sum(of_lang.values()) <= SHARDS * block and rows.rdd.getNumPartitions() > SHARDS:
-        rows = rows.coalesce(SHARDS)
+    tasks = max(SHARDS, -(-sum(of_lang.values()) // block))
+    if rows.rdd.getNumPartitions() > tasks:
+        rows = rows.coalesce(tasks)
     found = written(_mined(rows, of_lang, support, longest, block))
     shards = found.filter("phrase is null").groupBy("lang").agg(F.sum("below").alias("all_below"), F.sum("times").alias("n"))
     shards = written(shards)
