@@ -1,10 +1,5 @@
-from shelfline.functions.measures import (
-    exact_ratio,
-    money_decimal,
-    money_double,
-    money_scale,
-    units,
-)
+from shelfline.functions.measures import exact_ratio
+from shelfline.functions.money import LIMBS, Money, money, together
 from shelfline.functions.labels import (
     day_of_week_num,
     julian_day,
@@ -15,15 +10,15 @@ from shelfline.functions.labels import (
 )
 
 __all__ = [
+    "LIMBS",
+    "Money",
     "day_of_week_num",
     "exact_ratio",
     "julian_day",
-    "money_decimal",
-    "money_double",
-    "money_scale",
+    "money",
     "month_label",
     "quarter_label",
     "ship_method",
-    "units",
+    "together",
     "week_start",
 ]

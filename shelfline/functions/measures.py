@@ -1,58 +1,13 @@
-"""Exact, order-independent arithmetic on money and counts.
-
-Money is summed as whole minor units (cents for a ``decimal(p,2)``) in a 64-bit
-integer. That is exact like a decimal sum, but its aggregation buffer is one
-machine word instead of a 128-bit decimal, so partial aggregation runs about as
-fast as a plain ``sum(bigint)`` and shuffles half the bytes. Under ANSI mode a
-total that does not fit raises instead of wrapping.
-"""
+"""Exact ratios of counts."""
 
 from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Scale used for money held as double, where the type does not carry one.
-DOUBLE_MONEY_SCALE = 4
-
-
-def money_scale(df: DataFrame, *names: str) -> int:
-    """Decimal places needed to hold every value of the named money columns."""
-    scales = []
-    for name in names:
-        kind = df.schema[name].dataType
-        if isinstance(kind, T.DecimalType):
-            scales.append(kind.scale)
-        elif isinstance(kind, T.IntegralType):
-            scales.append(0)
-        else:
-            scales.append(DOUBLE_MONEY_SCALE)
-    return max(scales)
-
-
-def units(df: DataFrame, name: str, scale: int) -> Column:
-    """The money column as whole units of ``10**-scale``."""
-    scaled = F.col(name) * F.lit(10**scale)
-    if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
-        # Within an ulp of a whole number, so ties do not arise; rint is one instruction.
-        scaled = F.rint(scaled)
-    return scaled.cast("bigint")
-
-
-def money_decimal(total_units: Column, scale: int) -> Column:
-    """A total of units back as an exact decimal amount."""
-    whole = total_units.cast(T.DecimalType(20, 0))
-    return whole if scale == 0 else whole * F.lit(Decimal(1).scaleb(-scale))
-
-
-def money_double(total_units: Column, scale: int) -> Column:
-    """A total of units as the nearest double, for columns declared FLOAT."""
-    return total_units.cast("double") / F.lit(float(10**scale))
-
-
 # Up to here twice the numerator in millionths still fits in 64 bits.
 _FAST_RATIO_LIMIT = 4 * 10**12
 

@@ -1,7 +1,7 @@
 """Daily sales fact and weekly sales-and-inventory mart.
 
-``date_dim`` must have one row per ``d_date_sk`` and one Sunday per
-(``wk_num``, ``yr_num``); ``check_calendar`` verifies both.
+``date_dim`` must have one row per ``d_date_sk``; ``check_calendar`` verifies it. A (``wk_num``, ``yr_num``) may have no Sunday,
+then its sales are left out of the mart, or several, then the first one is its key and its rows count once for each.
 """
 
 from __future__ import annotations
@@ -11,8 +11,7 @@ from typing import Literal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.functions import exact_ratio, money_double, money_scale, units
-from shelfline.functions.measures import DOUBLE_MONEY_SCALE
+from shelfline.functions import LIMBS, Money, exact_ratio, money, together
 from shelfline.operators.quality import require_unique
 from shelfline.operators.refresh import as_mark, mark_of, rows_from, rows_kept
 from shelfline.sources.schemas import DAILY_SALES, WEEKLY_SALES_INVENTORY, conform
@@ -28,23 +27,19 @@ Fanout = Literal["reference", "safe"]
 
 
 def check_calendar(date_dim: DataFrame) -> DataFrame:
-    """Return ``date_dim``, or raise when a date or a week's Sunday repeats."""
-    require_unique(date_dim, ["d_date_sk"], "date_dim")
-    require_unique(_sundays(date_dim), WEEK, "Sundays in date_dim")
-    return date_dim
+    """Return ``date_dim``, or raise when a date repeats."""
+    return require_unique(date_dim, ["d_date_sk"], "date_dim")
 
 
-def channel_lines(sales: DataFrame, prefix: str, scale: int) -> DataFrame:
-    """Sale lines of one channel (``cs`` or ``ws``) under common names, money in units."""
+def channel_lines(sales: DataFrame, prefix: str, way: Money) -> DataFrame:
+    """Sale lines of one channel (``cs`` or ``ws``) under common names, money as it is summed."""
     return sales.select(
         F.col(f"{prefix}_warehouse_sk").alias("warehouse_sk"),
         F.col(f"{prefix}_item_sk").alias("item_sk"),
         F.col(f"{prefix}_sold_date_sk").alias("sold_date_sk"),
         F.col(f"{prefix}_quantity").alias("quantity"),
-        (units(sales, f"{prefix}_sales_price", scale) * F.col(f"{prefix}_quantity")).alias(
-            "sales_units"
-        ),
-        units(sales, f"{prefix}_net_profit", scale).alias("profit_units"),
+        (way.amount(sales, f"{prefix}_sales_price") * F.col(f"{prefix}_quantity")).alias("sales"),
+        way.amount(sales, f"{prefix}_net_profit").alias("profit"),
     )
 
 
@@ -63,23 +58,31 @@ def daily_sales(
     """
     if mark is None:
         mark = 0 if target is None else mark_of(target, DAILY_KEY)
-    scale = max(
-        money_scale(catalog_sales, "cs_sales_price", "cs_net_profit"),
-        money_scale(web_sales, "ws_sales_price", "ws_net_profit"),
+    way = together(
+        money(catalog_sales, "cs_sales_price", "cs_net_profit"),
+        money(web_sales, "ws_sales_price", "ws_net_profit"),
     )
     # One filter above the union: Catalyst copies it into both scans.
-    lines = channel_lines(catalog_sales, "cs", scale).unionByName(
-        channel_lines(web_sales, "ws", scale)
+    lines = channel_lines(catalog_sales, "cs", way).unionByName(
+        channel_lines(web_sales, "ws", way)
     )
     lines = rows_from(lines, DAILY_KEY, mark).filter(
-        F.col("quantity").isNotNull() & F.col("sales_units").isNotNull()
+        F.col("quantity").isNotNull() & F.col("sales").isNotNull()
     )
 
     # Sum first, look the day up afterwards: the lookup then runs once per group.
     per_day = lines.groupBy("warehouse_sk", "item_sk", "sold_date_sk").agg(
         F.sum("quantity").alias("daily_qty"),
-        money_double(F.sum("sales_units"), scale).alias("daily_sales_amt"),
-        money_double(F.sum("profit_units"), scale).alias("daily_net_profit"),
+        *way.sums("sales", F.col("sales")),
+        *way.sums("profit", F.col("profit")),
+    )
+    per_day = per_day.select(
+        "warehouse_sk",
+        "item_sk",
+        "sold_date_sk",
+        "daily_qty",
+        way.double("sales").alias("daily_sales_amt"),
+        way.double("profit").alias("daily_net_profit"),
     )
     calendar = date_dim.select(
         "d_date_sk",
@@ -94,10 +97,11 @@ def daily_sales(
 
 
 def _sundays(date_dim: DataFrame) -> DataFrame:
-    return date_dim.filter("day_of_wk_num = 0").select(
-        F.col("wk_num").alias("sold_wk_num"),
-        F.col("yr_num").alias("sold_yr_num"),
-        F.col("d_date_sk").alias("sunday_sk"),
+    """(week, year, first Sunday, how many Sundays): a calendar year's last days may share the number of its first week."""
+    return (
+        date_dim.filter("day_of_wk_num = 0")
+        .groupBy(F.col("wk_num").alias("sold_wk_num"), F.col("yr_num").alias("sold_yr_num"))
+        .agg(F.min("d_date_sk").alias("sunday_sk"), F.count("*").alias("sundays"))
     )
 
 
@@ -117,13 +121,12 @@ def first_day_to_read(date_dim: DataFrame, mark: Column | int) -> DataFrame:
 
 def _sales_by_week(daily: DataFrame) -> DataFrame:
     """Daily rows as addends of the mart."""
-    scale = DOUBLE_MONEY_SCALE
     return daily.select(
         *MART_KEY,
         F.col("sold_date_sk").alias("first_sold_sk"),
         F.col("daily_qty").alias("qty"),
-        units(daily, "daily_sales_amt", scale).alias("amt_units"),
-        units(daily, "daily_net_profit", scale).alias("profit_units"),
+        *LIMBS.parts(LIMBS.amount(daily, "daily_sales_amt"), "amt"),
+        *LIMBS.parts(LIMBS.amount(daily, "daily_net_profit"), "profit"),
         F.lit(None).cast("bigint").alias("stock"),
     )
 
@@ -142,7 +145,9 @@ def _stock_by_week(inventory: DataFrame, date_dim: DataFrame) -> DataFrame:
         .dropna(subset=MART_KEY)
         .select(
             *MART_KEY,
-            *[nothing.alias(c) for c in ("first_sold_sk", "qty", "amt_units", "profit_units")],
+            *[nothing.alias(c) for c in ("first_sold_sk", "qty")],
+            *LIMBS.nothing("amt"),
+            *LIMBS.nothing("profit"),
             F.coalesce("inv_quantity_on_hand", F.lit(0)).alias("stock"),
         )
     )
@@ -199,25 +204,33 @@ def weekly_sales_inventory(
         .groupBy(*MART_KEY)
         .agg(
             F.min("first_sold_sk").alias("first_sold_sk"),
-            *[F.sum(c).alias(c) for c in ("qty", "amt_units", "profit_units", "stock")],
+            *[F.sum(c).alias(c) for c in ("qty", "stock")],
+            *LIMBS.sums("amt"),
+            *LIMBS.sums("profit"),
             F.count("stock").alias("stock_rows"),
         )
         .filter(F.col("first_sold_sk") >= as_mark(mark))
     )
     joined = per_week.join(_sundays(date_dim), WEEK)
 
-    copies = F.lit(1) if fanout == "safe" else F.greatest(F.col("stock_rows"), F.lit(1))
-    scale = DOUBLE_MONEY_SCALE
+    # A row joined to several Sundays, or to several stock rows, counts that often.
+    copies, sundays = F.lit(1), F.lit(1)
+    if fanout == "reference":
+        copies = F.greatest(F.col("stock_rows"), F.lit(1)) * F.col("sundays")
+        sundays = F.col("sundays")
     measured = joined.select(
         "warehouse_sk",
         "item_sk",
         F.col("sunday_sk").alias(WEEKLY_KEY),
         *WEEK,
         (F.col("qty") * copies).alias("sum_qty_wk"),
-        money_double(F.col("amt_units") * copies, scale).alias("sum_amt_wk"),
-        money_double(F.col("profit_units") * copies, scale).alias("sum_profit_wk"),
-        F.coalesce("stock", F.lit(0)).alias("inv_qty_wk"),
+        *LIMBS.scaled("amt", copies),
+        *LIMBS.scaled("profit", copies),
+        (F.coalesce("stock", F.lit(0)) * sundays).alias("inv_qty_wk"),
     ).filter("sum_qty_wk > 0")
+    measured = measured.withColumns(
+        {"sum_amt_wk": LIMBS.double("amt"), "sum_profit_wk": LIMBS.double("profit")}
+    )
     sold, stocked = F.col("sum_qty_wk"), F.col("inv_qty_wk")
     fresh = conform(
         measured.withColumns(

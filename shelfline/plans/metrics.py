@@ -8,13 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions import (
+    Money,
     exact_ratio,
-    money_decimal,
-    money_scale,
+    money,
     month_label,
     quarter_label,
     ship_method,
-    units,
 )
 from shelfline.sources.schemas import SHIPPING_TIME, conform
 
@@ -38,26 +37,23 @@ def _with_week(df: DataFrame, date_key: str, date_dim: DataFrame) -> DataFrame:
 def weekly_metric(sales: DataFrame, date_dim: DataFrame, metric: Metric) -> DataFrame:
     """One measure per (item, week number) of one channel. Years are not told apart."""
     prefix = channel_of(sales)
-    price, profit = f"{prefix}_sales_price", f"{prefix}_net_profit"
     quantity = F.col(f"{prefix}_quantity")
+    per_week = _with_week(sales, f"{prefix}_sold_date_sk", date_dim).groupBy(
+        F.col(f"{prefix}_item_sk").alias("item_sk"), "week_num"
+    )
     if metric == "qty":
-        name, measure = "sum_qty_wk", F.sum(quantity)
-    elif metric == "amt":
-        scale = money_scale(sales, price)
-        total = F.sum(units(sales, price, scale) * quantity)
-        name, measure = "sum_amt_wk", money_decimal(total, scale)
+        return per_week.agg(F.sum(quantity).alias("sum_qty_wk"))
+    if metric == "avg_qty_dy":
+        return per_week.agg(exact_ratio(F.sum(quantity), 7).alias("avg_qty_dy"))
+    if metric == "amt":
+        name, source, times = "sum_amt_wk", f"{prefix}_sales_price", quantity
     elif metric == "profit":
-        scale = money_scale(sales, profit)
-        name, measure = "sum_profit_wk", money_decimal(F.sum(units(sales, profit, scale)), scale)
-    elif metric == "avg_qty_dy":
-        name, measure = "avg_qty_dy", exact_ratio(F.sum(quantity), 7)
+        name, source, times = "sum_profit_wk", f"{prefix}_net_profit", F.lit(1)
     else:
         raise ValueError(f"unknown metric {metric!r}")
-    return (
-        _with_week(sales, f"{prefix}_sold_date_sk", date_dim)
-        .groupBy(F.col(f"{prefix}_item_sk").alias("item_sk"), "week_num")
-        .agg(measure.alias(name))
-    )
+    way = money(sales, source)
+    summed = per_week.agg(*way.sums("total", way.amount(sales, source) * times))
+    return summed.select("item_sk", "week_num", way.decimal("total").alias(name))
 
 
 def weekly_inventory(inventory: DataFrame, date_dim: DataFrame) -> DataFrame:
@@ -139,7 +135,7 @@ def customer_lifetime_value(customer: DataFrame, web_sales: DataFrame) -> DataFr
     customer holding much of the sales costs no more to shuffle than any other.
     """
     paid, cost = "ws_net_paid", "ws_wholesale_cost"
-    scale = money_scale(web_sales, paid, cost)
+    way = money(web_sales, paid, cost)
     per_customer = (
         web_sales.filter(
             F.col("ws_bill_customer_sk").isNotNull()
@@ -148,21 +144,19 @@ def customer_lifetime_value(customer: DataFrame, web_sales: DataFrame) -> DataFr
         )
         .groupBy(F.col("ws_bill_customer_sk").alias("customer_id"))
         .agg(
-            (F.sum(units(web_sales, paid, scale)) - F.sum(units(web_sales, cost, scale))).alias(
-                "value_units"
-            )
+            *way.sums("paid", way.amount(web_sales, paid)),
+            *way.sums("cost", way.amount(web_sales, cost)),
         )
+        .select("customer_id", *way.minus("paid", "cost"))
     )
     # A key listed twice would match its lines twice.
     known = customer.groupBy(F.col("c_customer_sk").alias("customer_id")).agg(
         F.count("*").alias("times")
     )
-    return per_customer.join(known, "customer_id").select(
-        "customer_id",
-        money_decimal(F.col("value_units") * F.col("times"), scale).alias(
-            "customer_lifetime_value"
-        ),
+    value = per_customer.join(known, "customer_id").select(
+        "customer_id", *way.scaled("paid", F.col("times"))
     )
+    return value.select("customer_id", way.decimal("paid").alias("customer_lifetime_value"))
 
 
 def marketing_attribution(promotion: DataFrame, web_sales: DataFrame) -> DataFrame:
@@ -189,20 +183,20 @@ def _month() -> Column:
     return F.month("cal_dt").cast("bigint").alias("month")
 
 
-def _units_per_day(web_sales: DataFrame, money: str, scale: int) -> DataFrame:
+def _per_day(web_sales: DataFrame, column: str, way: Money) -> DataFrame:
     return web_sales.groupBy("ws_sold_date_sk").agg(
-        F.sum(units(web_sales, money, scale)).alias("day_units")
+        *way.sums("day", way.amount(web_sales, column))
     )
 
 
 def seasonal_sales(web_sales: DataFrame, date_dim: DataFrame) -> DataFrame:
     """Net paid per calendar year and month."""
-    scale = money_scale(web_sales, "ws_net_paid")
-    per_day = _units_per_day(web_sales, "ws_net_paid", scale)
+    way = money(web_sales, "ws_net_paid")
     return (
-        _on_sold_day(per_day, date_dim)
+        _on_sold_day(_per_day(web_sales, "ws_net_paid", way), date_dim)
         .groupBy(_year(), _month())
-        .agg(money_decimal(F.sum("day_units"), scale).alias("total_sales"))
+        .agg(*way.sums("day"))
+        .select("year", "month", way.decimal("day").alias("total_sales"))
         .orderBy("year", "month")
     )
 
@@ -213,10 +207,9 @@ def prices_by_day(web_sales: DataFrame) -> DataFrame:
     A stand-in for the sales table in ``sales_by_period``, which reads the same
     two columns; store it once when several periods are wanted.
     """
-    scale = money_scale(web_sales, "ws_sales_price")
-    total = money_decimal(F.col("day_units"), scale)
-    return _units_per_day(web_sales, "ws_sales_price", scale).select(
-        "ws_sold_date_sk", total.alias("ws_sales_price")
+    way = money(web_sales, "ws_sales_price")
+    return _per_day(web_sales, "ws_sales_price", way).select(
+        "ws_sold_date_sk", way.decimal("day").alias("ws_sales_price")
     )
 
 
@@ -225,12 +218,12 @@ def sales_by_period(web_sales: DataFrame, date_dim: DataFrame, period: Period) -
     if period not in ("month", "quarter"):
         raise ValueError(f"unknown period {period!r}")
     label = month_label if period == "month" else quarter_label
-    scale = money_scale(web_sales, "ws_sales_price")
-    per_day = _units_per_day(web_sales, "ws_sales_price", scale)
+    way = money(web_sales, "ws_sales_price")
     return (
-        _on_sold_day(per_day, date_dim)
+        _on_sold_day(_per_day(web_sales, "ws_sales_price", way), date_dim)
         .groupBy(label(F.col("cal_dt")).alias(period))
-        .agg(money_decimal(F.sum("day_units"), scale).alias("total_sales"))
+        .agg(*way.sums("day"))
+        .select(period, way.decimal("day").alias("total_sales"))
         .orderBy(period)
     )
 

@@ -36,8 +36,8 @@ WAREHOUSE_OF_SUPPLIER = "case when l_suppkey % 17 = 0 then null else l_suppkey %
 
 
 def _money(expression: str) -> str:
-    """Whole amounts: ``floor`` gives the same value in every engine."""
-    return f"cast(floor({expression}) as decimal(12,2))"
+    """Amounts in quarters: ``floor`` gives the same value in every engine, and sums of doubles stay exact."""
+    return f"cast(floor(4 * ({expression})) * 0.25D as decimal(12,2))"
 
 
 def _julian(day: str) -> str:
@@ -63,7 +63,8 @@ class SampleRetail:
     def date_dim(self) -> DataFrame:
         """Every day from the week of the first order to the week of the last shipment.
 
-        Week and year are those of the week's Sunday, so a week has one Sunday.
+        Weeks are numbered from their Mondays, years are calendar years: the days around New Year make
+        some (week, year) with two Sundays and some without any.
         """
         ordered = self.table("orders").selectExpr("cast(o_orderdate as date) as d")
         shipped = self.table("lineitem").selectExpr("cast(l_shipdate as date) as d")
@@ -74,8 +75,8 @@ class SampleRetail:
             f"{_julian('cal_dt')} as d_date_sk",
             "cal_dt",
             "cast(dayofweek(cal_dt) - 1 as bigint) as day_of_wk_num",
-            f"cast(year({_sunday('cal_dt')}) as bigint) as yr_num",
-            f"cast((dayofyear({_sunday('cal_dt')}) - 1) div 7 + 1 as bigint) as wk_num",
+            "cast(year(cal_dt) as bigint) as yr_num",
+            "cast(weekofyear(cal_dt) as bigint) as wk_num",
         )
 
     @cached_property
@@ -166,7 +167,8 @@ class SampleRetail:
             "sunday + day as inv_date_sk",
             "item as inv_item_sk",
             """case when (shipped + item) % 11 != 0
-               then (shipped * 7 + item * 13 + warehouse * 29 + day * 17) % 60 end
+               then (shipped * 7 + item * 13 + warehouse * 29 + day * 17)
+                         % case when item % 4 = 0 then 3 else 60 end end
                as inv_quantity_on_hand""",
             "warehouse as inv_warehouse_sk",
         )
@@ -242,14 +244,13 @@ class SampleRetail:
 
     @cached_property
     def customer_snapshot(self) -> DataFrame:
-        """History before a merge: one segment is still unknown, some customers have moved,
-        some have a closed version, nulls and zeros have changed places."""
+        """History before a merge: one segment is known by keys that have left the source, some customers
+        have moved, some have a closed version, nulls and zeros have changed places."""
         versions = (
             self.customer.join(
                 self.table("customer").select("c_custkey", "c_nationkey", "c_mktsegment"),
                 F.expr("c_customer_sk = c_custkey"),
             )
-            .filter("c_mktsegment != 'MACHINERY'")
             .withColumn(
                 "version",
                 F.explode(F.expr("case when c_nationkey < 5 then array(0, 1) else array(1) end")),
@@ -262,6 +263,7 @@ class SampleRetail:
             "c_current_cdemo_sk": "nullif(c_current_cdemo_sk, 0)",
             "c_current_addr_sk": """case when version = 1 and c_customer_sk % 7 = 0
                                     then c_current_addr_sk + 1 else c_current_addr_sk end""",
+            "c_customer_sk": "case when c_mktsegment = 'MACHINERY' then -c_customer_sk else c_customer_sk end",
         }
         columns = [F.expr(replaced.get(c, c)).alias(c) for c in self.customer.columns]
         return versions.select(
@@ -277,12 +279,11 @@ class SampleRetail:
 
     @cached_property
     def customer_address(self) -> DataFrame:
-        """Addresses of customers in credit; the others have none on file."""
+        """An address for each customer; those of customers in debt have keys that nothing refers to."""
         return (
             self.table("customer")
-            .filter("c_acctbal >= 0")
             .selectExpr(
-                "c_custkey as ca_address_sk",
+                "case when c_acctbal >= 0 then c_custkey else -c_custkey end as ca_address_sk",
                 "concat('Street', cast(c_custkey % 90 as string)) as ca_street_name",
                 "concat('Suite', cast(c_custkey % 40 as string)) as ca_suite_number",
                 "concat('State', cast(c_nationkey as string)) as ca_state",
