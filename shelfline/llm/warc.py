@@ -21,11 +21,12 @@ import hashlib
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.llm.scratch import remove, shared_folder, shuffles_freed, written
+from shelfline.llm.wordprints import slices
 
 # Fixed values of the formats: record mark, line ends, base-32 digits.
 MARK, LINE, RECORD_END = "WARC/1.1\r\n", "\r\n", "\r\n\r\n"
@@ -79,32 +80,37 @@ def _record(headers: dict[str, object], block: bytes) -> bytes:
     return (MARK + "".join(lines) + f"Content-Length: {len(block)}{LINE}{LINE}").encode() + block
 
 
+def _written(name: str, refers_to: str | None, url: str | None, sha: str, payload: bytes, segment: int) -> list[bytes]:
+    """The record of a page, in segments if its block is longer."""
+    kind = "response" if refers_to is None else "revisit"
+    block = HTTP + (framed(payload) if kind == "response" else b"")
+    parts = [block[at : at + segment] for at in range(0, len(block), segment)]
+    first = {"WARC-Type": kind, "WARC-Record-ID": f"<{name}>", "WARC-Date": DATE, "WARC-Target-URI": url,
+             "WARC-Payload-Digest": f"sha1:{sha}", "Content-Type": "application/http; msgtype=response"}
+    if refers_to is not None:
+        first["WARC-Refers-To"] = f"<{refers_to}>"
+    if len(parts) > 1:
+        first["WARC-Segment-Number"] = 1
+    made = [_record(first, parts[0])]
+    for k, part in enumerate(parts[1:], 2):
+        more = {"WARC-Type": "continuation", "WARC-Record-ID": f"<{name}:{k}>", "WARC-Date": DATE,
+                "WARC-Segment-Origin-ID": f"<{name}>", "WARC-Segment-Number": k}
+        if k == len(parts):
+            more["WARC-Segment-Total-Length"] = len(block)
+        made.append(_record(more, part))
+    return made
+
+
 def _records(segment: int):
-    @F.pandas_udf("array<binary>")
-    def records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for name, refers_to, url, sha, payload in batch.itertuples(index=False):
-                kind = "response" if refers_to is None else "revisit"
-                block = HTTP + (framed(payload) if kind == "response" else b"")
-                parts = [block[at : at + segment] for at in range(0, len(block), segment)]
-                first = {"WARC-Type": kind, "WARC-Record-ID": f"<{name}>", "WARC-Date": DATE, "WARC-Target-URI": url,
-                         "WARC-Payload-Digest": f"sha1:{sha}", "Content-Type": "application/http; msgtype=response"}
-                if refers_to is not None:
-                    first["WARC-Refers-To"] = f"<{refers_to}>"
-                if len(parts) > 1:
-                    first["WARC-Segment-Number"] = 1
-                made = [_record(first, parts[0])]
-                for k, part in enumerate(parts[1:], 2):
-                    more = {"WARC-Type": "continuation", "WARC-Record-ID": f"<{name}:{k}>", "WARC-Date": DATE,
-                            "WARC-Segment-Origin-ID": f"<{name}>", "WARC-Segment-Number": k}
-                    if k == len(parts):
-                        more["WARC-Segment-Total-Length"] = len(block)
-                    made.append(_record(more, part))
-                out.append(made)
-            yield pd.Series(out)
-
-    return lambda *columns: records(F.struct(*columns))
+            for low, high, data, edges in slices(batch, "payload"):
+                names = [batch[c].slice(low, high - low).to_pylist() for c in ("name", "refers_to", "url", "sha")]
+                payloads = (data[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True))
+                made = [r for row in zip(*names, payloads, strict=True) for r in _written(*row, segment)]
+                yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["record"])
+
+    return run
 
 
 def write(pages: DataFrame, path: str, least: int = LEAST, segment: int = SEGMENT) -> None:
@@ -123,82 +129,105 @@ def write(pages: DataFrame, path: str, least: int = LEAST, segment: int = SEGMEN
     own = F.when(F.col("rows") > 1, F.concat(name("page_id"), F.lit(":row"), F.monotonically_increasing_id().cast("string"))).otherwise(name("page_id"))
     again = F.col("origin").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("origin"))
     url = F.regexp_replace("url", r"[\x00-\x20\x7f]", "%20")
-    made = _records(segment)(own.alias("name"), F.when(again, name("origin")).alias("refers_to"), url.alias("url"), F.col("sha"), F.col("payload"))
-    lines = full.select(F.explode(made).alias("record")).select(F.col("record").cast("string").alias("value"))
+    made = full.select(own.alias("name"), F.when(again, name("origin")).alias("refers_to"), url.alias("url"), "sha", "payload").mapInArrow(_records(segment), "record binary")
+    lines = made.select(F.col("record").cast("string").alias("value"))
     # A compressed file is read by one task, so none holds more than so many records.
     with shuffles_freed(pages.sparkSession):
         lines.write.option("lineSep", RECORD_END).option("compression", "gzip").option("maxRecordsPerFile", RECORDS).text(path)
     remove(thin)
 
 
-def _parsed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        out = []
-        for raw in batch:
-            head, _, rest = raw.partition(b"\r\n\r\n")
-            h = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in head.decode(errors="replace").split("\r\n"))}
-            n = int(h.get("content-length", "-1"))
-            number, total = h.get("warc-segment-number"), h.get("warc-segment-total-length")
-            out.append((h.get("warc-type"), h.get("warc-record-id", "").strip("<>"), h.get("warc-refers-to", "").strip("<>") or None,
-                        h.get("warc-segment-origin-id", "").strip("<>") or None, number and int(number), total and int(total),
-                        h.get("warc-payload-digest", "").removeprefix("sha1:") or None, h.get("warc-target-uri"),
-                        n >= 0 and len(rest) >= n and rest[n:].strip(b"\r\n") == b"", rest[: max(n, 0)]))
-        frame = pd.DataFrame(out, columns=["type", "id", "refers_to", "origin", "number", "total", "digest", "url", "whole", "block"])
-        yield frame.astype({"number": "Int32", "total": "Int64"})
-
-
-def _payload(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    """Of an HTTP message: its payload, with chunk framing taken off, and its digest; null where the framing is broken."""
-    for batch in batches:
-        out = []
-        for block in batch:
-            head, _, body = block.partition(b"\r\n\r\n")
-            if re.search(rb"(?im)^transfer-encoding:[ \t]*chunked", head):
-                body = unframed(body)
-            out.append((body, None if body is None else base64.b32encode(hashlib.sha1(body).digest()).decode()))
-        yield pd.DataFrame(out, columns=["payload", "sha"])
+HEAD = ["type", "id", "refers_to", "digest", "url"]
+PART = pa.schema([*[(c, pa.string()) for c in HEAD], ("origin", pa.string()), ("number", pa.int32()), ("total", pa.int64()), ("whole", pa.bool_()), ("block", pa.binary()), ("payload", pa.binary()), ("sha", pa.string())])
+PARTS = "type string, id string, refers_to string, digest string, url string, origin string, number int, total bigint, whole boolean, block binary, payload binary, sha string"
 
 
-def _glued(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for batch in batches:
-        yield pd.Series([b"".join(parts) for parts in batch], dtype=object)
+def _payload(block: bytes) -> tuple[bytes | None, str | None]:
+    """Of an HTTP message: its payload, with chunk framing taken off, and its digest; None where the framing is broken."""
+    head, _, body = block.partition(b"\r\n\r\n")
+    if re.search(rb"(?im)^transfer-encoding:[ \t]*chunked", head):
+        body = unframed(body)
+    return body, None if body is None else base64.b32encode(hashlib.sha1(body).digest()).decode()
 
 
-def records(spark: SparkSession, path: str) -> DataFrame:
-    """The records of the archives at `path`, segments put together: type, id, refers_to, digest, url, block, complete.
+def _part(raw: bytes, decode: bool) -> dict:
+    """A record's fields. With `decode`, one that is no segment has its payload in place of its block."""
+    head, _, rest = raw.partition(b"\r\n\r\n")
+    h = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in head.decode(errors="replace").split("\r\n"))}
+    n = int(h.get("content-length", "-1"))
+    number, total = h.get("warc-segment-number"), h.get("warc-segment-total-length")
+    block = rest[: max(n, 0)]
+    payload, sha = _payload(block) if decode and number is None else (None, None)
+    return {
+        "type": h.get("warc-type"), "id": h.get("warc-record-id", "").strip("<>"), "refers_to": h.get("warc-refers-to", "").strip("<>") or None,
+        "digest": h.get("warc-payload-digest", "").removeprefix("sha1:") or None, "url": h.get("warc-target-uri"),
+        "origin": h.get("warc-segment-origin-id", "").strip("<>") or None, "number": number and int(number), "total": total and int(total),
+        "whole": n >= 0 and len(rest) >= n and rest[n:].strip(b"\r\n") == b"",
+        "block": None if decode and number is None else block, "payload": payload, "sha": sha,
+    }
 
-    complete: every part has its declared length, segments are numbered 1 to n, and their lengths
-    add up to the declared total.
-    """
+
+def _parsed(decode: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, data, edges in slices(batch, "value"):
+                parts = [_part(data[a:b].tobytes(), decode) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+                yield pa.RecordBatch.from_pylist(parts, PART)
+
+    return run
+
+
+def _glued(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of ordered blocks as one block, its payload and the payload's digest."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            row = batch.slice(k, 1)
+            block = b"".join(row["blocks"][0].as_py())
+            payload, sha = _payload(block)
+            made = [pa.array([block], pa.binary()), pa.array([payload], pa.binary()), pa.array([sha], pa.string())]
+            yield pa.RecordBatch.from_arrays([*row.drop_columns(["blocks"]).columns, *made], [*[n for n in row.schema.names if n != "blocks"], "block", "payload", "sha"])
+
+
+def _read(spark: SparkSession, path: str, decode: bool) -> DataFrame:
     raw = spark.read.schema("value string").option("lineSep", MARK).text(path).filter(F.octet_length("value") > 0)
-    parts = raw.select(F.pandas_udf(_parsed, "type string, id string, refers_to string, origin string, number int, total long, digest string, url string, whole boolean, block binary")(F.col("value").cast("binary")).alias("r")).select("r.*")
-    same = ["type", "id", "refers_to", "digest", "url"]
-    single = parts.filter("number is null").select(*same, "block", F.col("whole").alias("complete"))
-    segments = F.transform(F.sort_array("parts"), lambda p: p["block"])
+    parts = raw.select(F.col("value").cast("binary").alias("value")).mapInArrow(_parsed(decode), PARTS)
+    out = [*HEAD, "block", "payload", "sha", "complete"]
+    single = parts.filter("number is null").withColumn("complete", F.col("whole")).select(*out)
     joined = (
         parts.filter("number is not null").groupBy(F.coalesce("origin", "id").alias("id"))
         .agg(
             F.collect_list(F.struct("number", "block")).alias("parts"),
-            *[F.max(F.when(F.col("number") == 1, F.col(c))).alias(c) for c in same if c != "id"],
+            *[F.max(F.when(F.col("number") == 1, F.col(c))).alias(c) for c in HEAD if c != "id"],
             F.max("total").alias("total"), F.bool_and("whole").alias("whole"),
             F.count("*").alias("n"), F.max("number").alias("last"), F.countDistinct("number").alias("numbers"),
         )
-        .withColumn("block", F.pandas_udf(_glued, "binary")(segments))
+        .withColumn("sound", F.col("whole") & (F.col("n") == F.col("last")) & (F.col("numbers") == F.col("last")))
+        .select(*HEAD, "sound", "total", F.transform(F.sort_array("parts"), lambda p: p["block"]).alias("blocks"))
     )
-    sound = F.col("whole") & (F.col("n") == F.col("last")) & (F.col("numbers") == F.col("last")) & (F.octet_length("block") == F.col("total"))
-    return single.unionByName(joined.select(*same, "block", F.coalesce(sound, F.lit(False)).alias("complete")))
+    glued = joined.mapInArrow(_glued, "type string, id string, refers_to string, digest string, url string, sound boolean, total bigint, block binary, payload binary, sha string")
+    sound = F.col("sound") & (F.octet_length("block") == F.col("total"))
+    return single.unionByName(glued.withColumn("complete", F.coalesce(sound, F.lit(False))).select(*out))
+
+
+def records(spark: SparkSession, path: str) -> DataFrame:
+    """The records of the archives at `path`, segments put together: type, id, refers_to, digest, url, block, complete.
+
+    complete: every part has its declared length, segments are numbered 1 to n, and their lengths
+    add up to the declared total.
+    """
+    return _read(spark, path, False).select(*HEAD, "block", "complete")
 
 
-def payloads(found: DataFrame) -> DataFrame:
+def payloads(spark: SparkSession, path: str) -> DataFrame:
     """records() with the payload in place of the block, its measured digest, and `complete` only if that is the declared one."""
-    out = found.withColumn("p", F.pandas_udf(_payload, "payload binary, sha string")("block"))
-    sound = F.col("complete") & ((F.col("type") == "revisit") | F.col("p.sha").eqNullSafe(F.col("digest")))
-    return out.select("type", "id", "refers_to", "digest", "url", F.col("p.payload").alias("payload"), F.col("p.sha").alias("sha"), sound.alias("complete"))
+    found = _read(spark, path, True)
+    sound = F.col("complete") & ((F.col("type") == "revisit") | F.col("sha").eqNullSafe(F.col("digest")))
+    return found.select(*HEAD, "payload", "sha", sound.alias("complete"))
 
 
 def pages_read(spark: SparkSession, path: str) -> DataFrame:
     """Per record of archives written here: page_id, payload_bytes, payload_digest, record_type, refers_to, complete."""
-    rows = payloads(records(spark, path))
+    rows = payloads(spark, path)
 
     def page(name: str) -> Column:
         text = F.regexp_extract(name, r"^urn:page:(-?[0-9]+):", 1)

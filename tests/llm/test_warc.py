@@ -10,7 +10,7 @@ def test_segments_marks_repeats_and_nulls_come_back(spark, tmp_path):
     path = str(tmp_path / "archive")
     warc.write(df, path, segment=500)
 
-    read = warc.payloads(warc.records(spark, path)).collect()
+    read = warc.payloads(spark, path).collect()
     assert all(r["complete"] for r in read)
     texts = sorted(bytes(r["payload"]).decode() for r in read if r["type"] == "response")
     assert texts == sorted([long, "", "x", "x", "y"])
@@ -58,5 +58,5 @@ def test_a_long_payload(spark, tmp_path):
     html = "".join(f"<p>{i}</p>" for i in range(300_000))
     path = str(tmp_path / "archive")
     warc.write(spark.createDataFrame([(1, "u", html, "", 0)], SCHEMA), path, segment=100_000)
-    read = warc.payloads(warc.records(spark, path)).collect()
+    read = warc.payloads(spark, path).collect()
     assert [bytes(r["payload"]).decode() == html and r["complete"] for r in read] == [True]
