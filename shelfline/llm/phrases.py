@@ -8,9 +8,9 @@ that, so the reports bound a phrase's occurrences from above, and their union is
 phrases may be candidates, all occurrences of what passes are counted, and phrases below `support` go.
 
 The filter is what driver and tasks share, `FILTER_BITS` long at every size; more candidates than fit well make it pass more,
-never less. There are SHARDS tasks as long as a task's texts fit into a block, and more beyond that. With many shards the local support
-comes down to 1, where the first pass is the exact count itself and more phrases travel; raise `BLOCK` (a task's memory is
-about eight times that) or `support` with the corpus.
+never less. A language is cut into about SHARDS shards at every size, so that the local support is the same, and into more where a shard
+would outgrow BLOCK. With very many shards the local support comes down to 1, where the first pass is the exact count itself
+and more phrases travel; raise `BLOCK` (a task's memory is about ten times that) or `support` with the corpus.
 
 Words are runs without blanks, in pieces that end at punctuation or line ends; A-Z are lower-cased. Phrases don't cross
 pieces. All is per language; null is `und`. Null texts are empty; a language without phrases has no rows; texts longer than
@@ -33,9 +33,8 @@ from shelfline.llm.text import ascii_lower
 from shelfline.llm.wordprints import BYTES, flags, hashes, mixed, slices, spans
 
 LONGEST, SUPPORT, TOP = 5, 100, 2000
-#: Bytes of text in a shard of one language at most, and how many tasks there are where none would outgrow that. Few shards
-#: have a high local support, so there are SHARDS at any size that they can hold.
-BLOCK, SHARDS = 64 << 20, 24
+#: A language has about SHARDS shards at any size, and more only where one would have over BLOCK bytes of text.
+BLOCK, SHARDS = 24 << 20, 32
 #: Parts that a shard's phrases of one length are sorted in.
 PARTS = 8
 #: Bits of the filter and places of a phrase in it.
@@ -72,6 +71,13 @@ class Block:
         text[inside] = data[~flags(ENDS + BLANKS)[data]]
         self._text.append(text)
 
+    def take(self, more: Block) -> None:
+        """The texts of another block, too."""
+        self.size += more.size
+        self.words += more.words
+        for name in ("_hash", "_lengths", "_left", "_text"):
+            setattr(self, name, getattr(self, name) + getattr(more, name))
+
     def full(self) -> Block:
         """Itself, ready to be mined."""
         if self.words:
@@ -126,18 +132,24 @@ class Block:
                 return
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[tuple[str, Block]]:
-    """A task's texts by language, in blocks of about `block` bytes."""
-    held: dict[str, Block] = {}
+def _blocks(batches: Iterator[pa.RecordBatch], sizes: dict[str, int]) -> Iterator[tuple[str, Block]]:
+    """A task's texts by language, in blocks of about the size of the language's; a small rest joins the block before it."""
+    held: dict[str, list[Block]] = {}
     for batch in batches:
         for lang in pc.unique(batch["lang"]).to_pylist():
-            for _, _, data, edges in slices(batch.filter(pc.equal(batch["lang"], lang))):
-                if lang in held and held[lang].size and held[lang].size + len(data) > block:
-                    yield lang, held.pop(lang).full()
-                held.setdefault(lang, Block()).add(data, edges)
+            own = held.setdefault(lang, [Block()])
+            for _, _, data, edges in slices(batch.filter(pc.equal(batch["lang"], lang)), "text", min(BYTES, sizes[lang] // 8 + 1)):
+                own[-1].add(data, edges)
+                if own[-1].size >= sizes[lang]:
+                    own.append(Block())
+                    if len(own) > 2:
+                        yield lang, own.pop(0).full()
     while held:
-        lang, found = held.popitem()
-        yield lang, found.full()
+        lang, own = held.popitem()
+        if len(own) > 1 and own[-1].size < sizes[lang] / 2:
+            own[-2].take(own.pop())
+        for found in own:
+            yield lang, found.full()
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -154,14 +166,14 @@ def _report(block: Block, lang: str, passes, longest: int, hashed: bool, extra:
         yield pa.RecordBatch.from_arrays(columns, names)
 
 
-def _mined(rows: DataFrame, totals: dict[str, int], support: int, longest: int, block: int) -> DataFrame:
+def _mined(rows: DataFrame, totals: dict[str, int], support: int, longest: int, sizes: dict[str, int]) -> DataFrame:
     """(lang, phrase, times, key, below): what each shard reports; below is the most that an unreported phrase has there.
 
     A row without a phrase tells `below` and, as times, the words of the shard.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, found in _blocks(batches, block):
+        for lang, found in _blocks(batches, sizes):
             least = max(1, -(-support * found.size // totals[lang])) if totals[lang] else 1
             yield pa.RecordBatch.from_pydict(
                 {"lang": pa.array([lang]), "phrase": pa.array([None], pa.string()), "times": pa.array([found.words], pa.int64()), "key": pa.array([0], pa.int64()), "below": pa.array([least - 1], pa.int64())}
@@ -192,7 +204,7 @@ def _filter(candidates: DataFrame, size: int) -> np.ndarray:
     return out.view(np.uint8)
 
 
-def _counted(rows: DataFrame, filter_, size: int, longest: int, block: int) -> DataFrame:
+def _counted(rows: DataFrame, filter_, size: int, longest: int, sizes: dict[str, int]) -> DataFrame:
     """(lang, phrase, times): all occurrences in each shard of the phrases that the filter passes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,7 +216,7 @@ def _counted(rows: DataFrame, filter_, size: int, longest: int, block: int) -> D
                 ok &= (held[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
             return ok
 
-        for lang, found in _blocks(batches, block):
+        for lang, found in _blocks(batches, sizes):
             yield from _report(found, lang, passes, longest, False, [])
 
     return rows.mapInArrow(run, "lang string, phrase string, times bigint")
@@ -215,10 +227,11 @@ def frequent(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, bl
     spark, rows = docs.sparkSession, _rows(docs)
     # One row a language.
     of_lang = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n")).collect()}
+    sizes = {lang: min(block, -(-n // SHARDS)) for lang, n in of_lang.items()}
     tasks = max(SHARDS, -(-sum(of_lang.values()) // block))
     if rows.rdd.getNumPartitions() > tasks:
         rows = rows.coalesce(tasks)
-    found = written(_mined(rows, of_lang, support, longest, block))
+    found = written(_mined(rows, of_lang, support, longest, sizes))
     shards = found.filter("phrase is null").groupBy("lang").agg(F.sum("below").alias("all_below"), F.sum("times").alias("n"))
     shards = written(shards)
     reported = found.filter("phrase is not null").groupBy("lang", "phrase").agg(F.sum("times").alias("times"), F.sum("below").alias("below"), F.any_value("key").alias("key"))
@@ -226,7 +239,7 @@ def frequent(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, bl
     candidates = written(reported.join(shards.select("lang", "all_below"), "lang").filter(bound >= support).select("lang", "phrase", "key"))
     remove(found)
     filter_ = spark.sparkContext.broadcast(_filter(candidates, filter_bits))
-    counts = _counted(rows, filter_, filter_bits, longest, block).groupBy("lang", "phrase").agg(F.sum("times").alias("a"))
+    counts = _counted(rows, filter_, filter_bits, longest, sizes).groupBy("lang", "phrase").agg(F.sum("times").alias("a"))
     out = written(counts.filter(F.col("a") >= support))
     remove(candidates)
     return out, shards.select("lang", "n")
