@@ -1,4 +1,4 @@
-from shelfline.operators.history import scd2_merge
+from shelfline.operators.history import scd2_merge, versions_at
 from shelfline.operators.quality import (
     copy_dimension,
     distinct_rows,
@@ -30,4 +30,5 @@ __all__ = [
     "rows_from",
     "rows_kept",
     "scd2_merge",
+    "versions_at",
 ]

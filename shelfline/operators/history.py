@@ -111,13 +111,34 @@ def _merge_reference(
     equal = reduce(and_, [compared(c) == F.col("s_" + c) for c in columns])
     added = source.join(known, equal, "left_anti")
 
-    # Close every version, new ones included, that differs from a source row of its key.
+    # Close every version, new ones included, that differs from a source row of its key. Some
+    # row differs in a column exactly when the least or the greatest value does, so one row of
+    # extremes for each key stands for all its source rows, and no version meets more than one.
     others = [c for c in columns if c != key]
-    incoming = source.select([F.col(c).alias("r_" + c) for c in columns])
-    differs = (F.col(key) == F.col("r_" + key)) & reduce(
-        or_, [compared(c) != compared(c, "r_") for c in others]
+    extremes = (
+        source.filter(F.col(key).isNotNull())
+        .groupBy(F.col(key).alias("r_key"))
+        .agg(
+            *[F.min(compared(c)).alias(f"least_{c}") for c in others],
+            *[F.max(compared(c)).alias(f"most_{c}") for c in others],
+        )
+    )
+    differs = reduce(
+        or_,
+        [(compared(c) != F.col(f"{end}_{c}")) for c in others for end in ("least", "most")],
     )
     versions = snapshot.unionByName(_opened(added, columns, stamp))
-    outdated = versions.join(incoming, differs, "left_semi").withColumn("end_date", stamp)
-    untouched = versions.join(incoming, differs, "left_anti")
-    return untouched.unionByName(outdated)
+    met = versions.join(extremes, F.col(key) == F.col("r_key"), "left")
+    # A comparison with a null, or with no source row at all, closes nothing.
+    outdated = F.coalesce(differs, F.lit(False))
+    return met.select(
+        *columns, "start_date", F.when(outdated, stamp).otherwise(F.col("end_date")).alias("end_date")
+    )
+
+
+def versions_at(history: DataFrame, moment: Column | str) -> DataFrame:
+    """The versions that were valid at a moment: begun by then and not yet closed."""
+    at = as_of_column(moment)
+    return history.filter(
+        (F.col("start_date") <= at) & (F.col("end_date").isNull() | (F.col("end_date") > at))
+    )

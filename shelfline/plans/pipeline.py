@@ -19,7 +19,6 @@ from shelfline.sources.schemas import (
     INVENTORY,
     INVENTORY_REQUIRED,
     WEEKLY_SALES_INVENTORY,
-    conform,
 )
 from shelfline.sources.tables import TableStore
 
@@ -92,7 +91,6 @@ def refresh_weekly(
     from_key = min(mark, first_day)
     target = read_weekly(store, from_key)
     if options.watermark == "weekly":
-        # Later weeks exist only where an earlier run broke off; all are rebuilt.
         target = target.filter(F.col(facts.WEEKLY_KEY) < mark)
     state = facts.weekly_sales_inventory(
         read_daily(store, first_day) if daily is None else daily,
@@ -114,12 +112,20 @@ def refresh_customers(
     spark: SparkSession, store: TableStore, raw: Mapping[str, DataFrame], options: Options
 ) -> tuple[DataFrame, DataFrame]:
     """Merge today's customers into the snapshot and rebuild the dimension from it."""
-    if store.exists(SNAPSHOT):
-        snapshot = store.read(SNAPSHOT)
+    if options.mode == "null_safe" and store.exists(SNAPSHOT):
+        # Closed versions stay as they are: only the open part is read and written.
+        merged = dimensions.customer_scd2(
+            store.open_part(SNAPSHOT), raw["customer"], options.as_of, options.mode
+        )
     else:
-        snapshot = spark.createDataFrame([], CUSTOMER_SNAPSHOT)
-    merged = dimensions.customer_scd2(snapshot, raw["customer"], options.as_of, options.mode)
-    snapshot = store.replace(SNAPSHOT, conform(merged, CUSTOMER_SNAPSHOT))
+        known = store.read(SNAPSHOT) if store.exists(SNAPSHOT) else None
+        if known is None:
+            known = spark.createDataFrame([], CUSTOMER_SNAPSHOT)
+        merged = dimensions.customer_scd2(known, raw["customer"], options.as_of, options.mode)
+    if options.mode == "null_safe":
+        snapshot = store.evolve(SNAPSHOT, merged, F.col("end_date").isNotNull())
+    else:
+        snapshot = store.replace(SNAPSHOT, merged)
     dim = dimensions.customer_dim(
         snapshot,
         raw["customer_address"],

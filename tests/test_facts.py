@@ -4,9 +4,11 @@ import random
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
-from shelfline.plans import facts
-from tests.conftest import CATALOG, INVENTORY, WEB, day_key, rows
+from shelfline.plans import facts, metrics
+from shelfline.sources.sample_retail import SampleRetail
+from tests.conftest import CATALOG, INVENTORY, SAMPLE, WEB, day_key, rows
 
 SUN, MON, SAT = day_key("1999-12-26"), day_key("1999-12-27"), day_key("2000-01-01")
 NEXT_SUN = day_key("2000-01-02")
@@ -239,3 +241,33 @@ def test_unknown_choices_are_refused(spark, calendar):
         weekly(spark, calendar, [], target=mart, watermark="monthly")
     with pytest.raises(ValueError):
         weekly(spark, calendar, [], fanout="twice")
+
+
+def test_two_sundays_of_a_week_make_one_row_that_counts_twice(spark, calendar):
+    # Week 52 of one year: its first days, and the days of another Sunday far behind them.
+    far = day_key("2000-01-16")
+    twice = calendar.filter(f"d_date_sk not between {far} and {far + 6}").unionByName(
+        calendar.filter(f"d_date_sk between {far} and {far + 6}")
+        .withColumn("wk_num", F.lit(52).cast("bigint"))
+        .withColumn("yr_num", F.lit(1999).cast("bigint"))
+    )
+    lines = [sale(1, 7, MON, 20, "2.00", "1.50"), sale(1, 7, far + 1, 1, "2.00", "1.50")]
+    shelves = stock(spark, [(SUN, 7, 4, 1), (SAT, 7, 5, 1)])
+    sold = daily(spark, twice, lines)
+    columns = ["sold_wk_sk", "sum_qty_wk", "sum_amt_wk", "sum_profit_wk", "inv_qty_wk", "wks_sply"]
+    mart = facts.weekly_sales_inventory(sold, shelves, twice)
+    # Two Sundays times two stock rows; the ratio is nine of stock, twice, to 84.
+    assert rows(mart, *columns) == [(SUN, 84, 168.0, 12.0, 18, Decimal("0.214286"))]
+    once = facts.weekly_sales_inventory(sold, shelves, twice, fanout="safe")
+    assert rows(once, *columns) == [(SUN, 21, 42.0, 3.0, 9, Decimal("0.428571"))]
+    assert facts.check_calendar(twice) is twice
+
+
+def test_the_sample_has_weeks_with_two_sundays_and_with_none(spark):
+    sample = SampleRetail(spark, SAMPLE)
+    sundays = sample.date_dim.filter("day_of_wk_num = 0").groupBy("wk_num", "yr_num").count()
+    assert sundays.filter("count > 1").count() > 0
+    sold = facts.daily_sales(sample.catalog_sales, sample.web_sales, sample.date_dim)
+    assert rows(facts.weeks_without_sunday(sold, sample.date_dim))[0][0] > 0
+    flags = metrics.low_stock_flag(sample.catalog_sales, sample.web_sales, sample.inventory, sample.date_dim)
+    assert rows(flags.select("low_stock_flg_wk").distinct()) == [("False",), ("True",)]

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
+from shelfline.operators.history import scd2_merge
 from shelfline.operators.refresh import mark_of
 from shelfline.plans import dimensions, facts, metrics
 from shelfline.sources.sample_retail import SampleRetail
@@ -48,7 +49,7 @@ def conf(spark):
         spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-@pytest.mark.parametrize("name", registered.queries())
+@pytest.mark.parametrize("name", registered._BUILDERS)
 def test_no_cartesian_product_and_no_python(spark, name):
     plan = plan_of(registered.queries()[name](spark, SAMPLE))
     for node in ("CartesianProduct", "NestedLoop", "Python", "InPandas", "ObjectHashAggregate"):
@@ -217,3 +218,20 @@ def test_closed_history_takes_no_part_in_the_null_safe_merge(spark, conf, hot_ve
     )
     # Open versions by row and by key, their rows, and the source's rows twice and keys.
     assert shuffles(plan_of(merged)) == 6
+
+
+def test_the_reference_merge_needs_four_exchanges_and_no_second_branch(spark, conf, hot_versions):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.enabled", "false")
+    customers = written(SampleRetail(spark, SAMPLE).customer)
+    plan = plan_of(dimensions.customer_scd2(hot_versions, customers, "2002-01-01", "reference"))
+    # Known rows, the source's rows, all versions by key, and one row of extremes for each key.
+    assert shuffles(plan) == 4 and plan.count("SortMergeJoin") == 2
+
+
+def test_versions_meet_one_row_however_often_the_source_repeats_their_key(spark, conf):
+    source = spark.range(3000).selectExpr("1L as k", "cast(id as string) as name", "id as code")
+    start = F.expr("timestamp_ntz '2000-01-01 00:00:00'")
+    snapshot = source.withColumn("start_date", start).withColumn("end_date", F.lit(None).cast("timestamp_ntz"))
+    merged = scd2_merge(snapshot, source, "k", ["k", "name", "code"], "2000-02-01", "reference")
+    assert merged.filter("end_date is not null").count() == merged.count() == 3000

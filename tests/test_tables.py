@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from shelfline.operators import quality, refresh
+from shelfline.operators import quality, refresh, versions_at
 from shelfline.plans import facts, pipeline
 from shelfline.sources import sample_landing, tables
 from shelfline.sources.sample_retail import SampleRetail
@@ -60,13 +60,17 @@ def test_missing_table(store):
         store.read("raw/none")
 
 
+def data_files(folder):
+    return {p for p in folder.rglob("*.parquet")}
+
+
 def test_refresh_touches_only_partitions_from_the_key_on(spark, store, tmp_path):
     schema = keyed(spark).schema
     assert store.read_partitioned("raw/p", schema, "k").count() == 0
     assert store.last_key("raw/p", "k") == 0
     store.refresh_partitions("raw/p", keyed(spark, (1, "a"), (2, "b"), (3, "c")), "k", 0)
     folder = tmp_path / "store" / "raw" / "p"
-    untouched = {p.name for p in (folder / "k=1").iterdir()}
+    before = data_files(folder)
 
     assert store.last_key("raw/p", "k") == 3
     assert rows(store.read_partitioned("raw/p", schema, "k", 3)) == [(3, "c")]
@@ -76,50 +80,140 @@ def test_refresh_touches_only_partitions_from_the_key_on(spark, store, tmp_path)
     # 2 changes, 3 loses all its rows, 4 is new.
     state = current.filter("k < 2").unionByName(keyed(spark, (2, "B"), (4, "d")))
     store.refresh_partitions("raw/p", state, "k", 2)
-    assert rows(store.read_partitioned("raw/p", schema, "k")) == [(1, "a"), (2, "B"), (4, "d")]
-    assert {p.name for p in (folder / "k=1").iterdir()} == untouched
-    assert not (folder / "k=3").exists()
+    now = store.read_partitioned("raw/p", schema, "k")
+    assert rows(now) == [(1, "a"), (2, "B"), (4, "d")] == rows(store.read("raw/p").select("k", "v"))
+    assert {p.parent.name for p in data_files(folder) - before} == {"part_key=2", "part_key=4"}
+    # The version before last goes once a third one is there, but for the partition still in use.
+    store.refresh_partitions("raw/p", keyed(spark, (4, "D")), "k", 4)
+    assert {p.parent.name for p in data_files(folder) & before} == {"part_key=1"}
+    assert rows(store.read_partitioned("raw/p", schema, "k")) == [(1, "a"), (2, "B"), (4, "D")]
+
+
+def test_a_reader_sees_one_state_while_a_refresh_commits(spark, store):
+    schema = keyed(spark).schema
+    store.refresh_partitions("raw/p", keyed(spark, *[(k, "old") for k in range(1, 9)]), "k", 0)
+    reader = store.read_partitioned("raw/p", schema, "k")
+    seen = []
+
+    def while_it_commits():
+        seen.append(rows(reader))
+        seen.append(rows(store.read_partitioned("raw/p", schema, "k")))
+
+    store.refresh_partitions("raw/p", keyed(spark, *[(k, "new") for k in range(3, 9)]), "k", 3, before_commit=while_it_commits)
+    old = [(k, "old") for k in range(1, 9)]
+    assert seen == [old, old] and rows(reader) == old
+    assert rows(store.read_partitioned("raw/p", schema, "k")) == old[:2] + [(k, "new") for k in range(3, 9)]
 
 
-def test_a_refresh_that_broke_off_is_repeated_from_its_start(spark, store):
+def test_a_refresh_killed_before_the_commit_changes_nothing(spark, store):
+    schema = keyed(spark).schema
     store.refresh_partitions("raw/p", keyed(spark, (1, "a"), (2, "b"), (3, "c")), "k", 0)
     broken = keyed(spark, (2, "B"), (4, "d")).withColumn(
         "v", F.when(F.col("k") == 4, F.raise_error(F.lit("boom"))).otherwise(F.col("v"))
     )
     with pytest.raises(Exception, match="boom"):
         store.refresh_partitions("raw/p", broken, "k", 2)
-    assert store.last_key("raw/p", "k") == 2
+
+    def killed():
+        raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        store.refresh_partitions("raw/p", keyed(spark, (2, "B"), (4, "d")), "k", 2, before_commit=killed)
+    assert store.last_key("raw/p", "k") == 3 and store.versions("raw/p") == [1]
+    assert rows(store.read_partitioned("raw/p", schema, "k")) == [(1, "a"), (2, "b"), (3, "c")]
+
+    assert len(store.vacuum("raw/p")) >= 1 and store.vacuum("raw/p") == []
     store.refresh_partitions("raw/p", keyed(spark, (2, "B"), (4, "d")), "k", 2)
-    assert store.last_key("raw/p", "k") == 4
-    assert rows(store.read_partitioned("raw/p", keyed(spark).schema, "k")) == [
-        (1, "a"),
-        (2, "B"),
-        (4, "d"),
-    ]
+    assert rows(store.read_partitioned("raw/p", schema, "k")) == [(1, "a"), (2, "B"), (4, "d")]
 
 
-def test_pipeline_heals_days_and_weeks_lost_by_a_broken_refresh(
-    spark, calendar, store, raw, tmp_path
-):
-    lines = [(1, 7, SUN + d, 1 + d) for d in range(0, 20, 3)]
-    now = day_of_sales(spark, raw, *lines)
-    inventory = spark.createDataFrame([(SUN, 7, 3, 1)], INVENTORY)
-    full = pipeline.refresh_daily(store, now)
-    full_rows = rows(full)
-    mart_rows = rows(pipeline.refresh_weekly(store, inventory, calendar))
-
-    # The last refresh stopped halfway: a middle partition is gone, later ones are there.
-    for table, key, lost in (
-        (pipeline.DAILY, facts.DAILY_KEY, SUN + 9),
-        (pipeline.WEEKLY, facts.WEEKLY_KEY, SUN + 7),
-    ):
-        store._delete(table, f"{key}={lost}")
-        store._create(table, f"_refreshing-{lost}")
-    assert rows(pipeline.read_daily(store)) != full_rows
-    assert rows(pipeline.read_weekly(store)) != mart_rows
-
-    assert rows(pipeline.refresh_daily(store, now)) == full_rows
-    assert rows(pipeline.refresh_weekly(store, inventory, calendar)) == mart_rows
+def test_calls_to_the_file_system_do_not_depend_on_the_number_of_files(spark, store, monkeypatch):
+    calls = []
+    plain = TableStore._files
+    monkeypatch.setattr(TableStore, "_files", lambda self: calls.append(1) or plain(self))
+
+    def counted(work):
+        calls.clear()
+        work()
+        return len(calls)
+
+    found = []
+    for table, n in (("raw/few", 2), ("raw/many", 30)):
+        data = keyed(spark, *[(k, "a") for k in range(1, n + 1)]).repartition(4)
+        store.refresh_partitions(table, data, "k", 0)
+        found.append(
+            (
+                counted(lambda: store.refresh_partitions(table, data, "k", 2)),
+                counted(lambda: store.last_key(table, "k")),
+                counted(lambda: store.read_partitioned(table, data.schema, "k", 2)),
+                counted(lambda: store.versions(table)),
+            )
+        )
+    assert found[0] == found[1]
+
+
+def test_a_registered_partitioned_table_skips_partitions(spark, store):
+    store.refresh_partitions("raw/p", keyed(spark, *[(k, str(k)) for k in range(1, 30)]), "k", 0)
+    store.refresh_partitions("raw/p", keyed(spark, (29, "x"), (30, "y")), "k", 29)
+    df = store.read_partitioned("raw/p", keyed(spark).schema, "k")
+    store.register("raw/p", df)
+    assert rows(spark.table("raw.p")) == rows(df) and spark.table("raw.p").schema == df.schema
+    few = spark.sql("select * from raw.p where k >= 29")
+    assert rows(few) == [(29, "x"), (30, "y")]
+    assert "PartitionFilters: [isnotnull(part_key" in few._jdf.queryExecution().executedPlan().toString()
+
+
+# Histories.
+
+VERSIONS = "k long, v string, end_date timestamp_ntz"
+DAYS = [dt.datetime(2000, 1, d) for d in (1, 2, 3)]
+
+
+def test_a_history_writes_only_what_is_open_or_newly_closed(spark, store, tmp_path):
+    closed = F.col("end_date").isNotNull()
+
+    def run(*data):
+        return store.evolve("raw/h", spark.createDataFrame(list(data), VERSIONS), closed)
+
+    run(*[(k, "a", None) for k in range(100)], (100, "gone", DAYS[0]))
+    before = data_files(tmp_path / "store" / "raw" / "h")
+    changed = store.open_part("raw/h").withColumn("end_date", F.when(F.col("k") == 7, F.lit(DAYS[1])))
+    added = spark.createDataFrame([(7, "b", None)], VERSIONS)
+    now = store.evolve("raw/h", changed.unionByName(added), closed)
+    new = [str(p) for p in data_files(tmp_path / "store" / "raw" / "h") - before]
+    # 99 unchanged open rows, the new one, and the closed one; the row closed earlier is not written again.
+    assert spark.read.parquet(*new).count() == 101
+    assert rows(now.filter(closed), "k", "v") == [(7, "a"), (100, "gone")]
+    assert now.count() == 102 and store.open_part("raw/h").count() == 100
+
+    run()  # nothing open any more
+    assert rows(store.read("raw/h"), "k") == [(7,), (100,)] == rows(store.compact("raw/h"), "k")
+    assert store.open_part("raw/h").count() == 0
+
+
+def test_pipeline_customers_are_a_history_with_point_in_time_reads(spark, store, raw, tmp_path):
+    customers = raw["customer"]
+    first, _ = pipeline.refresh_customers(spark, store, raw, pipeline.Options(as_of="2000-01-01"))
+    n = customers.count()
+    assert first.count() == n
+    moved = F.when(F.col("c_customer_sk") % 100 == 1, F.lit("moved")).otherwise(F.col("c_login"))
+    now = {**raw, "customer": customers.withColumn("c_login", moved)}
+    changed = customers.filter("c_customer_sk % 100 = 1").count()
+    before = data_files(tmp_path / "store" / pipeline.SNAPSHOT)
+    second, _ = pipeline.refresh_customers(spark, store, now, pipeline.Options(as_of="2000-02-01"))
+    new = [str(p) for p in data_files(tmp_path / "store" / pipeline.SNAPSHOT) - before]
+    assert spark.read.parquet(*new).count() == n + changed and second.count() == n + changed
+    third, _ = pipeline.refresh_customers(spark, store, now, pipeline.Options(as_of="2000-03-01"))
+    assert third.count() == n + changed
+
+    names = customers.columns
+    for day, expected in (("2000-01-15", customers), ("2000-02-01", now["customer"])):
+        assert rows(versions_at(third, day).select(names)) == rows(expected.select(names))
+    assert versions_at(third, "1999-12-31").count() == 0
+    # The looser rules rewrite closed versions, so their run replaces the whole table.
+    loose, _ = pipeline.refresh_customers(spark, store, now, pipeline.Options(as_of="2000-04-01", mode="reference"))
+    again, _ = pipeline.refresh_customers(spark, store, now, pipeline.Options(as_of="2000-05-01"))
+    assert again.count() >= loose.count() >= third.count()
 
 
 def test_written_tables_go_to_the_folder_the_session_names(spark):
