@@ -27,18 +27,20 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfline.llm.places import no_of, numbered, start_of
 from shelfline.llm.scratch import bucketed, remove, written
 from shelfline.llm.wordprints import slices
 
-LENGTH, GRAM, BATCHES = 100, 16, 4
+LENGTH, GRAM, BATCHES = 100, 32, 4
 #: Bytes of text behind a bucket of a family: its arrays have about half as many.
 BUCKET = 64 << 20
-KEY, PRINT, ENTRY = ["doc_id", "h"], ["fp1", "fp2"], ["gram", "fp"]
+PRINT, ENTRY = ["fp1", "fp2"], ["gram", "fp"]
+#: Bits of a place for the byte in its text: a text has less than 2^30 bytes, and there are fewer than 2^33 documents.
+BITS = 30
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -99,36 +101,36 @@ def blocks(data: np.ndarray, edges: np.ndarray, length: int, gram: int) -> tuple
     return text, grams[anchor[first]].view(np.int64), fp.view(np.int64), first - edges[text], last - first + 1
 
 
-def _rows(docs: DataFrame) -> DataFrame:
-    text = F.coalesce("text", F.lit(""))
-    return docs.select("doc_id", F.xxhash64(text).alias("h"), text.alias("text"))
+def _places(no: np.ndarray, start: np.ndarray) -> pa.Array:
+    if len(start) and int(start.max()) >> BITS:
+        raise ValueError(f"a text has more than {1 << BITS} bytes")
+    return pa.array((no << BITS) + start, pa.int64())
 
 
 def entries(rows: DataFrame, length: int, gram: int) -> DataFrame:
-    """(doc_id, h, gram, fp, start, n) of all blocks."""
+    """(gram, fp, place, n) of all blocks of the numbered rows."""
     if length > 2 * gram + 100 or gram > length:
         raise ValueError("a block's first and last string must cover it")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, data, edges in slices(batch):
-                text, *found = blocks(data, edges, length, gram)
+            no = batch["no"].to_numpy()
+            for low, _, data, edges in slices(batch):
+                text, key, fp, start, n = blocks(data, edges, length, gram)
                 if len(text):
-                    own = batch.slice(low, high - low).select(KEY).take(pa.array(text))
-                    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
-                    yield pa.RecordBatch.from_arrays([*own.columns, *[pa.array(x, kind) for x, kind in zip(found, kinds, strict=True)]], [*KEY, *ENTRY, "start", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp), _places(no[low + text], start), pa.array(n, pa.int32())], [*ENTRY, "place", "n"])
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, h bigint, gram bigint, fp bigint, start int, n int")
+    return rows.select("no", "text").mapInArrow(run, "gram bigint, fp bigint, place bigint, n int")
 
 
 def _firsts(found: DataFrame, by: list[str], *more: Column) -> DataFrame:
     """One row per content: its first occurrence and their number. Combined before the shuffle, so hot passages don't gather."""
-    return found.groupBy(*by).agg(F.min(F.struct(*KEY, "start")).alias("first"), F.count("*").alias("times"), *more)
+    return found.groupBy(*by).agg(F.min("place").alias("first"), F.count("*").alias("times"), *more)
 
 
 @dataclass
 class Family:
-    """levels: (batches, suffix array) of falling sizes; all contents are distinct over all levels. covered: (doc_id, h, start, stop)."""
+    """levels: (batches, suffix array) of falling sizes; all contents are distinct over all levels. covered: (place, bytes)."""
 
     length: int = LENGTH
     gram: int = GRAM
@@ -156,10 +158,8 @@ class Family:
         marked = self._stored(marked)
         remove(array)
         again = marked.filter("known or times > 1").select(*ENTRY, "first", "known")
-        of = F.col("first")
-        is_first = ~F.col("known") & F.col("doc_id").eqNullSafe(of["doc_id"]) & (F.col("h") == of["h"]) & (F.col("start") == of["start"])
-        later = own.join(again, ENTRY).filter(~is_first)
-        self.covered.append(written(later.select(*KEY, "start", (F.col("start") + F.col("n") - 1 + self.length).alias("stop"))))
+        later = own.join(again, ENTRY).filter("known or place <> first")
+        self.covered.append(written(later.select("place", (F.col("n") - 1 + self.length).alias("bytes"))))
         self.levels.append((1, self._stored(marked.filter("not known").select(*ENTRY, "first", "n"))))
         remove(marked)
         while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
@@ -171,84 +171,88 @@ class Family:
 
 
 def _strings(rows: DataFrame, parts: DataFrame, length: int) -> DataFrame:
-    """(doc_id, h, fp1, fp2, start) of all strings of the given blocks."""
+    """(fp1, fp2, place) of all strings of the given blocks."""
+    lists = parts.groupBy(no_of("first", BITS).alias("of")).agg(F.collect_list(F.struct(start_of("first", BITS).alias("start"), "n")).alias("p"))
+    lists = lists.select("of", F.col("p.start").alias("starts"), F.col("p.n").alias("ns"))
+    both = rows.join(lists, F.col("no") == F.col("of")).select("no", "text", "starts", "ns")
 
-    @F.pandas_udf("start array<bigint>, fp1 array<bigint>, fp2 array<bigint>")
-    def taken(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for text, starts, ns in zip(batch["text"], batch["starts"], batch["ns"], strict=True):
-                data = np.frombuffer(text.encode(errors="replace"), np.uint8)
-                at = np.concatenate([np.arange(s, s + n) for s, n in zip(starts, ns, strict=True)])
-                out.append((at, *[string_hashes(data, length, seed)[at].view(np.int64) for seed in (2, 3)]))
-            yield pd.DataFrame(out, columns=["start", "fp1", "fp2"])
+            for low, high, data, edges in slices(batch):
+                own = batch.slice(low, high - low)
+                counts = np.array([len(x) for x in own["starts"]])
+                starts, ns = (own[c].flatten().to_numpy(zero_copy_only=False).astype(np.int64) for c in ("starts", "ns"))
+                text = np.repeat(np.repeat(np.arange(len(counts)), counts), ns)
+                start = np.repeat(starts, ns) + np.arange(ns.sum()) - np.repeat(np.cumsum(ns) - ns, ns)
+                prints = [pa.array(string_hashes(data, length, seed)[start + edges[text]].view(np.int64)) for seed in (2, 3)]
+                yield pa.RecordBatch.from_arrays([*prints, _places(own["no"].to_numpy()[text], start)], [*PRINT, "place"])
 
-    lists = parts.groupBy(*KEY).agg(F.collect_list(F.struct("start", "n")).alias("p"))
-    lists = lists.select(F.col("doc_id").alias("of"), F.col("h").alias("of_h"), F.col("p.start").alias("starts"), F.col("p.n").alias("ns"))
-    both = rows.join(lists, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("h") == F.col("of_h")))
-    out = both.select(*KEY, taken(F.struct("text", "starts", "ns")).alias("t"))
-    zipped = F.arrays_zip(*[F.col(f"t.{c}").alias(c) for c in ("start", "fp1", "fp2")])
-    return out.select(*KEY, F.explode(zipped).alias("e")).select(*KEY, F.col("e.start").cast("int").alias("start"), "e.fp1", "e.fp2")
+    return both.mapInArrow(run, "fp1 bigint, fp2 bigint, place bigint")
 
 
 def repeats(rows: DataFrame, family: Family) -> DataFrame:
-    """(doc_id, h, start, stop): byte ranges of the indexed rows that strings of earlier starts cover."""
+    """(no, start, stop): byte ranges of the indexed rows that strings of earlier starts cover."""
     out = family.covered[0]
     for more in family.covered[1:]:
         out = out.unionByName(more)
     known = family.all()
     shared = known.groupBy("gram").agg(F.count("*").alias("blocks")).filter("blocks > 1").select("gram")
-    apart = known.join(shared, "gram", "left_semi").select("first.*", "n")
+    apart = known.join(shared, "gram", "left_semi").select("first", "n")
     strings = written(_strings(rows, apart, family.length))
     first = _firsts(strings, PRINT).filter("times > 1").select(*PRINT, "first")
-    of = F.col("first")
-    same = F.col("doc_id").eqNullSafe(of["doc_id"]) & (F.col("h") == of["h"]) & (F.col("start") == of["start"])
-    single = strings.join(first, PRINT).filter(~same)
-    single = written(single.select(*KEY, "start", (F.col("start") + family.length).alias("stop")))
+    single = written(strings.join(first, PRINT).filter("place <> first").select("place", F.lit(family.length).alias("bytes")))
     remove(strings)
-    return out.unionByName(single)
+    start = start_of("place", BITS)
+    return out.unionByName(single).select(no_of("place", BITS).alias("no"), start.cast("int").alias("start"), (start + F.col("bytes")).cast("int").alias("stop"))
 
 
 def indexed(rows: DataFrame, batches: int = BATCHES, length: int = LENGTH, gram: int = GRAM) -> Family:
-    """A family of all rows, added in batches by id."""
+    """A family of all numbered rows, added in batches by their order."""
     shares = [k / batches for k in range(1, batches)]
-    size, marks = rows.select(F.sum(F.octet_length("text")), F.percentile_approx("doc_id", shares or [0.5], 1000)).first()
+    size, marks = rows.select(F.sum(F.octet_length("text")), F.percentile_approx("no", shares or [0.5], 1000)).first()
     family = Family(length, gram, max(8, -(-(size or 0) // BUCKET)))
     marks = sorted(set(marks or [])) if shares else []
-    # Rows without an id come first.
     for k in range(len(marks) + 1):
         own = F.lit(True)
         if k:
-            own &= F.col("doc_id") > marks[k - 1]
+            own &= F.col("no") > marks[k - 1]
         if k < len(marks):
-            own &= F.col("doc_id") <= marks[k]
-        family.add(rows.filter(own if k else F.coalesce(own, F.lit(True)) if marks else own))
+            own &= F.col("no") <= marks[k]
+        family.add(rows.filter(own))
     return family
 
 
-def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = [("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())]
     for batch in batches:
-        out = []
-        for text, starts, stops in batch.itertuples(index=False):
-            data = text.encode(errors="replace")
-            if starts is None or len(starts) == 0:
-                out.append((len(data), 0, 0, hashlib.sha256(data).hexdigest(), data))
-                continue
-            edges = np.zeros(len(data) + 1, np.int32)
-            np.add.at(edges, starts, 1)
-            np.add.at(edges, stops, -1)
-            gone = np.cumsum(edges[:-1]) > 0
-            kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
-            spans = int(gone[0]) + int((np.diff(gone.astype(np.int8)) == 1).sum())
-            out.append((len(data), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept))
-        yield pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+        for low, high, data, edges in slices(batch):
+            own, out = batch.slice(low, high - low), []
+            for a, b, starts, stops in zip(edges[:-1], edges[1:], own["starts"], own["stops"], strict=True):
+                text = data[a:b]
+                if not starts.is_valid:
+                    kept = text.tobytes()
+                    out.append((len(kept), 0, 0, hashlib.sha256(kept).hexdigest(), kept))
+                    continue
+                change = np.zeros(len(text) + 1, np.int32)
+                np.add.at(change, starts.values.to_numpy(), 1)
+                np.add.at(change, stops.values.to_numpy(), -1)
+                gone = np.cumsum(change[:-1]) > 0
+                kept = text[~gone].tobytes()
+                spans = int(gone[0]) + int((np.diff(gone.astype(np.int8)) == 1).sum())
+                out.append((len(text), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept))
+            columns = [pa.array(x, kind) for x, (_, kind) in zip(zip(*out, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([own["doc_id"], *columns], ["doc_id", *[n for n, _ in kinds]])
 
 
 def removed(docs: DataFrame, batches: int = BATCHES, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept, the bytes that stay."""
-    rows = _rows(docs)
-    ranges = repeats(rows, indexed(rows, batches, length, gram)).distinct()
-    lists = ranges.groupBy(*KEY).agg(F.collect_list(F.struct("start", "stop")).alias("r"))
-    lists = lists.select(F.col("doc_id").alias("of"), F.col("h").alias("of_h"), F.col("r.start").alias("starts"), F.col("r.stop").alias("stops"))
-    both = rows.join(lists, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("h") == F.col("of_h")), "left")
-    return both.select("doc_id", F.pandas_udf(_cut, "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")(F.struct("text", "starts", "stops")).alias("c")).select("doc_id", "c.*")
+    rows = numbered(docs, BITS)
+    family = indexed(rows, batches, length, gram)
+    ranges = written(repeats(rows, family).distinct())
+    for step in [level for _, level in family.levels] + family.covered:
+        remove(step)
+    lists = ranges.groupBy(F.col("no").alias("of")).agg(F.collect_list(F.struct("start", "stop")).alias("r"))
+    lists = lists.select("of", F.col("r.start").alias("starts"), F.col("r.stop").alias("stops"))
+    both = rows.join(lists, F.col("no") == F.col("of"), "left").select("doc_id", "text", "starts", "stops")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return both.mapInArrow(_cut, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")

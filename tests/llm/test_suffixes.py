@@ -4,6 +4,7 @@ import random
 import pytest
 
 from shelfline.llm import suffixes
+from shelfline.llm.places import numbered
 
 SCHEMA = "doc_id long, text string, h string, start int"
 
@@ -57,7 +58,7 @@ def test_rows_that_repeat_an_id_and_text_are_one_document(spark):
 
 def test_the_query_merges_levels_without_shuffles(spark):
     docs = [(i, t, "x", 1) for i, t in corpus()]
-    family = suffixes.indexed(suffixes._rows(spark.createDataFrame(docs, SCHEMA)))
+    family = suffixes.indexed(numbered(spark.createDataFrame(docs, SCHEMA), suffixes.BITS))
     assert suffixes.BATCHES == 4 and family.merges == 3 and [n for n, _ in family.levels] == [4]
     level = family.levels[0][1]
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
