@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from typing import Literal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shelfline.functions import LIMBS, Money, exact_ratio, money, together
@@ -162,6 +162,7 @@ def weekly_sales_inventory(
     fanout: Fanout = "reference",
     mark: Column | int | None = None,
     first_day: Column | int | None = None,
+    dropped: Observation | None = None,
 ) -> DataFrame:
     """Weekly sales joined to the week's stock, with supply ratio and low-stock flag.
 
@@ -180,6 +181,9 @@ def weekly_sales_inventory(
     With ``target`` the result is its whole new state. ``watermark`` says whose
     greatest key is the mark: that of the mart (``weekly``) or that of the daily
     fact (``daily``, which adds only groups first sold on the last loaded day).
+
+    ``dropped`` counts, while the result is computed, the ``daily_rows`` and ``daily_qty`` of groups
+    whose week has no Sunday.
     """
     if mark is None:
         if target is None:
@@ -208,10 +212,23 @@ def weekly_sales_inventory(
             *LIMBS.sums("amt"),
             *LIMBS.sums("profit"),
             F.count("stock").alias("stock_rows"),
+            F.count("first_sold_sk").alias("daily_rows"),
         )
         .filter(F.col("first_sold_sk") >= as_mark(mark))
     )
-    joined = per_week.join(_sundays(date_dim), WEEK)
+    if dropped is None:
+        joined = per_week.join(_sundays(date_dim), WEEK)
+    else:
+        lost = F.col("sunday_sk").isNull()
+        joined = (
+            per_week.join(_sundays(date_dim), WEEK, "left")
+            .observe(
+                dropped,
+                F.coalesce(F.sum(F.when(lost, F.col("daily_rows"))), F.lit(0)).alias("daily_rows"),
+                F.coalesce(F.sum(F.when(lost, F.col("qty"))), F.lit(0)).alias("daily_qty"),
+            )
+            .filter(~lost)
+        )
 
     # A row joined to several Sundays, or to several stock rows, counts that often.
     copies, sundays = F.lit(1), F.lit(1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.operators.history import Mode
@@ -20,13 +20,15 @@ from shelfline.sources.schemas import (
     INVENTORY_REQUIRED,
     WEEKLY_SALES_INVENTORY,
 )
-from shelfline.sources.tables import TableStore
+from shelfline.sources.tables import TableStore, shared_folder
 
 DAILY = "intermediate/daily_aggregated_sales"
 SNAPSHOT = "intermediate/customer_snapshot"
 WEEKLY = "analytics/weekly_sales_inventory"
 RAW_INVENTORY = "raw/inventory"
 INVENTORY_REJECTS = "raw/inventory_rejects"
+INVENTORY_AUDIT = "raw/inventory_load_audit"
+DROPPED = "analytics/weeks_without_sunday"
 
 
 @dataclass(frozen=True)
@@ -42,10 +44,15 @@ class Options:
 
 
 def load_inventory(spark: SparkSession, store: TableStore, path: str) -> DataFrame:
-    """Replace raw inventory with the good lines of the landing files; keep the rejects."""
-    good, rejects = landing.load_csv(spark, path, INVENTORY, INVENTORY_REQUIRED)
-    store.replace(INVENTORY_REJECTS, rejects)
-    return store.replace(RAW_INVENTORY, good)
+    """Replace raw inventory with the good lines of the landing files; keep rejects and audit.
+
+    The files are read and parsed once.
+    """
+    target = f"{shared_folder(spark)}/stage"
+    staged = landing.stage(spark, path, target, INVENTORY, INVENTORY_REQUIRED)
+    store.replace(INVENTORY_REJECTS, staged.rejects)
+    store.replace(INVENTORY_AUDIT, staged.audit)
+    return store.replace(RAW_INVENTORY, staged.good)
 
 
 def read_daily(store: TableStore, from_key: int | None = None) -> DataFrame:
@@ -76,10 +83,12 @@ def refresh_weekly(
     date_dim: DataFrame,
     options: Options = Options(),
     daily: DataFrame | None = None,
+    dropped: Observation | None = None,
 ) -> DataFrame:
     """Rebuild the last loaded week of the mart and add the weeks after it.
 
-    Reads only the daily rows and mart weeks that can take part.
+    Reads only the daily rows and mart weeks that can take part. ``dropped`` counts, in the same
+    job, what of them is left out for want of a Sunday.
     """
     if options.watermark == "weekly":
         mark = store.last_key(WEEKLY, facts.WEEKLY_KEY)
@@ -101,6 +110,7 @@ def refresh_weekly(
         options.fanout,
         mark,
         first_day,
+        dropped,
     )
     store.refresh_partitions(
         WEEKLY, state, facts.WEEKLY_KEY, from_key, ("item_sk", "warehouse_sk")
@@ -158,7 +168,10 @@ def run_pipeline(
         done[RAW_INVENTORY] = inventory
 
     done[DAILY] = refresh_daily(store, raw)
-    done[WEEKLY] = refresh_weekly(store, inventory, date_dim, options)
+    dropped = Observation()
+    done[WEEKLY] = refresh_weekly(store, inventory, date_dim, options, dropped=dropped)
+    lost = spark.createDataFrame([dropped.get], "daily_rows bigint, daily_qty bigint")
+    done[DROPPED] = store.replace(DROPPED, lost)
     done[SNAPSHOT], done["analytics/customer_dim"] = refresh_customers(spark, store, raw, options)
 
     web = raw["web_sales"]

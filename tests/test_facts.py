@@ -4,6 +4,7 @@ import random
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from shelfline.plans import facts, metrics
@@ -271,3 +272,14 @@ def test_the_sample_has_weeks_with_two_sundays_and_with_none(spark):
     assert rows(facts.weeks_without_sunday(sold, sample.date_dim))[0][0] > 0
     flags = metrics.low_stock_flag(sample.catalog_sales, sample.web_sales, sample.inventory, sample.date_dim)
     assert rows(flags.select("low_stock_flg_wk").distinct()) == [("False",), ("True",)]
+
+
+def test_rows_dropped_for_want_of_a_sunday_are_counted_by_the_mart_itself(spark, calendar):
+    lines = [sale(1, 7, MON, 3), sale(2, 7, SAT, 2), sale(1, 7, NEXT_SUN, 4), sale(1, 7, 5, 2)]
+    gappy = calendar.filter(f"d_date_sk != {SUN}")
+    sold = daily(spark, gappy, lines)
+    dropped = Observation()
+    mart = facts.weekly_sales_inventory(sold, stock(spark, []), gappy, dropped=dropped)
+    assert rows(mart) == rows(facts.weekly_sales_inventory(sold, stock(spark, []), gappy))
+    assert dropped.get == {"daily_rows": 3, "daily_qty": 7}
+    assert rows(facts.weeks_without_sunday(sold, gappy)) == [(3, 7)]

@@ -74,3 +74,27 @@ def test_no_required_columns(spark, tmp_path):
     (tmp_path / "a.csv").write_text(",,,\n")
     good, _ = landing.load_csv(spark, str(tmp_path), INVENTORY)
     assert rows(good) == [(None, None, None, None)]
+
+
+def test_one_parse_gives_rows_rejects_audit_and_counts(spark, path, tmp_path):
+    target = str(tmp_path / "stage")
+    staged = landing.stage(spark, path, target, INVENTORY, INVENTORY_REQUIRED)
+    good, rejects = landing.load_csv(spark, path, INVENTORY, INVENTORY_REQUIRED)
+    assert rows(staged.good) == rows(good) and staged.good.columns == INVENTORY.fieldNames()
+    assert rows(staged.rejects) == rows(rejects)
+    assert rows(staged.audit) == rows(landing.load_audit(spark, path, INVENTORY, INVENTORY_REQUIRED))
+    n = len(LINES)
+    assert staged.counts == {"rows_read": n, "rows_loaded": len(GOOD), "rows_rejected": n - len(GOOD)}
+    for df in (staged.good, staged.rejects, staged.audit):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan text" not in plan and "FileScan parquet" in plan
+    # Good rows are read from their own folder, without the text of rejected lines.
+    plan = staged.good._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(outcome" in plan and "line" not in plan.split("ReadSchema")[1]
+
+
+def test_stage_of_nothing(spark, tmp_path):
+    (tmp_path / "empty.csv").write_text("")
+    staged = landing.stage(spark, str(tmp_path / "empty.csv"), str(tmp_path / "stage"), INVENTORY)
+    assert staged.good.count() == staged.rejects.count() == staged.audit.count() == 0
+    assert staged.counts == {"rows_read": 0, "rows_loaded": 0, "rows_rejected": 0}

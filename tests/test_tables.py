@@ -212,8 +212,9 @@ def test_pipeline_customers_are_a_history_with_point_in_time_reads(spark, store,
     assert versions_at(third, "1999-12-31").count() == 0
     # The looser rules rewrite closed versions, so their run replaces the whole table.
     loose, _ = pipeline.refresh_customers(spark, store, now, pipeline.Options(as_of="2000-04-01", mode="reference"))
+    rewritten = loose.count()
     again, _ = pipeline.refresh_customers(spark, store, now, pipeline.Options(as_of="2000-05-01"))
-    assert again.count() >= loose.count() >= third.count()
+    assert again.count() >= rewritten >= n + changed
 
 
 def test_written_tables_go_to_the_folder_the_session_names(spark):
