@@ -1,3 +1,4 @@
+from shelfline.operators.bitmaps import distinct_counts, distinct_state, merged_states
 from shelfline.operators.history import scd2_merge, versions_at
 from shelfline.operators.quality import (
     copy_dimension,
@@ -18,12 +19,15 @@ from shelfline.operators.refresh import (
 
 __all__ = [
     "copy_dimension",
+    "distinct_counts",
     "distinct_rows",
+    "distinct_state",
     "duplicate_key_counts",
     "empty_like",
     "high_water",
     "incremental_refresh",
     "mark_of",
+    "merged_states",
     "null_counts",
     "read_mark",
     "require_unique",
