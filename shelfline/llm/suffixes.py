@@ -28,7 +28,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.llm.places import no_of, numbered, start_of
@@ -148,20 +148,30 @@ class Family:
     def _stored(self, array: DataFrame) -> DataFrame:
         return bucketed(array, self.buckets, ENTRY)
 
+    def _met(self, array: DataFrame) -> DataFrame:
+        """The blocks of a batch's array that a level has."""
+        out = None
+        for _, level in self.levels:
+            some = array.join(level.select(*ENTRY), ENTRY, "left_semi")
+            out = some if out is None else out.unionByName(some)
+        return out
+
     def add(self, rows: DataFrame) -> None:
         """Index a batch that comes after all that are indexed, and keep what it repeats."""
         own = entries(rows, self.length, self.gram)
         array = self._stored(_firsts(own, ENTRY, F.any_value("n").alias("n")))
-        marked = array.withColumn("known", F.lit(False))
-        for _, level in self.levels:
-            marked = marked.join(level.select(*ENTRY, F.lit(True).alias("here")), ENTRY, "left").withColumn("known", F.col("known") | F.coalesce("here", F.lit(False))).drop("here")
-        marked = self._stored(marked)
-        remove(array)
-        again = marked.filter("known or times > 1").select(*ENTRY, "first", "known")
-        later = own.join(again, ENTRY).filter("known or place <> first")
+        new, again = array, array.filter("times > 1").withColumn("known", F.lit(False))
+        if self.levels:
+            # Levels have no content in common, so a block is met by one of them at most.
+            known = self._stored(self._met(array))
+            new = self._stored(array.join(known.select(*ENTRY), ENTRY, "left_anti"))
+            again = new.filter("times > 1").withColumn("known", F.lit(False)).unionByName(known.withColumn("known", F.lit(True)))
+        later = own.join(again.select(*ENTRY, "first", "known"), ENTRY).filter("known or place <> first")
         self.covered.append(written(later.select("place", (F.col("n") - 1 + self.length).alias("bytes"))))
-        self.levels.append((1, self._stored(marked.filter("not known").select(*ENTRY, "first", "n"))))
-        remove(marked)
+        if self.levels:
+            remove(array)
+            remove(known)
+        self.levels.append((1, new))
         while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
             (n, a), (m, b) = self.levels.pop(), self.levels.pop()
             self.levels.append((n + m, self._stored(a.unionByName(b))))
@@ -171,7 +181,11 @@ class Family:
 
 
 def _strings(rows: DataFrame, parts: DataFrame, length: int) -> DataFrame:
-    """(fp1, fp2, place) of all strings of the given blocks."""
+    """(fp1, fp2, place, later) of all strings of the given blocks.
+
+    A string that has occurred before in a task's slice of texts is `later` than another for sure. Such rows have prints of
+    their own, so that a hot string meets in one place with a row from each slice only.
+    """
     lists = parts.groupBy(no_of("first", BITS).alias("of")).agg(F.collect_list(F.struct(start_of("first", BITS).alias("start"), "n")).alias("p"))
     lists = lists.select("of", F.col("p.start").alias("starts"), F.col("p.n").alias("ns"))
     both = rows.join(lists, F.col("no") == F.col("of")).select("no", "text", "starts", "ns")
@@ -184,26 +198,33 @@ def _strings(rows: DataFrame, parts: DataFrame, length: int) -> DataFrame:
                 starts, ns = (own[c].flatten().to_numpy(zero_copy_only=False).astype(np.int64) for c in ("starts", "ns"))
                 text = np.repeat(np.repeat(np.arange(len(counts)), counts), ns)
                 start = np.repeat(starts, ns) + np.arange(ns.sum()) - np.repeat(np.cumsum(ns) - ns, ns)
-                prints = [pa.array(string_hashes(data, length, seed)[start + edges[text]].view(np.int64)) for seed in (2, 3)]
-                yield pa.RecordBatch.from_arrays([*prints, _places(own["no"].to_numpy()[text], start)], [*PRINT, "place"])
+                place = _places(own["no"].to_numpy()[text], start).to_numpy()
+                one, two = (string_hashes(data, length, seed)[start + edges[text]] for seed in (2, 3))
+                order = np.lexsort((place, two, one))
+                one, two, place = one[order], two[order], place[order]
+                head = np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1]))
+                later = place > place[head][np.cumsum(head) - 1]
+                one[later], two[later] = _mixed(place[later].astype(np.uint64)), place[later].astype(np.uint64)
+                yield pa.RecordBatch.from_arrays([pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(place), pa.array(later)], [*PRINT, "place", "later"])
 
-    return both.mapInArrow(run, "fp1 bigint, fp2 bigint, place bigint")
+    return both.mapInArrow(run, "fp1 bigint, fp2 bigint, place bigint, later boolean")
 
 
 def repeats(rows: DataFrame, family: Family) -> DataFrame:
-    """(no, start, stop): byte ranges of the indexed rows that strings of earlier starts cover."""
-    out = family.covered[0]
-    for more in family.covered[1:]:
-        out = out.unionByName(more)
+    """(no, start, stop): byte ranges of the indexed rows that strings of earlier starts cover. Ends the family: its levels go."""
     known = family.all()
     shared = known.groupBy("gram").agg(F.count("*").alias("blocks")).filter("blocks > 1").select("gram")
-    apart = known.join(shared, "gram", "left_semi").select("first", "n")
-    strings = written(_strings(rows, apart, family.length))
-    first = _firsts(strings, PRINT).filter("times > 1").select(*PRINT, "first")
-    single = written(strings.join(first, PRINT).filter("place <> first").select("place", F.lit(family.length).alias("bytes")))
-    remove(strings)
+    apart = written(known.join(shared, "gram", "left_semi").select("first", "n"))
+    for _, level in family.levels:
+        remove(level)
+    # Rows that repeat id and text have equal places, and so equal ranks.
+    nth = F.rank().over(Window.partitionBy(*PRINT).orderBy("place"))
+    single = _strings(rows, apart, family.length).withColumn("nth", nth).filter("later or nth > 1")
+    out = written(single.select("place", F.lit(family.length).alias("bytes")))
+    for more in family.covered:
+        out = out.unionByName(more)
     start = start_of("place", BITS)
-    return out.unionByName(single).select(no_of("place", BITS).alias("no"), start.cast("int").alias("start"), (start + F.col("bytes")).cast("int").alias("stop"))
+    return out.select(no_of("place", BITS).alias("no"), start.cast("int").alias("start"), (start + F.col("bytes")).cast("int").alias("stop"))
 
 
 def indexed(rows: DataFrame, batches: int = BATCHES, length: int = LENGTH, gram: int = GRAM) -> Family:
@@ -249,7 +270,7 @@ def removed(docs: DataFrame, batches: int = BATCHES, length: int = LENGTH, gram:
     rows = numbered(docs, BITS)
     family = indexed(rows, batches, length, gram)
     ranges = written(repeats(rows, family).distinct())
-    for step in [level for _, level in family.levels] + family.covered:
+    for step in family.covered:
         remove(step)
     lists = ranges.groupBy(F.col("no").alias("of")).agg(F.collect_list(F.struct("start", "stop")).alias("r"))
     lists = lists.select("of", F.col("r.start").alias("starts"), F.col("r.stop").alias("stops"))

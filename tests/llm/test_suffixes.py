@@ -74,3 +74,14 @@ def test_a_long_text(spark):
     df = spark.createDataFrame([(1, text, "", 0), (2, "x" + text, "", 0)], SCHEMA)
     got = {r["doc_id"]: (r["n_bytes"], r["n_removed"]) for r in suffixes.removed(df).collect()}
     assert got == {1: (len(text), 0), 2: (len(text) + 1, len(text))}
+
+
+def test_repeated_rows_with_passages_that_blocks_share_in_part(spark):
+    rng = random.Random(7)
+    prose = lambda n: " ".join(str(rng.random()) for _ in range(n))
+    shared = prose(20)
+    one, two = f"{prose(9)} {shared} {prose(9)}", f"{prose(7)} {shared} {prose(11)}"
+    df = spark.createDataFrame([(1, one, "", 0), (1, one, "", 0), (2, two, "", 0)], SCHEMA)
+    got = sorted({(r["doc_id"], r["n_removed"]) for r in suffixes.removed(df).collect()})
+    want = brute([(1, one), (2, two)], 100)
+    assert got == [(1, 0), (2, want[2][1])] and want[2][1] >= len(shared)
