@@ -6,7 +6,8 @@ blobs that the ledger lacks under the present rules, one row for each however ma
 it; a report joins the findings back to all rows.
 
 Null and empty texts are one blob without findings. Repeated rows are reported one by one. An empty
-table gives an empty ledger and report. Documents' other columns are carried, never read, so they
+table gives an empty ledger and report. Long texts and texts with many findings are scanned whole: the
+offsets of n findings take n times GROUP steps. Documents' other columns are carried, never read, so they
 may have any name.
 """
 
@@ -53,6 +54,8 @@ RULES = (
     Rule("key_block", "", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 27, "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
 )
 BASE = 3
+#: Findings whose lengths are added up together.
+GROUP = 128
 VERSION = "3"
 REDACTED = "[REDACTED]"
 # What follows a private key's BEGIN, up to the next: all through END, or without it header and base64 lines.
@@ -62,6 +65,31 @@ KEY_LINE = r"(?:[A-Za-z0-9+/]{32,}+=*+|[A-Za-z0-9+/]++=*+(?=[ \t]*+(?:[\r\n]|\\[
 KEY_LINES = rf"\A(?:(?:\s|\\[rn])*+(?:Proc-Type|DEK-Info):[^\n]*+)*+(?:(?:\s|\\[rn])*+{KEY_LINE}(?:{BREAK}{KEY_LINE})*+)?"
 
 
+def _let(value: Column, then) -> Column:
+    """then(value), with the value computed once however often it is used."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _before(lengths: Column) -> Column:
+    """How much comes before each of some lengths: sums within groups of GROUP, on top of the sums of the groups before."""
+    groups = F.sequence(F.lit(0), F.call_function("div", F.size(lengths) - 1, F.lit(GROUP)).cast("int"))
+
+    def total(low: Column, n) -> Column:
+        return F.aggregate(F.slice(lengths, low + 1, n), F.lit(0), lambda a, b: a + b)
+
+    def step(seen: Column, g: Column) -> Column:
+        return F.struct((seen["at"] + total(g * GROUP, F.lit(GROUP))).alias("at"), F.array_append(seen["bases"], seen["at"]).alias("bases"))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("bases"))
+    bases = F.aggregate(groups, start, step, lambda seen: seen["bases"])
+
+    def within(base: Column, g: Column) -> Column:
+        last = F.least(F.lit(GROUP), F.size(lengths) - g * GROUP) - 1
+        return F.transform(F.sequence(F.lit(0), last), lambda k: base + total(g * GROUP, k))
+
+    return F.flatten(F.transform(bases, within))
+
+
 def _spans(rule: Rule, rank: int, text: Column) -> Column:
     """Leftmost non-overlapping findings with code-point offsets.
 
@@ -73,17 +101,22 @@ def _spans(rule: Rule, rank: int, text: Column) -> Column:
         text = F.replace(text, F.lit(mark), F.lit("\x04"))
     parts = F.split(F.regexp_replace(text, rule.pattern, "\x01$1\x02$2\x03"), "\x01")
 
-    def step(seen: Column, part: Column) -> Column:
-        head = F.locate("\x02", part) - 1
-        value = F.locate("\x03", part) - head - 2
-        end = seen["at"] + head + value
-        span = F.struct(seen["at"].alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(rule.kind).alias("kind"))
-        spans = F.when(value >= rule.least, F.array_append(seen["spans"], span)).otherwise(seen["spans"])
-        return F.struct((seen["at"] + F.length(part) - 2).alias("at"), spans.alias("spans"))
+    def found(parts: Column) -> Column:
+        lengths = F.transform(parts, lambda p, k: F.length(p) - F.when(k > 0, F.lit(2)).otherwise(F.lit(0)))
+
+        def spans(before: Column) -> Column:
+            def span(part: Column, k: Column) -> Column:
+                head = F.locate("\x02", part) - 1
+                value = F.locate("\x03", part) - head - 2
+                start = F.get(before, k + 1)
+                ends = F.struct(start.alias("start"), F.lit(rank).alias("rank"), (start + head + value).alias("end"), F.lit(rule.kind).alias("kind"))
+                return F.when(value >= rule.least, ends)
+
+            return F.array_compact(F.transform(F.slice(parts, 2, F.size(parts)), span))
+
+        return _let(_let(lengths, _before), spans)
 
-    start = F.struct(F.length(F.get(parts, F.lit(0))).alias("at"), F.array().cast(SPAN).alias("spans"))
-    found = F.aggregate(F.slice(parts, 2, F.size(parts)), start, step, lambda seen: seen["spans"])
-    return F.when(F.col("text").rlike(rule.hint), found).otherwise(F.array().cast(SPAN))
+    return F.when(F.col("text").rlike(rule.hint), _let(parts, found)).otherwise(F.array()).cast(SPAN)
 
 
 def findings() -> Column:
@@ -125,7 +158,8 @@ def update(docs: DataFrame, path: str) -> DataFrame:
 
 def _found(rows: DataFrame, ledger: DataFrame) -> DataFrame:
     """rows (with column blob) and the findings of each."""
-    present = ledger.filter(F.col("rule_version") == VERSION).select("blob", "findings")
+    # Runs at the same time may have scanned the same blob; their findings are equal.
+    present = ledger.filter(F.col("rule_version") == VERSION).select("blob", "findings").dropDuplicates(["blob"])
     return rows.join(present, "blob", "left")
 
 
