@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from shelfline.llm import caps, codebooks, debruijn, language, minhash, mixing, phrases, quality_rules, secret_ledger, sentencepiece, sharding, suffixes, warc
+from shelfline.llm import caps, codebooks, debruijn, expected, language, minhash, mixing, phrases, quality_rules, secret_ledger, sentencepiece, sharding, suffixes, warc
 from shelfline.llm.scratch import read, shared_folder
 
 #: Bytes of a WARC record's block in the registered query: long pages go on in continuation records.
@@ -70,10 +70,13 @@ def queries():
 
 def oracle_sql():
     return {
+        "op1_suffix_dedup": expected.suffix_dedup(),
         "op2_sharding": sharding.oracle(),
         "op4_source_mix": mixing.oracle(),
         "op5_secret_scan": secret_ledger.oracle(),
         "op6_warc_segments": warc.oracle(),
+        "op9_minhash_near_dedup": expected.near_dedup(),
+        "op10_cap_filters": expected.vector_links(),
         "op11_bounded_codes": codebooks.oracle(),
         "op12_son_phrases": phrases.oracle(),
         "op13_debruijn_dedup": debruijn.oracle(),

@@ -16,7 +16,7 @@ def _plain(value):
 @pytest.mark.parametrize("name", registry.oracle_sql())
 def test_rows_match_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings"):
         duck.execute(f"create view {table} as select * from '{SAMPLE}/{table}.parquet'")
     result = duck.execute(registry.oracle_sql()[name])
     columns = [d[0] for d in result.description]
