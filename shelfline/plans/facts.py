@@ -97,11 +97,11 @@ def daily_sales(
 
 
 def _sundays(date_dim: DataFrame) -> DataFrame:
-    """(week, year, first Sunday, how many Sundays): a calendar year's last days may share the number of its first week."""
-    return (
-        date_dim.filter("day_of_wk_num = 0")
-        .groupBy(F.col("wk_num").alias("sold_wk_num"), F.col("yr_num").alias("sold_yr_num"))
-        .agg(F.min("d_date_sk").alias("sunday_sk"), F.count("*").alias("sundays"))
+    """The Sundays of each (week, year): none, one, or several where a calendar year's last days share a number with its first."""
+    return date_dim.filter("day_of_wk_num = 0").select(
+        F.col("wk_num").alias("sold_wk_num"),
+        F.col("yr_num").alias("sold_yr_num"),
+        F.col("d_date_sk").alias("sunday_sk"),
     )
 
 
@@ -230,6 +230,16 @@ def weekly_sales_inventory(
             .filter(~lost)
         )
 
+    # One row a group, with its first Sunday and their number. The groups stay where they are: no shuffle.
+    joined = joined.groupBy(*MART_KEY).agg(
+        F.min("sunday_sk").alias("sunday_sk"),
+        F.count("*").alias("sundays"),
+        *[
+            F.any_value(c).alias(c)
+            for c in ("qty", "stock", "stock_rows", *LIMBS.names("amt"), *LIMBS.names("profit"))
+        ],
+    )
+
     # A row joined to several Sundays, or to several stock rows, counts that often.
     copies, sundays = F.lit(1), F.lit(1)
     if fanout == "reference":
