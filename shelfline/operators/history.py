@@ -128,7 +128,9 @@ def _merge_reference(
         [(compared(c) != F.col(f"{end}_{c}")) for c in others for end in ("least", "most")],
     )
     versions = snapshot.unionByName(_opened(added, columns, stamp))
-    met = versions.join(extremes, F.col(key) == F.col("r_key"), "left")
+    # Joined on the packed key, the extremes are shuffled once more, one row a key. Without that the join would stand on the
+    # aggregation's own shuffle, and adaptive execution could not split a key with very many versions.
+    met = versions.join(extremes, F.struct(key) == F.struct(F.col("r_key").alias(key)), "left")
     # A comparison with a null, or with no source row at all, closes nothing.
     outdated = F.coalesce(differs, F.lit(False))
     return met.select(

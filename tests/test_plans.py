@@ -220,13 +220,13 @@ def test_closed_history_takes_no_part_in_the_null_safe_merge(spark, conf, hot_ve
     assert shuffles(plan_of(merged)) == 6
 
 
-def test_the_reference_merge_needs_four_exchanges_and_no_second_branch(spark, conf, hot_versions):
+def test_the_reference_merge_needs_five_exchanges_and_no_second_branch(spark, conf, hot_versions):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     conf("spark.sql.adaptive.enabled", "false")
     customers = written(SampleRetail(spark, SAMPLE).customer)
     plan = plan_of(dimensions.customer_scd2(hot_versions, customers, "2002-01-01", "reference"))
-    # Known rows, the source's rows, all versions by key, and one row of extremes for each key.
-    assert shuffles(plan) == 4 and plan.count("SortMergeJoin") == 2
+    # Known rows, the source's rows, all versions by key, and the extremes: source rows by key, then a row for each key.
+    assert shuffles(plan) == 5 and plan.count("SortMergeJoin") == 2
 
 
 def test_versions_meet_one_row_however_often_the_source_repeats_their_key(spark, conf):
