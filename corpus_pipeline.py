@@ -43,7 +43,7 @@ STAGES = [
     ("encode", encode),
 ]
 
-#: The mix and the token ids follow from keyed hashes and a vocabulary file. tests/llm tests each stage by itself on small tables, no test the stages in a row.
+#: The mix and the token ids follow from keyed hashes and a vocabulary file. tests/llm tests each stage by itself and the stages in a row.
 ORACLE_SQL = None
 
 
