@@ -1,5 +1,5 @@
 from shelfline.operators.bitmaps import distinct_counts, distinct_state, merged_states
-from shelfline.operators.history import scd2_merge, versions_at
+from shelfline.operators.history import scd2_merge, scd2_merge_in_place, versions_at
 from shelfline.operators.quality import (
     copy_dimension,
     distinct_rows,
@@ -34,5 +34,6 @@ __all__ = [
     "rows_from",
     "rows_kept",
     "scd2_merge",
+    "scd2_merge_in_place",
     "versions_at",
 ]

@@ -138,6 +138,36 @@ def _merge_reference(
     )
 
 
+def scd2_merge_in_place(
+    versions: DataFrame,
+    source: DataFrame,
+    key: str,
+    columns: Sequence[str],
+    as_of: Column | str | None = None,
+) -> DataFrame:
+    """The ``null_safe`` merge of open ``versions`` with a source that has one row a key.
+
+    It meets both sides on the key alone and sums by nothing else, so tables bucketed by the key are merged without a
+    shuffle, and each version meets one row. A source with a key twice, or without one, fails the run.
+    """
+    stamp = as_of_column(as_of)
+    packed = F.struct(*columns).alias("row")
+    one = source.groupBy(F.col(key).alias("s_key")).agg(F.any_value(packed).alias("s_row"), F.count("*").alias("n"))
+    fault = F.raise_error(F.format_string(f"source key {key} = %s: %d rows, one expected", F.col("s_key"), F.col("n")))
+    sound = (F.col("n") == 1) & F.col("s_key").isNotNull()
+    one = one.select("s_key", F.when(sound, F.col("s_row")).otherwise(fault).alias("s_row"))
+
+    current = versions.filter("end_date is null").select(packed, "start_date", F.col(key).alias("v_key"))
+    met = current.join(one, F.col("v_key") == F.col("s_key"), "left")
+    same = F.col("row").eqNullSafe(F.col("s_row"))
+    kept = met.select("row.*", "start_date", F.when(F.col("s_key").isNotNull() & ~same, stamp).alias("end_date"))
+
+    # Found by a sum rather than a filter, which would make the rows themselves join keys and move them.
+    known = met.groupBy("v_key").agg(F.bool_or(F.col("s_key").isNotNull() & same).alias("hit")).filter("hit")
+    added = one.join(known, F.col("s_key") == F.col("v_key"), "left_anti").select("s_row.*")
+    return kept.unionByName(_opened(added, columns, stamp))
+
+
 def versions_at(history: DataFrame, moment: Column | str) -> DataFrame:
     """The versions that were valid at a moment: begun by then and not yet closed."""
     at = as_of_column(moment)

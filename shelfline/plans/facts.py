@@ -153,69 +153,45 @@ def _stock_by_week(inventory: DataFrame, date_dim: DataFrame) -> DataFrame:
     )
 
 
-def weekly_sales_inventory(
-    daily: DataFrame,
-    inventory: DataFrame,
-    date_dim: DataFrame,
-    target: DataFrame | None = None,
-    watermark: Watermark = "weekly",
-    fanout: Fanout = "reference",
-    mark: Column | int | None = None,
-    first_day: Column | int | None = None,
-    dropped: Observation | None = None,
-) -> DataFrame:
-    """Weekly sales joined to the week's stock, with supply ratio and low-stock flag.
+def _sold_sums() -> list[Column]:
+    return [
+        F.min("first_sold_sk").alias("first_sold_sk"),
+        F.sum("qty").alias("qty"),
+        *LIMBS.sums("amt"),
+        *LIMBS.sums("profit"),
+        F.count("first_sold_sk").alias("daily_rows"),
+    ]
 
-    ``fanout='reference'`` counts a week's sales once per stock row of the week,
-    which is what joining the two tables row by row gives; here the sales are
-    multiplied by the number of stock rows instead, and the repeated rows never
-    exist. ``fanout='safe'`` counts sales once.
 
-    Sales and stock meet on the very key both are summed by, so their left join is
-    one sum over their union: one shuffle, no sort, and no key can be hot. A sale
-    without a warehouse finds no stock, since stock rows have full keys.
+def _stock_sums() -> list[Column]:
+    return [F.sum("stock").alias("stock"), F.count("stock").alias("stock_rows")]
 
-    Groups whose first sale lies before the mark are left out, as are weeks that
-    have no Sunday in ``date_dim``.
 
-    With ``target`` the result is its whole new state. ``watermark`` says whose
-    greatest key is the mark: that of the mart (``weekly``) or that of the daily
-    fact (``daily``, which adds only groups first sold on the last loaded day).
+def sales_sums(daily: DataFrame) -> DataFrame:
+    """Sales of each week, item and warehouse as sums that can be stored: one half of ``weekly_sums``."""
+    return _sales_by_week(daily).groupBy(*MART_KEY).agg(*_sold_sums())
 
-    ``dropped`` counts, while the result is computed, the ``daily_rows`` and ``daily_qty`` of groups
-    whose week has no Sunday.
-    """
-    if mark is None:
-        if target is None:
-            mark = 0
-        elif watermark == "weekly":
-            mark = mark_of(target, WEEKLY_KEY)
-        elif watermark == "daily":
-            mark = mark_of(daily, DAILY_KEY)
-        else:
-            raise ValueError(f"unknown watermark {watermark!r}")
-    if first_day is None and target is not None:
-        first_day = first_day_to_read(date_dim, mark).scalar()
-    if fanout not in ("reference", "safe"):
-        raise ValueError(f"unknown fanout {fanout!r}")
 
-    if first_day is not None:
-        daily = daily.filter(F.col(DAILY_KEY) >= as_mark(first_day))
-        inventory = inventory.filter(F.col("inv_date_sk") >= as_mark(first_day))
-    per_week = (
-        _sales_by_week(daily)
-        .unionByName(_stock_by_week(inventory, date_dim))
-        .groupBy(*MART_KEY)
-        .agg(
-            F.min("first_sold_sk").alias("first_sold_sk"),
-            *[F.sum(c).alias(c) for c in ("qty", "stock")],
-            *LIMBS.sums("amt"),
-            *LIMBS.sums("profit"),
-            F.count("stock").alias("stock_rows"),
-            F.count("first_sold_sk").alias("daily_rows"),
-        )
-        .filter(F.col("first_sold_sk") >= as_mark(mark))
-    )
+def stock_sums(inventory: DataFrame, date_dim: DataFrame) -> DataFrame:
+    """Stock of each week, item and warehouse: the other half."""
+    return _stock_by_week(inventory, date_dim).groupBy(*MART_KEY).agg(*_stock_sums())
+
+
+def weekly_sums(sold: DataFrame, stock: DataFrame) -> DataFrame:
+    """``sales_sums`` with the ``stock_sums`` of their group. Stored in as many buckets by ``MART_KEY``, neither side moves."""
+    met = sold.join(stock, MART_KEY, "left")
+    return met.withColumn("stock_rows", F.coalesce("stock_rows", F.lit(0).cast("bigint")))
+
+
+def weekly_from_sums(
+    per_week: DataFrame,
+    date_dim: DataFrame,
+    fanout: Fanout = "reference",
+    mark: Column | int = 0,
+    dropped: Observation | None = None,
+) -> DataFrame:
+    """The mart's rows from the sums of each week, item and warehouse; the arguments are those of ``weekly_sales_inventory``."""
+    per_week = per_week.filter(F.col("first_sold_sk") >= as_mark(mark))
     if dropped is None:
         joined = per_week.join(_sundays(date_dim), WEEK)
     else:
@@ -259,7 +235,7 @@ def weekly_sales_inventory(
         {"sum_amt_wk": LIMBS.double("amt"), "sum_profit_wk": LIMBS.double("profit")}
     )
     sold, stocked = F.col("sum_qty_wk"), F.col("inv_qty_wk")
-    fresh = conform(
+    return conform(
         measured.withColumns(
             {
                 "avg_qty_dy": exact_ratio(sold, DAYS_IN_WEEK),
@@ -270,6 +246,64 @@ def weekly_sales_inventory(
         ),
         WEEKLY_SALES_INVENTORY,
     )
+
+
+def weekly_sales_inventory(
+    daily: DataFrame,
+    inventory: DataFrame,
+    date_dim: DataFrame,
+    target: DataFrame | None = None,
+    watermark: Watermark = "weekly",
+    fanout: Fanout = "reference",
+    mark: Column | int | None = None,
+    first_day: Column | int | None = None,
+    dropped: Observation | None = None,
+) -> DataFrame:
+    """Weekly sales joined to the week's stock, with supply ratio and low-stock flag.
+
+    ``fanout='reference'`` counts a week's sales once per stock row of the week,
+    which is what joining the two tables row by row gives; here the sales are
+    multiplied by the number of stock rows instead, and the repeated rows never
+    exist. ``fanout='safe'`` counts sales once.
+
+    Sales and stock meet on the very key both are summed by, so their left join is
+    one sum over their union: one shuffle, no sort, and no key can be hot. A sale
+    without a warehouse finds no stock, since stock rows have full keys.
+
+    Groups whose first sale lies before the mark are left out, as are weeks that
+    have no Sunday in ``date_dim``.
+
+    With ``target`` the result is its whole new state. ``watermark`` says whose
+    greatest key is the mark: that of the mart (``weekly``) or that of the daily
+    fact (``daily``, which adds only groups first sold on the last loaded day).
+
+    ``dropped`` counts, while the result is computed, the ``daily_rows`` and ``daily_qty`` of groups
+    whose week has no Sunday.
+    """
+    if mark is None:
+        if target is None:
+            mark = 0
+        elif watermark == "weekly":
+            mark = mark_of(target, WEEKLY_KEY)
+        elif watermark == "daily":
+            mark = mark_of(daily, DAILY_KEY)
+        else:
+            raise ValueError(f"unknown watermark {watermark!r}")
+    if first_day is None and target is not None:
+        first_day = first_day_to_read(date_dim, mark).scalar()
+    if fanout not in ("reference", "safe"):
+        raise ValueError(f"unknown fanout {fanout!r}")
+
+    if first_day is not None:
+        daily = daily.filter(F.col(DAILY_KEY) >= as_mark(first_day))
+        inventory = inventory.filter(F.col("inv_date_sk") >= as_mark(first_day))
+    per_week = (
+        _sales_by_week(daily)
+        .unionByName(_stock_by_week(inventory, date_dim))
+        .groupBy(*MART_KEY)
+        .agg(*_sold_sums(), *_stock_sums())
+    )
+    fresh = weekly_from_sums(per_week, date_dim, fanout, mark, dropped)
     if target is None:
         return fresh
     return rows_kept(target, WEEKLY_KEY, mark).unionByName(fresh)

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -140,6 +140,7 @@ class TableStore:
         gone = {f for m in dropped for f in _folders(json.loads(self._text(table, _MANIFESTS, m)))} - live
         # A data folder without any live part goes as a whole.
         for folder in {f if f.split("/")[0] in roots else f.split("/")[0] for f in gone}:
+            self.spark.sql(f"drop table if exists `{_catalog_name(folder.split('/')[0])}`")
             self._delete(table, folder)
         for name in dropped:
             self._delete(table, _MANIFESTS, name)
@@ -171,6 +172,8 @@ class TableStore:
         schema = T.StructType.fromJson(json.loads(manifest["schema"]))
         if not folders:
             return self.spark.createDataFrame([], schema)
+        if "buckets" in manifest:
+            return self._bucketed(table, manifest)
         paths = [f"{self.root}/{table}/{folder}" for folder in folders]
         return self.spark.read.schema(schema).parquet(*paths)
 
@@ -184,6 +187,35 @@ class TableStore:
         self._publish(table, {"folder": folder, "schema": df.schema.json()}, keep)
         return self.read(table)
 
+    def replace_bucketed(self, table: str, df: DataFrame, keys: Sequence[str], buckets: int, keep: int = 2) -> DataFrame:
+        """As ``replace``, with the rows dealt to ``buckets`` files by ``keys`` and sorted by them within.
+
+        Sums by these keys, or more, and joins on exactly these keys with a table of as many buckets stay where the rows are.
+        All rows of one key share a file, so take keys that few rows share, and buckets that fit a task.
+        """
+        folder = f"data-{uuid.uuid4().hex}"
+        name = _catalog_name(folder)
+        (
+            df.repartition(buckets, *keys)
+            .write.bucketBy(buckets, *keys).sortBy(*keys).format("parquet")
+            .option("path", f"{self.root}/{table}/{folder}").saveAsTable(name)
+        )
+        manifest = {"folder": folder, "schema": df.schema.json(), "buckets": {"keys": list(keys), "count": buckets}}
+        self._publish(table, manifest, keep)
+        return self.read(table)
+
+    def _bucketed(self, table: str, manifest: dict) -> DataFrame:
+        """Only the catalog can say that files are buckets: a table there stands for the folder, in each session anew."""
+        name, buckets = _catalog_name(manifest["folder"]), manifest["buckets"]
+        schema = T.StructType.fromJson(json.loads(manifest["schema"]))
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        keys = ", ".join(f"`{k}`" for k in buckets["keys"])
+        self.spark.sql(
+            f"create table if not exists `{name}` ({columns}) using parquet clustered by ({keys}) "
+            f"sorted by ({keys}) into {buckets['count']} buckets location '{self.root}/{table}/{manifest['folder']}'"
+        )
+        return self.spark.table(name)
+
     def truncate(self, table: str) -> DataFrame:
         """Publish an empty version with the present schema; nothing is read or written but the pointer and a manifest."""
         manifest = self._required(table)
@@ -287,15 +319,17 @@ class TableStore:
         state: DataFrame,
         key: str,
         from_key: int,
-        sort_by: tuple[str, ...] = (),
+        sort_by: tuple[str | Column, ...] = (),
         keep: int = 2,
         before_commit: Callable[[], None] | None = None,
+        row_group: int | None = None,
     ) -> None:
         """Make the partitions with ``key >= from_key`` equal to those rows of ``state``.
 
         Rows of ``state`` below ``from_key`` are ignored, and it may read the table it goes to. Rows are gathered by key
         before writing, with large keys split and small ones packed together, so each partition gets a few well-sized files.
-        ``before_commit`` runs between the write and the commit; if it raises, the table stays as it was.
+        Sorted by ``functions.clustering.interleaved``, a file serves filters on each of several columns; ``row_group`` is
+        then the bytes of what a reader can skip. ``before_commit`` runs between the write and the commit; if it raises, the table stays as it was.
         """
         folder = f"data-{uuid.uuid4().hex}"
         rows = state.filter(F.col(key) >= from_key).hint("rebalance", key)
@@ -303,6 +337,7 @@ class TableStore:
             rows.sortWithinPartitions(key, *sort_by)
             .withColumn(_PART, F.col(key))
             .write.partitionBy(_PART)
+            .options(**({"parquet.block.size": row_group} if row_group else {}))
             .parquet(f"{self.root}/{table}/{folder}")
         )
         if before_commit is not None:
@@ -321,6 +356,10 @@ def _folders(manifest: dict) -> list[str]:
     return whole + manifest.get("closed", []) + parts
 
 
+def _catalog_name(folder: str) -> str:
+    return f"shelfline_{folder.replace('-', '_')}"
+
+
 def _by_key(part: tuple[str, str]) -> int:
     return int(part[0])
 

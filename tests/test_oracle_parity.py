@@ -7,7 +7,7 @@ import __spark_entry__ as registered
 from tests.conftest import SAMPLE
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
-# The training-data queries that have SQL are compared with it in tests/llm/test_sql.py; op8 has no test.
+# The training-data queries that have SQL are compared with it in tests/llm.
 QUERIES = {name: q for name, q in registered.queries().items() if name in registered._BUILDERS}
 EXPECTED = {name: sql for name, sql in registered.oracle_sql().items() if name in QUERIES}
 TYPES = {
