@@ -156,10 +156,12 @@ def _linked_in_blocks(apart: DataFrame, others: DataFrame, classes: DataFrame, d
     count = count.select("band", blocks.chunks("n_left").alias("lefts"), blocks.chunks("n_right").alias("rights"))
     both = apart.select("band", "doc_id", "label", F.lit(0).alias("side")).unionByName(others.select("band", "doc_id", "label", F.lit(1).alias("side")))
     both = both.join(count, "band").withColumn("own", blocks.chunk("doc_id", F.when(side == 0, F.col("lefts")).otherwise(F.col("rights"))))
+    # Sketches are fetched once a member, before it is copied for the chunks that it meets: copies are shuffled once, not twice.
+    both = both.join(classes.select("doc_id", "n", "sketch"), "doc_id")
     both = both.withColumn("with", F.explode(F.sequence(F.lit(0), F.when(side == 0, F.col("rights")).otherwise(F.col("lefts")) - 1)))
     placed = both.select(
         "band", F.when(side == 0, F.col("own")).otherwise(F.col("with")).alias("i"),
-        F.when(side == 0, F.col("with")).otherwise(F.col("own")).alias("j"), "side", "doc_id", "label")
+        F.when(side == 0, F.col("with")).otherwise(F.col("own")).alias("j"), "side", "doc_id", "label", "n", "sketch")
     most, percent = p.most_bits, p.percent
 
     def candidates(group: pd.DataFrame) -> pd.DataFrame:
@@ -185,7 +187,6 @@ def _linked_in_blocks(apart: DataFrame, others: DataFrame, classes: DataFrame, d
         return pd.DataFrame({"a": np.minimum(ids[at], ids[to]), "b": np.maximum(ids[at], ids[to])})
 
     schema = "band bigint, i int, j int, side int, doc_id bigint"
-    placed = placed.join(classes.select("doc_id", "n", "sketch"), "doc_id")
     some = written(blocks.in_groups(placed, keys, candidates, schema))
     sets = written(shingle_sets(docs.select("doc_id", "text").join(some.select("doc_id").distinct(), "doc_id", "left_semi"), p))
     return written(blocks.in_groups(some.join(sets, "doc_id"), keys, verified, "a bigint, b bigint").distinct())
