@@ -1,6 +1,6 @@
 """Metric tables that are kept up to date from stored partial states.
 
-A state table has sums, counts and bitmaps of the web sales by span of days and is partitioned by the span. A run recomputes
+A state table has sums, counts and words of bits of the web sales by span of days and is partitioned by the span. A run recomputes
 the last stored span and the ones after it, from the sales of these days alone, and replaces these partitions; the metric
 tables are finished from the states, which have a row for each day, or for each customer or promotion and span, not for each
 sale. As everywhere here, sales older than the last stored span are not read again.
@@ -16,12 +16,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions import exact_ratio, money, month_label, quarter_label
-from shelfline.operators.bitmaps import BITS, BUCKET, distinct_counts, distinct_state
+from shelfline.operators.bitmaps import BITS, WORD, distinct_counts, distinct_state
 from shelfline.sources.tables import TableStore
 
 #: Days of a span.
 SPAN_DAYS = 32
-DAYS, CUSTOMERS, PROMOTIONS = (f"intermediate/web_{name}" for name in ("days", "customer_values", "promotion_orders"))
+DAYS, CUSTOMERS, PROMOTIONS = (f"intermediate/web_{name}" for name in ("days", "customer_values", "promotion_order_words"))
 _SPAN = "span"
 
 
@@ -54,9 +54,9 @@ def customer_states(web_sales: DataFrame) -> DataFrame:
 
 
 def promotion_states(web_sales: DataFrame) -> DataFrame:
-    """One bitmap of order numbers for each promotion, span and range of numbers."""
+    """One word of order numbers seen for each promotion, span and range of 64 numbers."""
     sales = web_sales.select(_span(), F.col("ws_promo_sk").alias("p_promo_sk"), "ws_order_number")
-    return distinct_state(sales, [_SPAN, "p_promo_sk"], "ws_order_number").select(_SPAN, "p_promo_sk", BUCKET, BITS)
+    return distinct_state(sales, [_SPAN, "p_promo_sk"], "ws_order_number").select(_SPAN, "p_promo_sk", WORD, BITS)
 
 
 _STATES = {DAYS: day_states, CUSTOMERS: customer_states, PROMOTIONS: promotion_states}

@@ -85,6 +85,16 @@ def test_distinct_counts_merge_with_repeats_negatives_and_nulls(spark):
     assert rows(distinct_counts(state, ["g"], "found")) == rows(whole)
 
 
+def test_states_of_scattered_numbers_stay_small(spark):
+    """Numbers far apart, as those of a day are: the rows of a state are no larger than what they count."""
+    df = spark.range(2000).selectExpr("id % 5 as g", "id * 40009 - 1000000 as n")
+    state = distinct_state(df, ["g"], "n")
+    assert state.count() == 2000 and all(f.dataType.typeName() == "long" for f in state.schema)
+    plan = state._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    assert rows(distinct_counts(state, ["g"], "found")) == [(k, 400) for k in range(5)]
+
+
 def test_no_sales(spark, calendar, store):
     sales = sales_of(spark, "double").limit(0)
     kept.refresh_states(store, sales)
