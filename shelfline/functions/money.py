@@ -182,5 +182,10 @@ def _nearest(way: Money, name: str) -> Column:
         return F.when(below, -_rounded(turned)).otherwise(_rounded(digits))
 
     total = _let(F.array(*_carried([F.coalesce(c, F.lit(0)) for c in limbs])), signed)
-    return F.when(beside.isNull(), F.when(limbs[0].isNotNull(), total)).otherwise(total + beside)
+    total = F.when(beside.isNull(), F.when(limbs[0].isNotNull(), total)).otherwise(total + beside)
+    # What lies in the second and third limb alone, as dyadic amounts of ordinary size do, is one integer, and its cast rounds once, too.
+    high, low = limbs[1], limbs[2]
+    ordinary = beside.isNull() & (limbs[0] == 0) & (limbs[3] == 0) & (limbs[4] == 0)
+    ordinary &= high.between(-(2**31), 2**31) & low.between(-(2**61), 2**61)
+    return F.when(ordinary, (high * (1 << _WIDTH) + low).cast("double") * F.lit(2.0 ** _UNITS[2])).otherwise(total)
 

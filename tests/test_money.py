@@ -50,6 +50,20 @@ def test_sums_of_doubles_are_the_nearest_to_the_exact_sum(spark, levels):
     assert summed(spark, groups, levels) == {g: math.fsum(v) for g, v in groups.items()}
 
 
+def test_totals_that_are_one_integer_round_as_the_digits_do(spark):
+    """Quarters and the like lie in two limbs; beyond 53 bits, or with bits elsewhere, a total is still the nearest double."""
+    rng = random.Random(11)
+    groups = {g: [rng.choice([-1, 1]) * rng.randrange(4**k) / 4 for _ in range(40)] for g, k in enumerate([1, 5, 9, 13, 16, 17, 18] * 4)}
+    edge = 2.0**34
+    groups |= {
+        100: [edge, 2.0**-27], 101: [-edge, -(2.0**-27)], 102: [2.0**33, 2.0**-27, 2.0**-21], 103: [-(2.0**33), 2.0**-20, -(2.0**-27)],
+        104: [2.0**26 + 2.0**-27, 2.0**26], 105: [1.25, -1.25], 106: [0.25, 2.0**-40], 107: [2.0**40, -(2.0**40), 0.75], 108: [None, -0.5],
+    }
+    exact = {g: math.fsum(x for x in v if x is not None) for g, v in groups.items()}
+    for levels in (1, 2):
+        assert summed(spark, groups, levels) == exact
+
+
 def test_nan_infinity_and_huge_amounts_show_and_stop_nothing(spark):
     inf, nan = math.inf, math.nan
     found = summed(spark, {1: [1.0, nan], 2: [1.0, inf], 3: [inf, -inf], 4: [1e300, 2.0], 5: [nan], 6: [0.5]})
