@@ -333,8 +333,13 @@ class TableStore:
         """
         folder = f"data-{uuid.uuid4().hex}"
         rows = state.filter(F.col(key) >= from_key).hint("rebalance", key)
+        # A sort works its expressions out anew for every comparison of rows: as columns they are worked out once a row.
+        named = {f"{_PART}_{n}": c for n, c in enumerate(sort_by) if not isinstance(c, str)}
+        order = [c if isinstance(c, str) else f"{_PART}_{n}" for n, c in enumerate(sort_by)]
         (
-            rows.sortWithinPartitions(key, *sort_by)
+            rows.withColumns(named)
+            .sortWithinPartitions(key, *order)
+            .drop(*named)
             .withColumn(_PART, F.col(key))
             .write.partitionBy(_PART)
             .options(**({"parquet.block.size": row_group} if row_group else {}))

@@ -71,6 +71,19 @@ def test_a_filter_on_either_key_skips_three_quarters_of_a_partition(spark, store
     assert 0 < _rows_scanned(found._jdf.queryExecution().executedPlan()) <= 200_000 / 4
 
 
+def test_a_partition_is_sorted_by_columns_not_by_expressions(spark, store):
+    """An expression in a sort is worked out for every comparison of two rows: the longer the partition, the more of them."""
+    week = spark.range(3000).selectExpr("id % 3 as k", "id % 97 as item_sk", "id % 11 as warehouse_sk")
+    keys = clustering.interleaved(clustering.edges(week, ["item_sk", "warehouse_sk"]))
+    store.refresh_partitions("raw/z", week, "k", 0, (keys, "item_sk"))
+    done = spark._jsparkSession.sharedState().statusStore().executionsList()
+    plan = done.apply(done.size() - 1).physicalPlanDescription()
+    sorts = [d.split("\n\n")[0] for d in plan.split("\n(") if " Sort" in d.split("\n")[0]]
+    assert sorts and not any("lambda" in s for s in sorts)
+    stored = store.read("raw/z")
+    assert stored.columns == week.columns and rows(stored) == rows(week)
+
+
 # Buckets.
 
 
