@@ -48,6 +48,15 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def buckets_for(*sources: DataFrame, each: int = 8 << 20, least: int = 8) -> int:
+    """Buckets for what is made of ``sources``: one for every ``each`` bytes of the files these read, so that a bucket stays as large as it is."""
+    spark, total = sources[0].sparkSession, 0
+    for file in {f for df in sources for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(file)
+        total += path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).getLen()
+    return max(least, -(-total // each))
+
+
 class TableStore:
     """Tables below one root folder, addressed as ``layer/name``.
 
@@ -191,7 +200,7 @@ class TableStore:
         """As ``replace``, with the rows dealt to ``buckets`` files by ``keys`` and sorted by them within.
 
         Sums by these keys, or more, and joins on exactly these keys with a table of as many buckets stay where the rows are.
-        All rows of one key share a file, so take keys that few rows share, and buckets that fit a task.
+        All rows of one key share a file, so take keys that few rows share, and buckets that fit a task: as many as ``buckets_for`` says.
         """
         folder = f"data-{uuid.uuid4().hex}"
         name = _catalog_name(folder)

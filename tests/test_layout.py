@@ -11,7 +11,7 @@ from shelfline.functions import clustering
 from shelfline.operators.history import scd2_merge, scd2_merge_in_place
 from shelfline.plans import facts, pipeline
 from shelfline.sources.sample_retail import SampleRetail
-from shelfline.sources.tables import TableStore, written
+from shelfline.sources.tables import TableStore, buckets_for, written
 from tests.conftest import SAMPLE, rows
 from tests.test_plans import _rows_scanned, conf, plan_of, shuffles  # noqa: F401
 
@@ -87,6 +87,17 @@ def test_a_partition_is_sorted_by_columns_not_by_expressions(spark, store):
 # Buckets.
 
 
+def test_buckets_grow_with_the_files_read(spark, tmp_path):
+    for name, n in (("one", 1), ("four", 4)):
+        spark.range(0, 200_000 * n, 1, n).write.parquet(str(tmp_path / name))
+    one, four = (spark.read.parquet(str(tmp_path / name)) for name in ("one", "four"))
+    size = sum(f.stat().st_size for f in (tmp_path / "one").glob("*.parquet"))
+    assert buckets_for(one) == 8 and buckets_for(one, each=size, least=1) == 1
+    assert 3 <= buckets_for(four, each=size, least=1) <= 5
+    assert buckets_for(one, four, four.filter("id > 5"), each=size, least=1) == buckets_for(four, each=size, least=1) + 1
+    assert buckets_for(spark.range(0)) == 8
+
+
 def test_a_bucketed_table_is_read_whole_by_version_and_in_a_new_store(spark, store):
     df = spark.range(1000).select((F.col("id") % 97).alias("k"), F.col("id").cast("string").alias("v"))
     store.replace_bucketed("raw/b", df.filter("k < 50"), ["k"], 4)
