@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 SIZE = 256
 
 
-def chunks(n: str | Column) -> Column:
-    """Into how many chunks n members go."""
-    return F.ceil((F.col(n) if isinstance(n, str) else n) / SIZE).cast("int")
+def chunks(n: str | Column, size: int | None = None) -> Column:
+    """Into how many chunks (of `SIZE`, or of another size) n members go."""
+    return F.ceil((F.col(n) if isinstance(n, str) else n) / (size or SIZE)).cast("int")
 
 
 def chunk(member: str, count: Column) -> Column:

@@ -2,8 +2,8 @@
 
 A document's set is its distinct word shingles as 64-bit hashes. Documents with equal sets form a
 class that goes on as its smallest id. Bands of MinHash samples bring classes that are alike into
-buckets; there each is compared with the bucket's smallest id, and those that this does not join to
-its component also with the others. Odd sketches (the samples folded into a parity bitmap, whose
+buckets; there each is compared with the bucket's smallest id, and then those that are not of the
+component most of the bucket belongs to with all that are of another. Odd sketches (the samples folded into a parity bitmap, whose
 XOR has a population count that tells the similarity) drop pairs that are far from the threshold;
 the others are decided on the full sets.
 
@@ -54,6 +54,10 @@ class Params:
         return int(self.sketch_bits / 2 * (1 - (1 - 2 / self.sketch_bits) ** differing))
 
 
+#: As many blocks a side meet in one group while sketches are compared: these are small, so members travel less often.
+MEETING = 8
+#: More blocks than a chunk of members has: chunks are dealt by hashes, so their sizes vary.
+_PARTS = 1024
 #: For the query's contract: three words, 0.85.
 CONTRACT = Params(shingle=3, percent=85, bands=32, rows=6)
 
@@ -145,36 +149,49 @@ def _linked(pairs: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
     )
 
 
-def _linked_in_blocks(apart: DataFrame, others: DataFrame, classes: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
-    """Links (a, b) that join all of `apart` (band, doc_id, label) and `others` of a band that are similar enough.
+def _linked_in_blocks(members: DataFrame, classes: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
+    """Links (a, b) that join members (band, doc_id, label, apart) of a band with those apart that are similar enough and of another label.
 
-    Each chunk of the one meets each of the other in one group: sketches tell which members have a
-    candidate of another label there, and only these bring their full sets.
+    Each chunk of those apart meets each of all members in one group: sketches tell which members have a
+    candidate there, and only these bring their full sets, in blocks. A pair that shares several bands
+    counts in the first of them alone.
     """
     keys, side = ["band", "i", "j"], F.col("side")
-    count = apart.groupBy("band").agg(F.count("*").alias("n_left")).join(others.groupBy("band").agg(F.count("*").alias("n_right")), "band")
-    count = count.select("band", blocks.chunks("n_left").alias("lefts"), blocks.chunks("n_right").alias("rights"))
-    both = apart.select("band", "doc_id", "label", F.lit(0).alias("side")).unionByName(others.select("band", "doc_id", "label", F.lit(1).alias("side")))
+    wide = MEETING * blocks.SIZE
+    count = members.groupBy("band").agg(
+        blocks.chunks(F.count_if("apart"), wide).alias("lefts"), blocks.chunks(F.count("*"), wide).alias("rights"))
+    both = members.filter("apart").withColumn("side", F.lit(0)).unionByName(members.withColumn("side", F.lit(1)))
     both = both.join(count, "band").withColumn("own", blocks.chunk("doc_id", F.when(side == 0, F.col("lefts")).otherwise(F.col("rights"))))
     # Sketches are fetched once a member, before it is copied for the chunks that it meets: copies are shuffled once, not twice.
-    both = both.join(classes.select("doc_id", "n", "sketch"), "doc_id")
+    both = both.join(classes.select("doc_id", "n", "sketch", "bands"), "doc_id")
     both = both.withColumn("with", F.explode(F.sequence(F.lit(0), F.when(side == 0, F.col("rights")).otherwise(F.col("lefts")) - 1)))
     placed = both.select(
         "band", F.when(side == 0, F.col("own")).otherwise(F.col("with")).alias("i"),
-        F.when(side == 0, F.col("with")).otherwise(F.col("own")).alias("j"), "side", "doc_id", "label", "n", "sketch")
-    most, percent = p.most_bits, p.percent
+        F.when(side == 0, F.col("with")).otherwise(F.col("own")).alias("j"), "side", "doc_id", "label", "apart", "n", "sketch", "bands")
+    most, percent, size = p.most_bits, p.percent, blocks.SIZE
 
     def candidates(group: pd.DataFrame) -> pd.DataFrame:
-        left, right = group[group["side"] == 0], group[group["side"] == 1]
-        if not len(left) or not len(right):
-            return group.iloc[:0][[*keys, "side", "doc_id"]]
+        band, i, j = (int(group[k].iloc[0]) for k in keys)
+        of, apart, label, n = (group[c].to_numpy() for c in ("doc_id", "apart", "label", "n"))
         # Unsigned: of a negative number, the bits of its absolute value would be counted.
-        x, y = (np.stack(s["sketch"].to_list()).view(np.uint64) for s in (left, right))
-        n, m = left["n"].to_numpy()[:, None], right["n"].to_numpy()
-        near = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
-        near &= left["label"].to_numpy()[:, None] != right["label"].to_numpy()
-        near &= np.bitwise_count(x[:, None] ^ y).sum(axis=2, dtype=np.int64) <= most
-        return pd.concat([left[near.any(axis=1)], right[near.any(axis=0)]])[[*keys, "side", "doc_id"]]
+        sketch, bands = np.stack(group["sketch"].to_list()).view(np.uint64), np.stack(group["bands"].to_list())
+        found, (left, right) = [], (np.flatnonzero(group["side"].to_numpy() == s) for s in (0, 1))
+        for low in range(0, len(left), size):
+            for start in range(0, len(right), size):
+                x, y = left[low : low + size, None], right[start : start + size]
+                near = 100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])
+                # Two that are apart meet twice.
+                near &= (label[x] != label[y]) & (~apart[y] | (of[x] < of[y]))
+                x = x[near.any(axis=1), 0]
+                near = near[near.any(axis=1)]
+                near &= np.bitwise_count(sketch[x, None] ^ sketch[y]).sum(axis=2, dtype=np.int64) <= most
+                one, two = (at[k] for at, k in zip((x, y), np.nonzero(near), strict=True))
+                first = (bands[one] == bands[two]).argmax(axis=1)
+                here = bands[one, first] == band
+                for s, of_side in enumerate((one, two)):
+                    ids = of[np.unique(of_side[here])]
+                    found.append(pd.DataFrame({"band": band, "i": i * _PARTS + low // size, "j": j * _PARTS + start // size, "side": s, "doc_id": ids}))
+        return pd.concat(found) if found else pd.DataFrame({c: [] for c in [*keys, "side", "doc_id"]})
 
     def verified(group: pd.DataFrame) -> pd.DataFrame:
         left, right = group[group["side"] == 0], group[group["side"] == 1]
@@ -210,20 +227,16 @@ def groups(docs: DataFrame, p: Params = Params()) -> DataFrame:
     stars = stars.join(_side(classes, "a"), "a").join(_side(classes, "b"), "b").filter(_alike(p)).select("a", "b")
     links = _linked(stars, docs, p)
 
-    # Members of a bucket that the first links did not bring into the component of its pivot.
-    labels = components(links)
-    of = labels.select(F.col("id").alias("doc_id"), "component")
-    pivots = labels.select(F.col("id").alias("pivot"), F.col("component").alias("of_pivot"))
-    labelled = written(
-        placed.join(of, "doc_id", "left").join(pivots, "pivot", "left")
-        .select("band", "doc_id", "pivot", F.coalesce("component", "doc_id").alias("label"),
-                F.coalesce("of_pivot", "pivot").alias("of_pivot"))
-    )
-    apart = labelled.filter("label <> of_pivot")
-    # Wherever one member is apart, all others of the bucket may still link with it.
-    open_bands = apart.groupBy("band").agg(F.count("*").alias("open")).select("band")
-    others = labelled.filter("doc_id <> pivot").join(open_bands, "band", "left_semi")
-    more = _linked_in_blocks(apart, others, classes, docs, p)
+    # Buckets with members of several components: those outside the bucket's commonest one may still link with all others.
+    # The pivot has been compared with each.
+    of = components(links).select(F.col("id").alias("doc_id"), "component")
+    labelled = written(placed.filter("doc_id <> pivot").join(of, "doc_id", "left").select("band", "doc_id", F.coalesce("component", "doc_id").alias("label")))
+    mixed = labelled.groupBy("band").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least < most").select("band")
+    crowd = labelled.join(mixed, "band", "left_semi")
+    sizes = crowd.groupBy("band", "label").agg(F.count("*").alias("size"))
+    home = sizes.groupBy("band").agg(F.max_by("label", F.struct("size", "label")).alias("home"))
+    members = written(crowd.join(home, "band").select("band", "doc_id", "label", (F.col("label") != F.col("home")).alias("apart")))
+    more = _linked_in_blocks(members, classes, docs, p)
 
     shared = named.groupBy("doc_id").agg(F.count("*").alias("rows")).filter("rows > 1")
     leaders = classes.select("print", F.col("doc_id").alias("leader"))

@@ -51,3 +51,28 @@ def test_components_equal_brute_force(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert minhash.groups(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_members_of_a_crowded_bucket_travel_in_step_with_their_number(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "SIZE", 8)
+    made, in_groups = [], blocks.in_groups
+    monkeypatch.setattr(blocks, "in_groups", lambda rows, *more: made.append(rows.count()) or in_groups(rows, *more))
+
+    def rows_made(n):
+        rng = random.Random(5)
+        base = [f"w{k}" for k in range(200)]
+        texts = []
+        for k in range(n):  # pairs lie just below the threshold
+            words = list(base)
+            for _ in range(6):
+                words[rng.randrange(len(words))] = f"x{k}_{rng.randrange(10**6)}"
+            texts.append(" ".join(words))
+        df = spark.createDataFrame([(k, t, "x", None) for k, t in enumerate(texts)], SCHEMA)
+        made.clear()
+        found = {r["doc_id"]: r["component_id"] for r in minhash.groups(df, minhash.CONTRACT).collect()}
+        assert [found[k] for k in range(n)] == expected(texts)[1]
+        return sum(made)
+
+    few, many = rows_made(40), rows_made(80)
+    print("rows", few, many)
+    assert many <= 3 * few
