@@ -39,6 +39,8 @@ LENGTH, GRAM, BATCHES = 100, 32, 4
 #: Bytes of text behind a bucket of a family: its arrays have about half as many.
 BUCKET = 64 << 20
 PRINT, ENTRY = ["fp1", "fp2"], ["gram", "fp"]
+#: Bytes of texts that are hashed together: what that takes stays in the cache.
+SLICE = 1 << 18
 #: Bits of a place for the byte in its text: a text has less than 2^30 bytes, and there are fewer than 2^33 documents.
 BITS = 30
 
@@ -80,6 +82,14 @@ def anchors(grams: np.ndarray, width: int) -> np.ndarray:
     return (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
+def _whole(grams: np.ndarray, at: np.ndarray, length: int, gram: int) -> np.ndarray:
+    """A 64-bit hash of the string of `length` bytes at each place, from those of the grams that cover it."""
+    out = grams[at]
+    for offset in [*range(gram, length - gram, gram), length - gram]:
+        out = _mixed(out * np.uint64(0xC2B2AE3D27D4EB4F) + grams[at + offset])
+    return out
+
+
 def blocks(data: np.ndarray, edges: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
     """Of each block of the texts between the edges: its text's number, its gram's hash, its fingerprint, the start of its first string, and how many strings it has."""
     if len(data) < length:
@@ -95,8 +105,8 @@ def blocks(data: np.ndarray, edges: np.ndarray, length: int, gram: int) -> tuple
     first = np.flatnonzero(fresh)
     ends = np.flatnonzero(~whole)
     last = np.minimum(np.append(first[1:], len(anchor)), ends[np.searchsorted(ends, first)]) - 1
-    w = string_hashes(data, length, 2)
-    fp = _mixed(_mixed(w[first] + (last - first).astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93) + w[last])
+    front, back = (_whole(grams, at, length, gram) for at in (first, last))
+    fp = _mixed(_mixed(front + (last - first).astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93) + back)
     text = np.searchsorted(edges, first, "right") - 1
     return text, grams[anchor[first]].view(np.int64), fp.view(np.int64), first - edges[text], last - first + 1
 
@@ -115,7 +125,7 @@ def entries(rows: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             no = batch["no"].to_numpy()
-            for low, _, data, edges in slices(batch):
+            for low, _, data, edges in slices(batch, size=SLICE):
                 text, key, fp, start, n = blocks(data, edges, length, gram)
                 if len(text):
                     yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp), _places(no[low + text], start), pa.array(n, pa.int32())], [*ENTRY, "place", "n"])
@@ -160,24 +170,43 @@ class Family:
         """Index a batch that comes after all that are indexed, and keep what it repeats."""
         own = entries(rows, self.length, self.gram)
         array = self._stored(_firsts(own, ENTRY, F.any_value("n").alias("n")))
-        new, again = array, array.filter("times > 1").withColumn("known", F.lit(False))
+        new, again, done = array, array.filter("times > 1").withColumn("known", F.lit(False)), []
         if self.levels:
             # Levels have no content in common, so a block is met by one of them at most.
             known = self._stored(self._met(array))
-            new = self._stored(array.join(known.select(*ENTRY), ENTRY, "left_anti"))
+            new, done = array.join(known.select(*ENTRY), ENTRY, "left_anti"), [array, known]
             again = new.filter("times > 1").withColumn("known", F.lit(False)).unionByName(known.withColumn("known", F.lit(True)))
         later = own.join(again.select(*ENTRY, "first", "known"), ENTRY).filter("known or place <> first")
         self.covered.append(written(later.select("place", (F.col("n") - 1 + self.length).alias("bytes"))))
-        if self.levels:
-            remove(array)
-            remove(known)
-        self.levels.append((1, new))
-        while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
-            (n, a), (m, b) = self.levels.pop(), self.levels.pop()
-            self.levels.append((n + m, self._stored(a.unionByName(b))))
+        # A merge that makes the next one due is not written by itself: all levels concerned go into the last one at once.
+        batches = 1
+        while self.levels and self.levels[-1][0] == batches:
+            n, level = self.levels.pop()
+            new, batches = new.unionByName(level), batches + n
+            done.append(level)
             self.merges += 1
-            remove(a)
-            remove(b)
+        self.levels.append((batches, self._stored(new) if done else new))
+        for step in done:
+            remove(step)
+
+
+def _runs(starts: np.ndarray, ns: np.ndarray) -> np.ndarray:
+    """All numbers of runs that start at `starts` and are `ns` long."""
+    return np.repeat(starts - np.cumsum(ns) + ns, ns) + np.arange(ns.sum())
+
+
+def _hashed(data: np.ndarray, starts: np.ndarray, ns: np.ndarray, length: int) -> list[np.ndarray]:
+    """Two hashes of each of the `ns` strings from each start on. Only bytes of these are hashed, about `SLICE` at a time."""
+    sizes, found, low = ns + length - 1, ([], []), 0
+    filled = np.append(0, np.cumsum(sizes))
+    while low < len(starts):
+        high = max(low + 1, int(np.searchsorted(filled, filled[low] + SLICE, "right")) - 1)
+        some = data[_runs(starts[low:high], sizes[low:high])]
+        at = _runs(filled[low:high] - filled[low], ns[low:high])
+        for out, seed in zip(found, (2, 3), strict=True):
+            out.append(string_hashes(some, length, seed)[at])
+        low = high
+    return [np.concatenate(out) for out in found]
 
 
 def _strings(rows: DataFrame, parts: DataFrame, length: int) -> DataFrame:
@@ -196,14 +225,14 @@ def _strings(rows: DataFrame, parts: DataFrame, length: int) -> DataFrame:
                 own = batch.slice(low, high - low)
                 counts = np.array([len(x) for x in own["starts"]])
                 starts, ns = (own[c].flatten().to_numpy(zero_copy_only=False).astype(np.int64) for c in ("starts", "ns"))
-                text = np.repeat(np.repeat(np.arange(len(counts)), counts), ns)
-                start = np.repeat(starts, ns) + np.arange(ns.sum()) - np.repeat(np.cumsum(ns) - ns, ns)
-                place = _places(own["no"].to_numpy()[text], start).to_numpy()
-                one, two = (string_hashes(data, length, seed)[start + edges[text]] for seed in (2, 3))
-                order = np.lexsort((place, two, one))
+                of = np.repeat(np.arange(len(counts)), counts)
+                place = _places(np.repeat(own["no"].to_numpy()[of], ns), _runs(starts, ns)).to_numpy()
+                one, two = _hashed(data, starts + edges[of], ns, length)
+                order = np.argsort(one)
                 one, two, place = one[order], two[order], place[order]
+                # Strings that differ in the second hash only may lie between equal ones: these are left to be ranked.
                 head = np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1]))
-                later = place > place[head][np.cumsum(head) - 1]
+                later = place > np.minimum.reduceat(place, np.flatnonzero(head))[np.cumsum(head) - 1]
                 one[later], two[later] = _mixed(place[later].astype(np.uint64)), place[later].astype(np.uint64)
                 yield pa.RecordBatch.from_arrays([pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(place), pa.array(later)], [*PRINT, "place", "later"])
 

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from shelfline.llm import suffixes
@@ -85,3 +86,35 @@ def test_repeated_rows_with_passages_that_blocks_share_in_part(spark):
     got = sorted({(r["doc_id"], r["n_removed"]) for r in suffixes.removed(df).collect()})
     want = brute([(1, one), (2, two)], 100)
     assert got == [(1, 0), (2, want[2][1])] and want[2][1] >= len(shared)
+
+
+def test_blocks_hash_texts_for_their_grams_only(monkeypatch):
+    lengths, hashes = [], suffixes.string_hashes
+    monkeypatch.setattr(suffixes, "string_hashes", lambda data, length, seed: lengths.append(length) or hashes(data, length, seed))
+    data = np.random.default_rng(1).integers(0, 256, 5000, dtype=np.uint8)
+    text, gram, fp, start, n = suffixes.blocks(np.concatenate([data, data]), np.array([0, 5000, 10000]), 100, 32)
+    assert lengths == [32]
+    same = [np.stack([gram, fp, start, n])[:, text == k].tolist() for k in (0, 1)]
+    assert same[0] == same[1] and sum(same[0][3]) == 4901 and len(set(same[0][1])) == len(same[0][1])
+
+
+def test_strings_of_blocks_are_hashed_by_themselves(monkeypatch):
+    monkeypatch.setattr(suffixes, "SLICE", 1000)
+    sizes, hashes = [], suffixes.string_hashes
+    monkeypatch.setattr(suffixes, "string_hashes", lambda data, length, seed: sizes.append(len(data)) or hashes(data, length, seed))
+    data = np.random.default_rng(2).integers(0, 4, 100_000, dtype=np.uint8)
+    starts, ns = np.array([7, 50_000, 90, 99_900]), np.array([60, 1, 2000, 1])
+    found = suffixes._hashed(data, starts, ns, 100)
+    assert sum(sizes) == 2 * sum(n + 99 for n in ns)
+    at = np.concatenate([np.arange(s, s + n) for s, n in zip(starts, ns)])
+    for got, seed in zip(found, (2, 3)):
+        assert (got == hashes(data, 100, seed)[at]).all()
+
+
+def test_merges_that_follow_each_other_are_written_once(spark, monkeypatch):
+    stored, bucketed = [], suffixes.bucketed
+    monkeypatch.setattr(suffixes, "bucketed", lambda df, *more: stored.append(df.columns) or bucketed(df, *more))
+    docs = [(i, t, "x", 1) for i, t in corpus()]
+    family = suffixes.indexed(numbered(spark.createDataFrame(docs, SCHEMA), suffixes.BITS))
+    # Four arrays, what three of them share with levels, the third array's rest, and two merges.
+    assert len(stored) == 10 and family.merges == 3
