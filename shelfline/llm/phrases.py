@@ -9,8 +9,11 @@ phrases may be candidates, all occurrences of what passes are counted, and phras
 
 The filter is what driver and tasks share, `FILTER_BITS` long at every size; more candidates than fit well make it pass more,
 never less. A language is cut into about SHARDS shards at every size, so that the local support is the same, and into more where a shard
-would outgrow BLOCK. With very many shards the local support comes down to 1, where the first pass is the exact count itself
-and more phrases travel; raise `BLOCK` (a task's memory is about ten times that) or `support` with the corpus.
+would outgrow BLOCK. With so many shards that less than SHARE occurrences each are asked for, the local support is 1 and shards
+report in another form, so that what travels stays in proportion to the words: not the phrase and its numbers, but the first
+PREFIX bits of its hash and its occurrences, sorted and compressed to three or four bytes; and the lengths come in two turns, so
+that longer phrases are reported only where the pairs that make them up reached `support` in all shards together. Phrases that
+share these bits are bounded together, which lets through more candidates, never less; the exact count is the same.
 
 Words are runs without blanks, in pieces that end at punctuation or line ends; A-Z are lower-cased. Phrases don't cross
 pieces. All is per language; null is `und`. Null texts are empty; a language without phrases has no rows; texts longer than
@@ -20,7 +23,8 @@ to the more frequent, then to the phrase in byte order. Only text and lang are r
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.llm.scratch import remove, written
+from shelfline.llm.scratch import remove, shuffles_freed, written
 from shelfline.llm.text import ascii_lower
 from shelfline.llm.wordprints import BYTES, flags, hashes, mixed, slices, spans
 
@@ -39,9 +43,16 @@ BLOCK, SHARDS = 24 << 20, 32
 PARTS = 8
 #: Bits of the filter and places of a phrase in it.
 FILTER_BITS, PLACES = 1 << 26, 3
+#: Shards of less than SHARE occurrences of `support` report by hash; lengths from TURN on come in the second turn.
+SHARE, TURN = 3, 3
+#: Bits of a hash and of occurrences in such a report, and about how many bytes of text a part of the hashes stands for.
+PREFIX, TIMES, PART = 40, 24, 8 << 20
 # What ends a piece, and what parts words.
 ENDS, BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
 
+#: Which phrases go on: from their number of words, their hashes and their occurrences in the shard.
+Passes = Callable[[int, np.ndarray, np.ndarray], np.ndarray]
+
 
 class Block:
     """The words of a shard as they follow each other, and the text that holds them one blank apart. It is filled slice by slice."""
@@ -96,8 +107,8 @@ class Block:
         place = np.repeat(low - offsets[:-1], lengths) + np.arange(offsets[-1])
         return pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(self.text[place]))
 
-    def levels(self, passes, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-        """(words, hash, first place, occurrences) of the phrases that `passes(hash, occurrences)` lets through.
+    def levels(self, passes: Passes, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(words, hash, first place, occurrences) of the phrases that `passes(words, hash, occurrences)` lets through.
 
         A phrase is looked at where both phrases of one word less passed that make it up. Places are sorted by hash in
         PARTS parts, one after the other, to hold less at a time.
@@ -124,7 +135,7 @@ class Block:
                 keys, own = keys[order], own[order]
                 first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
                 times = np.diff(np.append(first, len(own)))
-                ok = passes(keys[first], times)
+                ok = passes(size, keys[first], times)
                 good[own[np.repeat(ok, times)]] = True
                 if ok.any():
                     yield size, keys[first[ok]], own[first[ok]].astype(np.int64), times[ok]
@@ -156,11 +167,16 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), ascii_lower(F.coalesce("text", F.lit(""))).alias("text"))
 
 
-def _report(block: Block, lang: str, passes, longest: int, hashed: bool, extra: list[int]) -> Iterator[pa.RecordBatch]:
+def coded(key: np.ndarray, lang: str) -> np.ndarray:
+    """What a filter takes for a phrase: the first PREFIX bits of its hash behind some of its language's."""
+    return (key >> np.uint64(64 - PREFIX)) | np.uint64((zlib.crc32(lang.encode()) & ((1 << (64 - PREFIX)) - 1)) << PREFIX)
+
+
+def _report(block: Block, lang: str, passes: Passes, longest: int, hashed: bool, extra: list[int]) -> Iterator[pa.RecordBatch]:
     for size, key, at, times in block.levels(passes, longest):
         n = len(at)
         columns = [pa.array([lang] * n, pa.string()), block.phrases(at, size), pa.array(times, pa.int64())]
-        columns += [pa.array(key.view(np.int64))] if hashed else []
+        columns += [pa.array(coded(key, lang).view(np.int64))] if hashed else []
         columns += [pa.array(np.full(n, x), pa.int64()) for x in extra]
         names = ["lang", "phrase", "times", *(["key"] if hashed else []), *(["below"] if extra else [])]
         yield pa.RecordBatch.from_arrays(columns, names)
@@ -178,7 +194,7 @@ def _mined(rows: DataFrame, totals: dict[str, int], support: int, longest: int,
             yield pa.RecordBatch.from_pydict(
                 {"lang": pa.array([lang]), "phrase": pa.array([None], pa.string()), "times": pa.array([found.words], pa.int64()), "key": pa.array([0], pa.int64()), "below": pa.array([least - 1], pa.int64())}
             )
-            yield from _report(found, lang, lambda key, times, least=least: times >= least, longest, True, [least - 1])
+            yield from _report(found, lang, lambda _, key, times, least=least: times >= least, longest, True, [least - 1])
 
     return rows.mapInArrow(run, "lang string, phrase string, times bigint, key bigint, below bigint")
 
@@ -189,19 +205,39 @@ def bits(keys: np.ndarray, size: int) -> list[np.ndarray]:
     return [(mixed(keys + np.uint64(k)) % np.uint64(size)).astype(np.int64) for k in range(PLACES)]
 
 
+def _set(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words of 64 bits, and the bits in each, that the hashes set in a filter of `size` bits."""
+    place = np.unique(np.concatenate(bits(keys, size)))
+    first = np.flatnonzero(np.append(True, place[1:] >> 6 != place[:-1] >> 6)) if len(place) else place
+    bit = np.uint64(1) << (place & 63).astype(np.uint64)
+    return place[first] >> 6, np.bitwise_or.reduceat(bit, first).view(np.int64) if len(place) else place
+
+
+def _joined(words: pa.Table, size: int) -> np.ndarray:
+    """The filter of `size` bits whose words are given, of which there are size / 64."""
+    out = np.zeros(size // 64, np.int64)
+    for batch in words.to_batches():
+        out[batch["word"].to_numpy()] = batch["bits"].to_numpy()
+    return out.view(np.uint8)
+
+
 def _filter(candidates: DataFrame, size: int) -> np.ndarray:
-    """The bit filter of the candidates' hashes, made in tasks and joined by words of 64 bits, of which there are size / 64."""
+    """The bit filter of the candidates' hashes, made in tasks and joined by words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            place = np.unique(np.concatenate(bits(batch["key"].to_numpy(), size)))
-            yield pa.RecordBatch.from_arrays([pa.array(place >> 6), pa.array(np.uint64(1) << (place & 63).astype(np.uint64)).view(pa.int64())], ["word", "bit"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in _set(batch["key"].to_numpy(), size)], ["word", "bit"])
 
     words = candidates.select("key").mapInArrow(run, "word bigint, bit bigint").groupBy("word").agg(F.bit_or("bit").alias("bits"))
-    out = np.zeros(size // 64, np.int64)
-    for batch in words.toArrow().to_batches():
-        out[batch["word"].to_numpy()] = batch["bits"].to_numpy()
-    return out.view(np.uint8)
+    return _joined(words.toArrow(), size)
+
+
+def _held(filter_: np.ndarray, size: int, key: np.ndarray, lang: str) -> np.ndarray:
+    """Whether the filter of `size` bits passes the phrases of a language that have these hashes."""
+    ok = np.ones(len(key), bool)
+    for place in bits(coded(key, lang), size):
+        ok &= (filter_[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+    return ok
 
 
 def _counted(rows: DataFrame, filter_, size: int, longest: int, sizes: dict[str, int]) -> DataFrame:
@@ -209,17 +245,124 @@ def _counted(rows: DataFrame, filter_, size: int, longest: int, sizes: dict[str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = filter_.value
+        for lang, found in _blocks(batches, sizes):
+            yield from _report(found, lang, lambda _, key, times, lang=lang: _held(held, size, key, lang), longest, False, [])
+
+    return rows.mapInArrow(run, "lang string, phrase string, times bigint")
+
+
+def packed(prefix: np.ndarray, times: np.ndarray) -> bytes:
+    """Sorted first bits of hashes and the occurrences of each, which stop at the most that TIMES bits hold."""
+    apart = np.diff(prefix, prepend=np.uint64(0)) << np.uint64(TIMES)
+    both = apart | np.minimum(times, (1 << TIMES) - 1).astype(np.uint64)
+    # Byte by byte of all numbers: those that are alike lie together.
+    planes = np.ascontiguousarray(both.view(np.uint8).reshape(-1, 8).T)
+    return pa.Codec("zstd", compression_level=1).compress(planes, asbytes=True)
 
-        def passes(key: np.ndarray, _) -> np.ndarray:
-            ok = np.ones(len(key), bool)
-            for place in bits(key, size):
-                ok &= (held[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
-            return ok
 
+def unpacked(data: pa.Buffer | bytes, n: int) -> np.ndarray:
+    """n numbers: the first bits of a hash above its occurrences."""
+    planes = np.frombuffer(pa.Codec("zstd").decompress(data, decompressed_size=8 * n), np.uint8).reshape(8, n)
+    both = np.ascontiguousarray(planes.T).reshape(-1).view(np.uint64)
+    low = np.uint64((1 << TIMES) - 1)
+    return (np.cumsum(both >> np.uint64(TIMES), dtype=np.uint64) << np.uint64(TIMES)) | (both & low)
+
+
+def _reports(rows: DataFrame, filter_, size: int, first: int, longest: int, sizes: dict[str, int], cuts: dict[str, int]) -> DataFrame:
+    """(lang, part, n, data): the n phrases of `first` to `longest` words that each shard has in a part of the hashes.
+
+    Of a language's hashes the first `cuts` bits name the part. Phrases of fewer than `first` words are those that the filter
+    passes. A row without data tells, in the first turn, the words of the shard.
+    """
+    schema = pa.schema([("lang", pa.string()), ("part", pa.int32()), ("n", pa.int64()), ("data", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = filter_ and filter_.value
         for lang, found in _blocks(batches, sizes):
-            yield from _report(found, lang, passes, longest, False, [])
+            if first == 1:
+                yield pa.RecordBatch.from_pylist([{"lang": lang, "part": -1, "n": found.words}], schema)
+
+            def passes(words: int, key: np.ndarray, times: np.ndarray, lang: str = lang) -> np.ndarray:
+                return _held(held, size, key, lang) if words < first else np.ones(len(key), bool)
+
+            for words, key, _, times in found.levels(passes, longest):
+                if words < first:
+                    continue
+                prefix = key >> np.uint64(64 - PREFIX)
+                part = prefix >> np.uint64(PREFIX - cuts[lang])
+                edges = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(part))
+                ranges = list(zip(edges[:-1], edges[1:], strict=True))
+                columns = [[lang] * len(ranges), part[edges[:-1]].astype(np.int32), np.diff(edges), [packed(prefix[i:j], times[i:j]) for i, j in ranges]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+    return rows.mapInArrow(run, "lang string, part int, n bigint, data binary")
+
+
+def _reached(found: list[np.ndarray], support: int) -> np.ndarray:
+    """The first bits of the hashes whose occurrences in all reports of a part come to `support`."""
+    both = np.concatenate(found)
+    both.sort()
+    prefix, most = both >> np.uint64(TIMES), (1 << TIMES) - 1
+    times = (both & np.uint64(most)).astype(np.int64)
+    # Where occurrences were stopped there may have been as many as are asked for.
+    times[times == most] = max(most, support)
+    first = np.flatnonzero(np.append(True, prefix[1:] != prefix[:-1]))
+    return prefix[first[np.add.reduceat(times, first) >= support]]
 
-    return rows.mapInArrow(run, "lang string, phrase string, times bigint")
+
+def _together(reports: DataFrame, support: int, size: int, tasks: int) -> tuple[np.ndarray, dict[str, int]]:
+    """The filter of `size` bits of the phrases that reach `support` in all reports; and the words of each language."""
+    schema = pa.schema([("lang", pa.string()), ("n", pa.int64()), ("word", pa.int64()), ("bit", pa.int64())])
+
+    def reached(lang: str, found: list[np.ndarray]) -> pa.RecordBatch:
+        word, bit = _set(coded(_reached(found, support) << np.uint64(64 - PREFIX), lang), size)
+        return pa.RecordBatch.from_arrays([pa.nulls(len(word), pa.string()), pa.nulls(len(word), pa.int64()), pa.array(word), pa.array(bit)], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, found = None, []
+        for batch in batches:
+            for lang, part, n, data in zip(batch["lang"].to_pylist(), batch["part"].to_pylist(), batch["n"].to_pylist(), batch["data"], strict=True):
+                if part < 0:
+                    yield pa.RecordBatch.from_pylist([{"lang": lang, "n": n}], schema)
+                    continue
+                if found and of != (lang, part):
+                    yield reached(of[0], found)
+                    found = []
+                of = lang, part
+                found.append(unpacked(data.as_buffer(), n))
+        if found:
+            yield reached(of[0], found)
+
+    parts = reports.repartition(tasks, "lang", "part").sortWithinPartitions("lang", "part")
+    with shuffles_freed(reports.sparkSession):
+        out = parts.mapInArrow(run, "lang string, n bigint, word bigint, bit bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"), F.bit_or("bit").alias("bits")).toArrow()
+    of_lang = out.filter(pc.is_null(out["word"]))
+    return _joined(out.filter(pc.is_valid(out["word"])), size), dict(zip(of_lang["lang"].to_pylist(), of_lang["n"].to_pylist(), strict=True))
+
+
+def _by_hash(rows: DataFrame, of_lang: dict[str, int], support: int, longest: int, sizes: dict[str, int], tasks: int, filter_bits: int) -> tuple[np.ndarray, DataFrame]:
+    """The filter of the phrases that may reach `support`, from shards that report by hash; and (lang, n), the words of each language."""
+    spark = rows.sparkSession
+    cuts = {lang: min(PREFIX // 2, max(4, (n // PART).bit_length())) for lang, n in of_lang.items()}
+    out, words = _together(_reports(rows, None, filter_bits, 1, min(TURN - 1, longest), sizes, cuts), support, filter_bits, tasks)
+    if longest >= TURN:
+        filter_ = spark.sparkContext.broadcast(out)
+        out = out | _together(_reports(rows, filter_, filter_bits, TURN, longest, sizes, cuts), support, filter_bits, tasks)[0]
+        filter_.unpersist()
+    return out, spark.createDataFrame([*words.items()], "lang string, n bigint")
+
+
+def _by_phrase(rows: DataFrame, of_lang: dict[str, int], support: int, longest: int, sizes: dict[str, int], filter_bits: int) -> tuple[np.ndarray, DataFrame]:
+    """The filter of the phrases that may reach `support`, from what shards report; and (lang, n), the words of each language."""
+    found = written(_mined(rows, of_lang, support, longest, sizes))
+    shards = written(found.filter("phrase is null").groupBy("lang").agg(F.sum("below").alias("all_below"), F.sum("times").alias("n")))
+    reported = found.filter("phrase is not null").groupBy("lang", "phrase").agg(F.sum("times").alias("times"), F.sum("below").alias("below"), F.any_value("key").alias("key"))
+    bound = F.col("times") + F.col("all_below") - F.col("below")
+    candidates = written(reported.join(shards.select("lang", "all_below"), "lang").filter(bound >= support).select("lang", "phrase", "key"))
+    remove(found)
+    filter_ = _filter(candidates, filter_bits)
+    remove(candidates)
+    return filter_, shards.select("lang", "n")
 
 
 def frequent(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, block: int = BLOCK, filter_bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
@@ -231,18 +374,14 @@ def frequent(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, bl
     tasks = max(SHARDS, -(-sum(of_lang.values()) // block))
     if rows.rdd.getNumPartitions() > tasks:
         rows = rows.coalesce(tasks)
-    found = written(_mined(rows, of_lang, support, longest, sizes))
-    shards = found.filter("phrase is null").groupBy("lang").agg(F.sum("below").alias("all_below"), F.sum("times").alias("n"))
-    shards = written(shards)
-    reported = found.filter("phrase is not null").groupBy("lang", "phrase").agg(F.sum("times").alias("times"), F.sum("below").alias("below"), F.any_value("key").alias("key"))
-    bound = F.col("times") + F.col("all_below") - F.col("below")
-    candidates = written(reported.join(shards.select("lang", "all_below"), "lang").filter(bound >= support).select("lang", "phrase", "key"))
-    remove(found)
-    filter_ = spark.sparkContext.broadcast(_filter(candidates, filter_bits))
+    shards = max([min(tasks, rows.rdd.getNumPartitions()), *(-(-n // sizes[lang]) for lang, n in of_lang.items() if n)])
+    if support < SHARE * shards:
+        candidates, words = _by_hash(rows, of_lang, support, longest, sizes, tasks, filter_bits)
+    else:
+        candidates, words = _by_phrase(rows, of_lang, support, longest, sizes, filter_bits)
+    filter_ = spark.sparkContext.broadcast(candidates)
     counts = _counted(rows, filter_, filter_bits, longest, sizes).groupBy("lang", "phrase").agg(F.sum("times").alias("a"))
-    out = written(counts.filter(F.col("a") >= support))
-    remove(candidates)
-    return out, shards.select("lang", "n")
+    return written(counts.filter(F.col("a") >= support)), words
 
 
 def collocations(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, top: int = TOP, **options) -> DataFrame:

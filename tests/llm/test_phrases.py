@@ -93,3 +93,54 @@ def test_a_long_text(spark):
     rng = random.Random(4)
     docs = [(1, " ".join(rng.choice("abcdefgh") for _ in range(200_000)), "en")]
     assert run(spark, docs, top=30) == brute(docs, 100, 5, 30)
+
+
+def test_many_shards_store_no_row_for_each_phrase_that_they_have(spark, monkeypatch):
+    """With a shard for each text the local support is 1: the shards report every phrase of theirs, but not as rows."""
+    rng = random.Random(5)
+    docs = [(i, " ".join(rng.choice(["w", "v"]) + str(rng.randint(0, 300)) for _ in range(300)) + " red green blue" * (i % 2), "en") for i in range(200)]
+    stored, write = [], phrases.written
+
+    def written(df):
+        out = write(df)
+        stored.append(out.count())
+        return out
+
+    monkeypatch.setattr(phrases, "written", written)
+    assert run(spark, docs, support=60, block=1000) == brute(docs, 60, 5, 2000)
+    words = sum(len(w) for _, text, _ in docs for w in pieces(text))
+    assert sum(stored) < words / 10
+
+
+def test_second_turn_reports_what_frequent_pairs_make_up(spark):
+    docs = [(i, f"red green blue x{i} y{i} z{i}", "en") for i in range(40)]
+    rows = phrases._rows(spark.createDataFrame([(i, t, lang, "x", 1, "y") for i, t, lang in docs], SCHEMA))
+    sizes, cuts = {"en": 1}, {"en": 4}
+    first = phrases._reports(rows, None, 1 << 20, 1, 2, sizes, cuts)
+    filter_, words = phrases._together(first, 40, 1 << 20, 3)
+    assert words == {"en": 240} and first.filter("part >= 0").agg({"n": "sum"}).first()[0] == 40 * (6 + 5)
+    second = phrases._reports(rows, spark.sparkContext.broadcast(filter_), 1 << 20, 3, 5, sizes, cuts)
+    assert second.agg({"n": "sum"}).first()[0] == 40  # "red green blue" of each text
+
+
+@pytest.mark.parametrize("n", [1, 2, 1000])
+def test_reports_are_read_as_written(n):
+    rng = np.random.default_rng(n)
+    prefix = np.unique(rng.integers(0, 1 << phrases.PREFIX, n, dtype=np.uint64))
+    times = rng.integers(1, 1 << 30, len(prefix))
+    both = phrases.unpacked(phrases.packed(prefix, times), len(prefix))
+    most = (1 << phrases.TIMES) - 1
+    assert (both >> np.uint64(phrases.TIMES) == prefix).all() and ((both & np.uint64(most)).astype(np.int64) == np.minimum(times, most)).all()
+
+
+def test_occurrences_are_added_up_and_stopped_ones_pass():
+    def report(of):
+        return phrases.unpacked(phrases.packed(np.array(sorted(of), np.uint64), np.array([of[k] for k in sorted(of)])), len(of))
+
+    found = [report({3: 5, 7: 2}), report({3: 5, 9: 1 << 26}), report({7: 7})]
+    assert phrases._reached(found, 10).tolist() == [3, 9] and phrases._reached(found, 1 << 25).tolist() == [9]
+
+
+def test_filter_of_no_hashes_is_empty():
+    word, bit = phrases._set(np.empty(0, np.uint64), 1 << 10)
+    assert len(word) == 0 and len(bit) == 0
